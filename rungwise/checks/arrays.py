@@ -18,7 +18,7 @@ ROW, COL = "(position // 8)", "(position % 8)"
 
 
 def nearest_sql(position: str) -> str:
-    return f"CAST(greatest(0, least(7, floor(round({position}, 6) + 0.5::DOUBLE))) AS INTEGER)"
+    return f"CAST(greatest(0, least(7, floor({position} + {0.5 + images.HALF_SLACK!r}::DOUBLE))) AS INTEGER)"
 
 
 def gather_sql(source: str, cells: str = "cells", value: str = "pixel") -> str:

@@ -9,7 +9,7 @@ from rungwise.functions.images import Shape
 from rungwise.operators.census import label_threshold
 from rungwise.operators.columns import feature_layout
 from rungwise.operators.splits import hash_split
-from rungwise.plans.prepare import prepare_features
+from rungwise.plans.prepare import apply_features, fit_features
 
 GRID = Shape(8, 8, 1)
 CLASSES = 10
@@ -118,12 +118,13 @@ def wide_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def census_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(train, test, feature names): prepared parts split on the order key."""
+    """(train, test, feature names): parts split on the order key, then prepared."""
     raw = wide_census(spark, sf_dir)
     layout = feature_layout(raw, key="o_orderkey")
-    train, _ = hash_split(raw, "o_orderkey")
-    prepared = prepare_features(raw, layout, ["o_orderkey"], fit_on=train)
-    return *hash_split(prepared, "o_orderkey"), layout.features
+    train, test = hash_split(raw, "o_orderkey")
+    model = fit_features(train, layout)
+    train, test = (apply_features(model, part, layout, ["o_orderkey"]) for part in (train, test))
+    return train, test, layout.features
 
 
 # Embeddings as 8x8 images with integer pixels in 0..255.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from rungwise.checks.inputs import table, wide_census
@@ -96,9 +94,8 @@ def runlog_scan(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     raw = wide_census(spark, sf_dir)
     layout = feature_layout(raw, key="o_orderkey")
-    label = StringIndexer(inputCol=layout.label, outputCol=prepare.INDEXED_LABEL)
-    stages = [label, *prepare.feature_stages(layout)]
-    with cached(raw) as rows:
-        train, _ = hash_split(rows, "o_orderkey")
-        model = Pipeline(stages=[*stages, trees.tree_estimator()]).fit(train)
+    train, _ = hash_split(raw, "o_orderkey")
+    features = prepare.fit_features(train, layout)
+    with cached(prepare.apply_features(features, train, layout, ["o_orderkey"])) as rows:
+        model = prepare.scorer(features, trees.tree_fit(rows))
     return models.model_roundtrip(raw, model, scratch_path(spark, "model"))

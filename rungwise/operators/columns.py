@@ -23,9 +23,9 @@ class Layout(NamedTuple):
         return [name + INDEX_SUFFIX for name in self.text] + self.numeric
 
 
-def fill_missing_numeric(df: DataFrame, value: float = 0) -> DataFrame:
-    """Nulls in numeric columns become ``value``; strings keep theirs."""
-    return df.na.fill(value)
+def fill_missing_numeric(df: DataFrame, value: float = 0, columns: list[str] | None = None) -> DataFrame:
+    """Nulls in numeric columns (all, or those named) become ``value``; strings keep theirs."""
+    return df.na.fill(value, subset=columns)
 
 
 def feature_layout(df: DataFrame, label: str | None = None, key: str | None = None) -> Layout:

@@ -15,7 +15,8 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
 
 
 def in_train(key: Column | str, share: float = 0.7, seed: int = 0) -> Column:
-    return hash_share(key, seed) < F.lit(share)
+    """A share of the keys; rows without a key count as training rows."""
+    return F.coalesce(hash_share(key, seed) < F.lit(share), F.lit(True))
 
 
 def hash_split(df: DataFrame, key: str, share: float = 0.7, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -38,8 +39,8 @@ def head_split(df: DataFrame, key: str, n: int = 5000) -> tuple[DataFrame, DataF
 
     Finds the n-th key first; both parts are then key filters that reach the scan.
     """
-    last = nth_smallest(df, key, n)
-    return df.filter(F.col(key) <= last), df.filter(F.col(key) > last)
+    first = F.col(key) <= nth_smallest(df, key, n)
+    return df.filter(first), df.filter(first.isNull() | ~first)
 
 
 # Folds draw on a multiplier of their own: on the split's, the training part would fill only some folds.

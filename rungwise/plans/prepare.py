@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, Layout, cast_integer, fill_missing_numeric
+from rungwise.operators.indexing import fit_indexers
 
 FEATURES = "features"
 INDEXED_LABEL = "indexedLabel"
+LABEL_RANK = "_label_rank"
 INTEGER_SUFFIX = "_int"
 
 
@@ -19,22 +21,17 @@ def _integer_stage(columns: list[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(whole)} FROM __THIS__")
 
 
-def feature_stages(layout: Layout, nominal: bool = False, unseen: str = "keep") -> list:
-    """Index, cast and assemble.
+def vector_stages(layout: Layout, nominal: bool = False) -> list:
+    """Indexed columns to one vector.
 
     By default category codes become plain ordered integers; ``nominal`` keeps
     them marked as categories, for a tree with ``bins`` above their number.
     """
-    stages = []
-    if layout.text:
-        outputs = [c + INDEX_SUFFIX for c in layout.text]
-        stages.append(StringIndexer(inputCols=layout.text, outputCols=outputs, handleInvalid=unseen))
-    inputs = layout.features
-    if not nominal:
-        stages.append(_integer_stage(inputs))
-        inputs = [c + INTEGER_SUFFIX for c in inputs]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"))
-    return stages
+    if nominal:
+        return [VectorAssembler(inputCols=layout.features, outputCol=FEATURES, handleInvalid="error")]
+    whole = [c + INTEGER_SUFFIX for c in layout.features]
+    assembler = VectorAssembler(inputCols=whole, outputCol=FEATURES, handleInvalid="error")
+    return [_integer_stage(layout.features), assembler]
 
 
 def prepare_pipeline(df: DataFrame, layout: Layout, unseen: str = "error") -> PipelineModel:
@@ -51,26 +48,38 @@ def indexed_integers(df: DataFrame, model: PipelineModel, layout: Layout, key: s
     return cast_integer(model.transform(df).select(key, *columns), columns)
 
 
-def prepare_features(
-    df: DataFrame, layout: Layout, keys: list[str], fit_on: DataFrame | None = None, nominal: bool = False
-) -> DataFrame:
-    """Keys, ``features`` and ``indexedLabel`` (int).
+def fit_features(train: DataFrame, layout: Layout, nominal: bool = False) -> PipelineModel:
+    """Learn category ranks from the training rows only, in one pass.
+
+    Text and label are counted together; unseen categories later get a rank of
+    their own, unseen labels are an error.
+    """
+    *text_labels, classes = fit_indexers(train, [*layout.text, layout.label]).labelsArray
+    stages = [StringIndexerModel.from_labels(classes, layout.label, LABEL_RANK)]
+    if layout.text:
+        outputs = [c + INDEX_SUFFIX for c in layout.text]
+        stages.append(
+            StringIndexerModel.from_arrays_of_labels(
+                text_labels, layout.text, outputs, handleInvalid="keep"
+            )
+        )
+    return PipelineModel([*stages, *vector_stages(layout, nominal)])
+
+
+def apply_features(model: PipelineModel, df: DataFrame, layout: Layout, keys: list[str]) -> DataFrame:
+    """Keys, ``features`` and ``indexedLabel`` (int), missing numbers as 0.
 
-    Category ranks are learned from ``fit_on`` (the training rows) so that
-    held-out rows do not leak into them; unseen categories get a rank of their
-    own. The label keeps its class count as metadata, which saves the tree a
-    pass over the table.
+    The label keeps its class count as metadata, which saves the tree a pass
+    over the table. Split before this step: no filter passes the ML stages.
     """
-    filled = fill_missing_numeric(df)
-    learned = fill_missing_numeric(fit_on) if fit_on is not None else filled
-    labels = StringIndexer(inputCol=layout.label, outputCol="_label").fit(learned)
-    model = Pipeline(stages=feature_stages(layout, nominal)).fit(learned)
-    rows = labels.transform(model.transform(filled))
-    nominal_label = {
-        "ml_attr": {"type": "nominal", "name": INDEXED_LABEL, "vals": list(labels.labels)}
+    rows = model.transform(fill_missing_numeric(df, columns=layout.numeric))
+    classes = {
+        "ml_attr": {"type": "nominal", "name": INDEXED_LABEL, "vals": list(model.stages[0].labels)}
     }
-    return rows.select(
-        *keys,
-        FEATURES,
-        F.col("_label").cast("int").alias(INDEXED_LABEL, metadata=nominal_label),
-    )
+    label = F.col(LABEL_RANK).cast("int").alias(INDEXED_LABEL, metadata=classes)
+    return rows.select(*keys, FEATURES, label)
+
+
+def scorer(features: PipelineModel, classifier) -> PipelineModel:
+    """Raw unlabelled rows to predictions: the feature stages and a fitted classifier."""
+    return PipelineModel([*features.stages[1:], classifier])

@@ -17,7 +17,7 @@ from rungwise.operators.growth import bag_multiply, ladder_rungs
 from rungwise.operators.metrics import accuracy
 from rungwise.operators.splits import kfold_assign
 from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
-from rungwise.session import cached
+from rungwise.session import cached, shuffle_width
 
 SEED = 42
 
@@ -101,12 +101,14 @@ def train_eval_rungs(
 ):
     """Yield (m, rows, seconds of the fit, accuracy on ``test``) for each rung.
 
-    ``train`` and ``test`` are read once and kept. Every rung multiplies the
-    kept rows inside their own tasks, so nothing is shuffled per rung.
+    ``train`` and ``test`` are read once and kept; ``train`` is first spread
+    over ``partitions`` (by default twice the cores, or the shuffle partitions
+    if more). Every rung multiplies the kept rows inside their own tasks, so
+    nothing is shuffled per rung.
     """
-    train = train.select(FEATURES, INDEXED_LABEL)
-    if partitions:
-        train = train.repartition(partitions)
+    spark = train.sparkSession
+    partitions = partitions or max(2 * spark.sparkContext.defaultParallelism, shuffle_width(spark))
+    train = train.select(FEATURES, INDEXED_LABEL).repartition(partitions)
     with cached(train, test) as (train_rows, test_rows):
         base = train_rows.count()
         for m in rungs:
