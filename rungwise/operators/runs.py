@@ -73,6 +73,8 @@ def _step_slices(df: DataFrame, step: str, slices: int) -> DataFrame:
     """
     shares = [i / slices for i in range(1, slices)]
     borders = df.approxQuantile(step, shares, 0.25 / slices) if slices > 1 else []
+    if not borders:
+        return df.withColumn("_slice", F.lit(0.0))
     splits = [float("-inf"), *sorted(set(borders)), float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol=step, outputCol="_slice", handleInvalid="keep")
     return bucketizer.transform(df)

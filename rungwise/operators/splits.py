@@ -39,7 +39,7 @@ def head_split(df: DataFrame, key: str, n: int = 5000) -> tuple[DataFrame, DataF
 
     Finds the n-th key first; both parts are then key filters that reach the scan.
     """
-    first = F.col(key) <= nth_smallest(df, key, n)
+    first = F.col(key) <= nth_smallest(df, key, n) if n > 0 else F.lit(False)
     return df.filter(first), df.filter(first.isNull() | ~first)
 
 

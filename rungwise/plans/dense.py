@@ -13,6 +13,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from rungwise.operators.splits import batch_assign
 from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
@@ -133,7 +134,8 @@ def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: i
         .write.partitionBy("block")
         .parquet(path)
     )
-    return spark.read.parquet(path), batches, per_block
+    schema = StructType([*df.select(array, label).schema.fields, StructField("batch_id", LongType()), StructField("block", IntegerType())])
+    return spark.read.schema(schema).parquet(path), batches, per_block
 
 
 def softmax_fit(
