@@ -16,14 +16,14 @@ PIXELS = 64
 @query("tree_fit")
 def tree_fit(spark, sf_dir):
     train, _, features = census_parts(spark, sf_dir)
-    with cached(train) as rows:
+    with cached(trees.spread_rows(train)) as rows:
         return trees.tree_importances(trees.tree_fit(rows), features)
 
 
 @query("tree_score")
 def tree_score(spark, sf_dir):
     train, test, _ = census_parts(spark, sf_dir)
-    with cached(train) as rows:
+    with cached(trees.spread_rows(train)) as rows:
         model = trees.tree_fit(rows)
     return trees.tree_score(model, test, ["o_orderkey"])
 
@@ -31,7 +31,7 @@ def tree_score(spark, sf_dir):
 @query("holdout_eval")
 def holdout_eval(spark, sf_dir):
     train, test, _ = census_parts(spark, sf_dir)
-    with cached(train) as rows:
+    with cached(trees.spread_rows(train)) as rows:
         model = trees.tree_fit(rows)
     return trees.holdout_eval(model, test, classes=2)
 
@@ -65,5 +65,7 @@ def mlp_fit(spark, sf_dir):
 @query("softmax_fit")
 def softmax_fit(spark, sf_dir):
     train, valid = image_parts(spark, sf_dir)
-    _, history = dense.softmax_fit(train, valid, "vec_id", "embedding", "label", PIXELS, CLASSES)
+    _, history = dense.softmax_fit(
+        train, valid, "vec_id", "embedding", "label", PIXELS, CLASSES, batch_size=64, replicas=4
+    )
     return history

@@ -96,6 +96,7 @@ def model_roundtrip(spark, sf_dir):
     layout = feature_layout(raw, key="o_orderkey")
     train, _ = hash_split(raw, "o_orderkey")
     features = prepare.fit_features(train, layout)
-    with cached(prepare.apply_features(features, train, layout, ["o_orderkey"])) as rows:
+    ready = prepare.apply_features(features, train, layout, ["o_orderkey"])
+    with cached(trees.spread_rows(ready)) as rows:
         model = prepare.scorer(features, trees.tree_fit(rows))
     return models.model_roundtrip(raw, model, scratch_path(spark, "model"))

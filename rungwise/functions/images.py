@@ -13,6 +13,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, functions as F
 
+from rungwise.functions.arrays import bind
+
 
 class Shape(NamedTuple):
     h: int
@@ -50,33 +52,32 @@ def _nearest(position: Column) -> Column:
     return F.floor(position + (0.5 + HALF_SLACK)).cast("int")
 
 
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` worked out once, however often the body's lambdas use it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _pick(pixels: Column, shape: Shape, rows: Column, cols: Column, fill: float) -> Column:
     """Gather by independent source rows and columns (int arrays)."""
     fill_pixel = F.array_repeat(F.lit(fill).cast("float"), shape.c)
     stride = shape.w * shape.c
 
-    def cell(row: Column, col: Column) -> Column:
-        if shape.c == 1:
-            return F.when((row < 0) | (col < 0), F.lit(fill).cast("float")).otherwise(
-                F.get(pixels, row * stride + col).cast("float")
-            )
-        return F.when((row < 0) | (col < 0), fill_pixel).otherwise(
-            F.slice(pixels, row * stride + col * shape.c + 1, shape.c).cast("array<float>")
-        )
+    def gather(image: Column) -> Column:
+        def cell(row: Column, col: Column) -> Column:
+            start = row * stride + col * shape.c
+            if shape.c == 1:
+                taken, filled = F.get(image["pixels"], start), F.lit(fill).cast("float")
+            else:
+                taken, filled = F.slice(image["pixels"], start + 1, shape.c), fill_pixel
+            return F.when((row < 0) | (col < 0), filled).otherwise(taken)
 
-    def gather(source: Column) -> Column:
         grid = F.transform(
-            source["rows"], lambda row: F.transform(source["cols"], lambda col: cell(row, col))
+            image["rows"], lambda row: F.transform(image["cols"], lambda col: cell(row, col))
         )
         return F.flatten(grid) if shape.c == 1 else F.flatten(F.flatten(grid))
 
-    sources = F.struct(rows.alias("rows"), cols.alias("cols"))
-    return F.when(pixels.isNotNull(), _bind(sources, gather))
+    return _of_image(pixels, gather, rows=rows, cols=cols)
+
+
+def _of_image(pixels: Column, body, **values: Column) -> Column:
+    """``body`` of the float pixels and other values of one image; null for a null image."""
+    floats = pixels.cast("array<float>")
+    return bind({"pixels": floats, **values}, lambda image: F.when(image["pixels"].isNotNull(), body(image)))
 
 
 def flatten_image(nested: Column) -> Column:
@@ -87,12 +88,14 @@ def flatten_image(nested: Column) -> Column:
 def nest_image(pixels: Column, shape: Shape) -> Column:
     """The inverse of ``flatten_image``."""
     stride = shape.w * shape.c
-    return F.transform(
-        _steps(shape.h),
-        lambda row: F.transform(
-            _steps(shape.w), lambda col: F.slice(pixels, row * stride + col * shape.c + 1, shape.c)
-        ),
-    )
+
+    def nest(image: Column) -> Column:
+        def pixel(row: Column, col: Column) -> Column:
+            return F.slice(image["pixels"], row * stride + col * shape.c + 1, shape.c)
+
+        return F.transform(_steps(shape.h), lambda row: F.transform(_steps(shape.w), lambda col: pixel(row, col)))
+
+    return _of_image(pixels, nest)
 
 
 def scale_pixels(pixels: Column, top: float = 255.0) -> Column:
@@ -139,28 +142,28 @@ def rotate(
 ) -> Column:
     """Turn about the centre by ``angle`` radians, nearest cell."""
     mid_r, mid_c = (shape.h - 1) / 2.0, (shape.w - 1) / 2.0
-    turn = F.struct(F.cos(angle).alias("cos"), F.sin(angle).alias("sin"))
     fill_pixel = F.array_repeat(F.lit(fill).cast("float"), shape.c)
 
-    def cell(row: Column, col: Column, t: Column) -> Column:
-        up, right = row - mid_r, col - mid_c
-        src_r = _inside(_nearest(up * t["cos"] - right * t["sin"] + mid_r), shape.h, edge)
-        src_c = _inside(_nearest(up * t["sin"] + right * t["cos"] + mid_c), shape.w, edge)
-        start = (src_r * shape.w + src_c) * shape.c
-        taken = (
-            F.array(F.get(pixels, start).cast("float"))
-            if shape.c == 1
-            else F.slice(pixels, start + 1, shape.c).cast("array<float>")
-        )
-        if edge == "constant":
-            return F.when((src_r < 0) | (src_c < 0), fill_pixel).otherwise(taken)
-        return taken
-
-    def gather(t: Column) -> Column:
-        grid = F.transform(_steps(shape.h), lambda r: F.transform(_steps(shape.w), lambda c: cell(r, c, t)))
-        return F.flatten(F.flatten(grid))
+    def gather(image: Column) -> Column:
+        def cell(row: Column, col: Column) -> Column:
+            up, right = row - mid_r, col - mid_c
+            at_r = up * image["cos"] - right * image["sin"] + mid_r
+            at_c = up * image["sin"] + right * image["cos"] + mid_c
+            src_r, src_c = _inside(_nearest(at_r), shape.h, edge), _inside(_nearest(at_c), shape.w, edge)
+            start = (src_r * shape.w + src_c) * shape.c
+            if shape.c == 1:
+                taken, filled = F.get(image["pixels"], start), F.lit(fill).cast("float")
+            else:
+                taken, filled = F.slice(image["pixels"], start + 1, shape.c), fill_pixel
+            if edge == "constant":
+                return F.when((src_r < 0) | (src_c < 0), filled).otherwise(taken)
+            return taken
+
+        grid = F.transform(_steps(shape.h), lambda r: F.transform(_steps(shape.w), lambda c: cell(r, c)))
+        return F.flatten(grid) if shape.c == 1 else F.flatten(F.flatten(grid))
 
-    return F.when(pixels.isNotNull() & angle.isNotNull(), _bind(turn, gather))
+    turned = _of_image(pixels, gather, cos=F.cos(angle), sin=F.sin(angle))
+    return F.when(angle.isNotNull(), turned)
 
 
 def _nearest_sources(size: int, out: int) -> Column:
@@ -192,31 +195,33 @@ def resize(pixels: Column, shape: Shape, out_h: int, out_w: int, method: str = "
         raise ValueError("method must be bilinear or nearest")
     stride, channels = shape.w * shape.c, shape.c
 
-    def along(row: Column, at: Column) -> Column:
+    def along(image: Column, row: Column, at: Column) -> Column:
         low, high = row * stride + at["low"] * channels, row * stride + at["high"] * channels
         if channels == 1:
-            return F.get(pixels, low) * at["rest"] + F.get(pixels, high) * at["share"]
+            return F.get(image["pixels"], low) * at["rest"] + F.get(image["pixels"], high) * at["share"]
         return F.zip_with(
-            F.slice(pixels, low + 1, channels),
-            F.slice(pixels, high + 1, channels),
+            F.slice(image["pixels"], low + 1, channels),
+            F.slice(image["pixels"], high + 1, channels),
             lambda a, b: a * at["rest"] + b * at["share"],
         )
 
-    def blended_row(row: Column) -> Column:
-        cells = F.transform(_bilinear_sources(shape.w, out_w), lambda at: along(row, at))
+    def blended_row(image: Column, row: Column) -> Column:
+        cells = F.transform(_bilinear_sources(shape.w, out_w), lambda at: along(image, row, at))
         return cells if channels == 1 else F.flatten(cells)
 
-    def down(rows: Column) -> Column:
+    def down(grid: Column) -> Column:
         return F.flatten(
             F.transform(
                 _bilinear_sources(shape.h, out_h),
                 lambda at: F.zip_with(
-                    F.get(rows, at["low"]),
-                    F.get(rows, at["high"]),
+                    F.get(grid["rows"], at["low"]),
+                    F.get(grid["rows"], at["high"]),
                     lambda a, b: (a * at["rest"] + b * at["share"]).cast("float"),
                 ),
             )
         )
 
-    rows = F.transform(_steps(shape.h), blended_row)
-    return F.when(pixels.isNotNull(), _bind(rows, down))
+    def blend(image: Column) -> Column:
+        return bind({"rows": F.transform(_steps(shape.h), lambda row: blended_row(image, row))}, down)
+
+    return _of_image(pixels, blend)

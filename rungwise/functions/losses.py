@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from rungwise.functions.arrays import array_total, bind
+
 PROBABILITY_FLOOR = 1e-7
 
 
@@ -15,15 +17,20 @@ def one_hot(label: Column, classes: int) -> Column:
     )
 
 
-def array_total(array: Column) -> Column:
-    return F.aggregate(array, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
-
-
 def softmax(scores: Column) -> Column:
     """Class probabilities from raw scores, shifted by the largest for range."""
+
+    def raised(row: Column) -> Column:
+        return F.transform(row["scores"], lambda s: F.exp(s.cast("double") - row["top"]))
+
+    def shares(row: Column) -> Column:
+        return F.transform(row["raised"], lambda e: e / row["total"])
+
+    def normalised(row: Column) -> Column:
+        return bind({"raised": row["raised"], "total": array_total(row["raised"])}, shares)
+
     top = F.array_max(scores).cast("double")
-    raised = F.transform(scores, lambda s: F.exp(s.cast("double") - top))
-    return F.transform(raised, lambda e: e / array_total(raised))
+    return bind({"raised": bind({"scores": scores, "top": top}, raised)}, normalised)
 
 
 def xent_smoothed(probabilities: Column, label: Column, classes: int, smoothing: float = 0.0) -> Column:
@@ -40,9 +47,15 @@ def xent_smoothed(probabilities: Column, label: Column, classes: int, smoothing:
 
 def xent_logits(scores: Column, label: Column) -> Column:
     """Cross-entropy of an integer label against raw scores (log-sum-exp form)."""
+
+    def log_total(row: Column) -> Column:
+        total = F.aggregate(
+            row["scores"], F.lit(0.0), lambda acc, s: acc + F.exp(s.cast("double") - row["top"])
+        )
+        return F.log(total) + row["top"]
+
     top = F.array_max(scores).cast("double")
-    total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s.cast("double") - top))
-    return F.log(total) + top - F.get(scores, label).cast("double")
+    return bind({"scores": scores, "top": top}, log_total) - F.get(scores, label).cast("double")
 
 
 def squared_error(left: Column, right: Column) -> Column:

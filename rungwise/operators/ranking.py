@@ -31,12 +31,14 @@ def hash_rank(
 ) -> DataFrame:
     """Number all rows 1..n in the order of ``row_hash(key, seed)``, key as tie-break.
 
-    Hash values spread evenly, so buckets are even for any key distribution.
-    A bucket depends on the row alone: a lost executor or a retry cannot
-    change a rank. ``ordered`` also lays partitions out in rank order.
+    ``key`` is a row key (unique). Its hash values spread evenly, so buckets
+    are even for any key distribution. A bucket depends on the row alone: a
+    lost executor or a retry cannot change a rank. ``ordered`` also lays
+    partitions out in rank order. The table is shuffled once; the bucket
+    counts read only the key.
     """
     bits = _bucket_bits(df)
-    hashed = df.withColumn("_hash", row_hash(key, seed))
+    hashed = df.withColumn("_hash", F.coalesce(row_hash(key, seed), F.lit(0)))
     bucketed = hashed.withColumn("_bucket", F.shiftright("_hash", HASH_RANGE.bit_length() - 1 - bits))
     offsets = _offsets(bucketed.groupBy("_bucket").count(), "_bucket")
     spread = bucketed.repartitionByRange("_bucket") if ordered else bucketed

@@ -28,11 +28,11 @@ def scale_factor(log: DataFrame, run: str, step: str, seconds: str, output: str
     The first value per run is a partial aggregate joined back by run: small
     enough run tables are broadcast, a hot run is split by the skew join.
     """
-    firsts = log.groupBy(run).agg(F.min_by(seconds, step).alias("_first"))
+    firsts = log.groupBy(F.col(run).alias("_run")).agg(F.min_by(seconds, step).alias("_first"))
     return (
-        log.join(firsts, run)
+        log.join(firsts, F.col(run).eqNullSafe(F.col("_run")))
         .withColumn(output, F.col(seconds) / F.nullif(F.col("_first"), F.lit(0)))
-        .drop("_first")
+        .drop("_run", "_first")
     )
 
 
@@ -74,10 +74,10 @@ def _step_slices(df: DataFrame, step: str, slices: int) -> DataFrame:
     shares = [i / slices for i in range(1, slices)]
     borders = df.approxQuantile(step, shares, 0.25 / slices) if slices > 1 else []
     if not borders:
-        return df.withColumn("_slice", F.lit(0.0))
+        return df.withColumn("_slice", F.lit(0))
     splits = [float("-inf"), *sorted(set(borders)), float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol=step, outputCol="_slice", handleInvalid="keep")
-    return bucketizer.transform(df)
+    return bucketizer.transform(df).withColumn("_slice", F.col("_slice").cast("int"))
 
 
 def best_checkpoint(
@@ -96,17 +96,18 @@ def best_checkpoint(
     whole = Window.partitionBy(run)
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bests = per_slice.select(
-        run,
-        "_slice",
+        F.col(run).alias("_run"),
+        F.col("_slice").alias("_of_slice"),
         F.max("_slice_best").over(earlier).alias("_before"),
         F.max("_slice_best").over(whole).alias("_best"),
     )
     within = Window.partitionBy(run, "_slice").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     value = F.col(metric)
-    marked = sliced.withColumn("_local", F.max(metric).over(within)).join(bests, [run, "_slice"])
+    same_slice = F.col(run).eqNullSafe(F.col("_run")) & (F.col("_slice") == F.col("_of_slice"))
+    marked = sliced.withColumn("_local", F.max(metric).over(within)).join(bests, same_slice)
     beaten = F.greatest("_before", "_local")
     return (
         marked.filter(beaten.isNull() | (value > beaten))
         .withColumn("kept", value == F.col("_best"))
-        .drop("_slice", "_local", "_before", "_best")
+        .drop("_slice", "_local", "_run", "_of_slice", "_before", "_best")
     )

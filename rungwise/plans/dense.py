@@ -148,6 +148,7 @@ def softmax_fit(
     classes: int,
     epochs: int = 3,
     batch_size: int = 64,
+    replicas: int = 1,
     rate: float = 0.005,
     clip: float | None = 0.12,
     smoothing: float = 0.2,
@@ -157,10 +158,11 @@ def softmax_fit(
 
     One Spark job per batch averages the gradient over the batch's rows; the
     driver holds the model only. The history is (epoch, loss, accuracy,
-    val_loss, val_accuracy), validated after every epoch. Steps per epoch are
-    rows / ``batch_size``: choose it in proportion to the cluster.
+    val_loss, val_accuracy), validated after every epoch. A batch holds
+    ``batch_size * replicas`` rows: steps follow one another, so let the
+    replicas grow with the cluster.
     """
-    stored, batches, per_block = store_batches(train, key, array, label, batch_size, seed)
+    stored, batches, per_block = store_batches(train, key, array, label, batch_size * replicas, seed)
     weights, optimizer = np.zeros((classes, inputs + 1)), Adam(rate, clip)
     order = list(range(batches))
     history = []

@@ -7,7 +7,7 @@ from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, Layout, cast_integer, fill_missing_numeric
-from rungwise.operators.indexing import fit_indexers
+from rungwise.operators.indexing import DRIVER_CATEGORIES, fit_indexers, wide_columns
 
 FEATURES = "features"
 INDEXED_LABEL = "indexedLabel"
@@ -48,12 +48,19 @@ def indexed_integers(df: DataFrame, model: PipelineModel, layout: Layout, key: s
     return cast_integer(model.transform(df).select(key, *columns), columns)
 
 
-def fit_features(train: DataFrame, layout: Layout, nominal: bool = False) -> PipelineModel:
+def fit_features(
+    train: DataFrame, layout: Layout, nominal: bool = False, limit: int = DRIVER_CATEGORIES
+) -> PipelineModel:
     """Learn category ranks from the training rows only, in one pass.
 
     Text and label are counted together; unseen categories later get a rank of
-    their own, unseen labels are an error.
+    their own, unseen labels are an error. The ranks live in the model, so a
+    column with too many categories is refused: index it with ``string_index``
+    first, which keeps them in a table.
     """
+    wide = wide_columns(train, [*layout.text, layout.label], limit)
+    if wide:
+        raise ValueError(f"more than {limit} categories, index by join first: {wide}")
     *text_labels, classes = fit_indexers(train, [*layout.text, layout.label]).labelsArray
     stages = [StringIndexerModel.from_labels(classes, layout.label, LABEL_RANK)]
     if layout.text:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
@@ -20,6 +21,7 @@ from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
 from rungwise.session import cached, shuffle_width
 
 SEED = 42
+ROWS_PER_TASK = 20_000
 
 
 def tree_estimator(depth: int = 5, bins: int = 32, seed: int = SEED, **settings) -> DecisionTreeClassifier:
@@ -33,6 +35,18 @@ def tree_fit(df: DataFrame, **settings) -> DecisionTreeClassificationModel:
     return tree_estimator(**settings).fit(df)
 
 
+def spread_rows(df: DataFrame, copies: int = 1) -> DataFrame:
+    """Even partitions for rows that will be multiplied and read many times.
+
+    Enough of them to keep all cores busy, up to the session's shuffle
+    partitions, but no more than give a task a worthwhile number of rows: a
+    fit runs several jobs per tree level, so tiny tasks add up.
+    """
+    spark = df.sparkSession
+    most = max(2 * spark.sparkContext.defaultParallelism, shuffle_width(spark))
+    return df.repartition(max(1, min(most, df.count() * copies // ROWS_PER_TASK)))
+
+
 def tree_importances(model: DecisionTreeClassificationModel, features: list[str]) -> DataFrame:
     """(feature, importance, depth, nodes), one row per feature."""
     spark = SparkSession.active()
@@ -84,7 +98,7 @@ def cross_validator(
         seed=seed,
     )
     folded = kfold_assign(df, key, folds).select(FEATURES, INDEXED_LABEL, "fold")
-    with cached(folded) as base:
+    with cached(spread_rows(folded, copies)) as base:
         return search.fit(bag_multiply(base, copies))
 
 
@@ -97,18 +111,15 @@ def cross_validate(df: DataFrame, key: str, depths: tuple[int, ...] = (1, 5, 10,
 
 
 def train_eval_rungs(
-    train: DataFrame, test: DataFrame, rungs: list[int], partitions: int | None = None, **settings
-):
+    train: DataFrame, test: DataFrame, rungs: list[int], **settings
+) -> Iterator[tuple[int, int, float, float | None]]:
     """Yield (m, rows, seconds of the fit, accuracy on ``test``) for each rung.
 
-    ``train`` and ``test`` are read once and kept; ``train`` is first spread
-    over ``partitions`` (by default twice the cores, or the shuffle partitions
-    if more). Every rung multiplies the kept rows inside their own tasks, so
-    nothing is shuffled per rung.
+    ``train`` and ``test`` are read once and kept, ``train`` evenly spread.
+    Every rung multiplies the kept rows inside their own tasks, so nothing is
+    shuffled per rung.
     """
-    spark = train.sparkSession
-    partitions = partitions or max(2 * spark.sparkContext.defaultParallelism, shuffle_width(spark))
-    train = train.select(FEATURES, INDEXED_LABEL).repartition(partitions)
+    train = spread_rows(train.select(FEATURES, INDEXED_LABEL), max(rungs))
     with cached(train, test) as (train_rows, test_rows):
         base = train_rows.count()
         for m in rungs:
