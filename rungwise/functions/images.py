@@ -167,7 +167,8 @@ def rotate(
 
 
 def _nearest_sources(size: int, out: int) -> Column:
-    return F.lit([min(size - 1, math.floor((i + 0.5) * size / out)) for i in range(out)])
+    cells = [min(size - 1, math.floor((i + 0.5) * size / out)) for i in range(out)]
+    return F.expr(f"array({', '.join(map(str, cells))})")
 
 
 def _bilinear_sources(size: int, out: int) -> Column:
@@ -176,9 +177,9 @@ def _bilinear_sources(size: int, out: int) -> Column:
     for i in range(out):
         at = min(max((i + 0.5) * size / out - 0.5, 0.0), size - 1.0)
         low = math.floor(at)
-        fields = {"low": low, "high": min(low + 1, size - 1), "share": at - low, "rest": 1.0 - (at - low)}
-        cells.append(F.struct(*[F.lit(v).alias(name) for name, v in fields.items()]))
-    return F.array(*cells)
+        share, high = at - low, min(low + 1, size - 1)
+        cells.append(f"struct({low} AS low, {high} AS high, {share!r}D AS share, {1.0 - share!r}D AS rest)")
+    return F.expr(f"array({', '.join(cells)})")
 
 
 def resize(pixels: Column, shape: Shape, out_h: int, out_w: int, method: str = "bilinear") -> Column:

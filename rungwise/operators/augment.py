@@ -40,7 +40,7 @@ def augment(df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int
 def augment_append(df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int = 42, edge: str = "nearest") -> DataFrame:
     """Originals and their augmented copies, marked by ``augmented``, from one scan."""
     both = augment(df.withColumn("_original", F.col(pixels)), key, pixels, shape, seed, edge)
-    pair = F.posexplode(F.array(F.col("_original").cast("array<float>"), F.col(pixels)))
+    pair = F.posexplode_outer(F.array(F.col("_original").cast("array<float>"), F.col(pixels)))
     others = [c for c in df.columns if c != pixels]
     grown = both.select(*others, pair.alias("_copy", pixels))
     return grown.select(*df.columns, (F.col("_copy") == 1).alias("augmented"))

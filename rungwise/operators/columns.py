@@ -66,5 +66,10 @@ def filter_correct(df: DataFrame, label: str, prediction: str = "prediction") ->
 
 
 def long_form(df: DataFrame, key: list[str], array: str, position: str = "position", value: str = "value") -> DataFrame:
-    """One row per array cell: key columns, position from 0, value."""
-    return df.select(*key, F.posexplode(array).alias(position, value))
+    """One row per array cell: key columns, position from 0, value.
+
+    The outer form plus a filter on its output: for the plain form the
+    optimizer adds a size check below, which works out a computed array again.
+    """
+    cells = df.select(*key, F.posexplode_outer(array).alias(position, value))
+    return cells.filter(F.col(position).isNotNull())

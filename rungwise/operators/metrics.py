@@ -64,7 +64,8 @@ def mean_gradient(df: DataFrame, array: str, probabilities: str, label: str, cla
         (F.get(probabilities, F.lit(c)) - (F.col(label) == c).cast("double")).alias(f"r{c}")
         for c in range(classes)
     ]
-    cells = df.select(*residuals, F.posexplode(array).alias("position", "x"))
+    cells = df.select(*residuals, F.posexplode_outer(array).alias("position", "x"))
+    cells = cells.filter(F.col("position").isNotNull())
     x = F.col("x").cast("double")
     means = cells.groupBy("position").agg(
         *[F.avg(F.col(f"r{c}") * x).alias(f"g{c}") for c in range(classes)]
