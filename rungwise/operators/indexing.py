@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    IndexToString,
+    OneHotEncoder,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,12 +19,6 @@ from rungwise.operators.ranking import global_rank
 DRIVER_CATEGORIES = 100_000
 
 
-def fit_indexers(df: DataFrame, columns: list[str], unseen: str = "error", outputs: list[str] | None = None):
-    """One ``StringIndexer`` stage for all columns, fitted in one pass over ``df``."""
-    outputs = outputs or [c + INDEX_SUFFIX for c in columns]
-    return StringIndexer(inputCols=columns, outputCols=outputs, handleInvalid=unseen).fit(df)
-
-
 def wide_columns(df: DataFrame, columns: list[str], limit: int = DRIVER_CATEGORIES) -> list[str]:
     """Columns with more categories than the driver should hold (by sketch, one pass)."""
     if not columns:
@@ -27,6 +27,25 @@ def wide_columns(df: DataFrame, columns: list[str], limit: int = DRIVER_CATEGORI
     return [c for c in columns if counts[c] > limit]
 
 
+def fit_indexers(
+    df: DataFrame,
+    columns: list[str],
+    unseen: str = "error",
+    outputs: list[str] | None = None,
+    limit: int | None = DRIVER_CATEGORIES,
+) -> StringIndexerModel:
+    """One ``StringIndexer`` stage for all columns, fitted in one pass over ``df``.
+
+    Its model lists every category on the driver, so columns are first checked
+    by a sketch; ``string_index`` is the way for those that are refused.
+    """
+    wide = wide_columns(df, columns, limit) if limit else []
+    if wide:
+        raise ValueError(f"more than {limit} categories, index by join (string_index) instead: {wide}")
+    outputs = outputs or [c + INDEX_SUFFIX for c in columns]
+    return StringIndexer(inputCols=columns, outputCols=outputs, handleInvalid=unseen).fit(df)
+
+
 def index_by_join(df: DataFrame, column: str, output: str) -> DataFrame:
     """The same index with the categories kept as a table.
 
@@ -50,7 +69,7 @@ def string_index(
     columns with more than ``limit`` categories, by a join."""
     wide = wide_columns(df, columns, limit)
     narrow = [c for c in columns if c not in wide]
-    indexed = fit_indexers(df, narrow, unseen).transform(df) if narrow else df
+    indexed = fit_indexers(df, narrow, unseen, limit=None).transform(df) if narrow else df
     for column in wide:
         indexed = index_by_join(indexed, column, column + INDEX_SUFFIX)
     return indexed.select(*df.columns, *[c + INDEX_SUFFIX for c in columns])

@@ -88,7 +88,8 @@ def best_checkpoint(
     ``step`` is numeric and unique within a run. A running maximum over a run
     is split in slices of the step: the best of earlier slices comes from one
     row per (run, slice), the best within a slice from a window over the
-    slice, so no task sees more of a run than one slice holds.
+    slice, so no task sees more of a run than one slice holds. Rows that do
+    not beat the earlier slices are dropped before the window's shuffle.
     """
     slices = slices or min(MAX_SLICES, shuffle_width(history.sparkSession))
     sliced = _step_slices(history.filter(F.col(metric).isNotNull()), step, slices)
@@ -101,13 +102,13 @@ def best_checkpoint(
         F.max("_slice_best").over(earlier).alias("_before"),
         F.max("_slice_best").over(whole).alias("_best"),
     )
-    within = Window.partitionBy(run, "_slice").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-    value = F.col(metric)
     same_slice = F.col(run).eqNullSafe(F.col("_run")) & (F.col("_slice") == F.col("_of_slice"))
-    marked = sliced.withColumn("_local", F.max(metric).over(within)).join(bests, same_slice)
-    beaten = F.greatest("_before", "_local")
+    value = F.col(metric)
+    hopeful = sliced.join(bests, same_slice).filter(F.col("_before").isNull() | (value > F.col("_before")))
+    within = Window.partitionBy(run, "_slice").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        marked.filter(beaten.isNull() | (value > beaten))
+        hopeful.withColumn("_local", F.max(metric).over(within))
+        .filter(F.col("_local").isNull() | (value > F.col("_local")))
         .withColumn("kept", value == F.col("_best"))
         .drop("_slice", "_local", "_run", "_of_slice", "_before", "_best")
     )

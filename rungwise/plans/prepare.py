@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, Layout, cast_integer, fill_missing_numeric
-from rungwise.operators.indexing import DRIVER_CATEGORIES, fit_indexers, wide_columns
+from rungwise.operators.indexing import DRIVER_CATEGORIES, fit_indexers
 
 FEATURES = "features"
 INDEXED_LABEL = "indexedLabel"
@@ -38,8 +38,7 @@ def prepare_pipeline(df: DataFrame, layout: Layout, unseen: str = "error") -> Pi
     """All indexers, label included, fitted as one unit on ``df``."""
     columns = [*layout.text, layout.label]
     outputs = [*[c + INDEX_SUFFIX for c in layout.text], INDEXED_LABEL]
-    indexer = StringIndexer(inputCols=columns, outputCols=outputs, handleInvalid=unseen)
-    return Pipeline(stages=[indexer]).fit(df)
+    return PipelineModel([fit_indexers(df, columns, unseen, outputs)])
 
 
 def indexed_integers(df: DataFrame, model: PipelineModel, layout: Layout, key: str) -> DataFrame:
@@ -58,10 +57,7 @@ def fit_features(
     column with too many categories is refused: index it with ``string_index``
     first, which keeps them in a table.
     """
-    wide = wide_columns(train, [*layout.text, layout.label], limit)
-    if wide:
-        raise ValueError(f"more than {limit} categories, index by join first: {wide}")
-    *text_labels, classes = fit_indexers(train, [*layout.text, layout.label]).labelsArray
+    *text_labels, classes = fit_indexers(train, [*layout.text, layout.label], limit=limit).labelsArray
     stages = [StringIndexerModel.from_labels(classes, layout.label, LABEL_RANK)]
     if layout.text:
         outputs = [c + INDEX_SUFFIX for c in layout.text]

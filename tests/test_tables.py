@@ -109,6 +109,12 @@ def test_wide_index_equals_indexer(spark):
     assert sorted(map(tuple, by_model.collect())) == sorted(map(tuple, by_join.collect()))
 
 
+def test_indexer_refuses_too_many_categories(spark):
+    df = spark.range(300).select(F.col("id").cast("string").alias("s"))
+    with pytest.raises(ValueError, match="string_index"):
+        indexing.fit_indexers(df, ["s"], limit=100)
+
+
 def test_wide_index_rejects_null(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "s string")
     for limit in (1, 100):
