@@ -2,29 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import (
-    IndexToString,
-    OneHotEncoder,
-    StringIndexer,
-    StringIndexerModel,
-    VectorAssembler,
-)
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, long_form
 from rungwise.operators.ranking import global_rank
+from rungwise.session import cached
 
 # Categories of one column that the driver may hold; more are indexed by a join.
 DRIVER_CATEGORIES = 100_000
 
 
-def wide_columns(df: DataFrame, columns: list[str], limit: int = DRIVER_CATEGORIES) -> list[str]:
-    """Columns with more categories than the driver should hold (by sketch, one pass)."""
-    if not columns:
-        return []
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return [c for c in columns if counts[c] > limit]
+def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, count) of every category, all columns in one pass.
+
+    Counts are merged in the tasks and then by (column, value) across the
+    cluster. The indexer's own fit merges whole category maps in one task.
+    """
+    pairs = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
+    ]
+    cells = df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    return cells.groupBy("column", "value").count()
+
+
+def _sizes(counts: DataFrame, columns: list[str]) -> dict[str, int]:
+    found = dict(counts.groupBy("column").agg(F.count("*")).collect())
+    return {c: found.get(c, 0) for c in columns}
+
+
+def _indexer_model(counts: DataFrame, columns: list[str], outputs: list[str], unseen: str) -> PipelineModel:
+    """One indexer per column, for columns whose categories are known to fit on the driver."""
+    labels: dict[str, list] = {c: [] for c in columns}
+    for column, value, count in counts.filter(F.col("column").isin(columns)).collect():
+        labels[column].append((-count, value))
+    return PipelineModel(
+        [
+            StringIndexerModel.from_labels([v for _, v in sorted(labels[c])], c, output, handleInvalid=unseen)
+            for c, output in zip(columns, outputs)
+        ]
+    )
 
 
 def fit_indexers(
@@ -32,34 +51,43 @@ def fit_indexers(
     columns: list[str],
     unseen: str = "error",
     outputs: list[str] | None = None,
-    limit: int | None = DRIVER_CATEGORIES,
-) -> StringIndexerModel:
-    """One ``StringIndexer`` stage for all columns, fitted in one pass over ``df``.
+    limit: int = DRIVER_CATEGORIES,
+) -> PipelineModel:
+    """An indexer per column, all fitted in one pass over ``df``.
 
-    Its model lists every category on the driver, so columns are first checked
-    by a sketch; ``string_index`` is the way for those that are refused.
+    The model lists every category on the driver, so a column with more than
+    ``limit`` is refused; ``string_index`` is the way for those.
     """
-    wide = wide_columns(df, columns, limit) if limit else []
-    if wide:
-        raise ValueError(f"more than {limit} categories, index by join (string_index) instead: {wide}")
-    outputs = outputs or [c + INDEX_SUFFIX for c in columns]
-    return StringIndexer(inputCols=columns, outputCols=outputs, handleInvalid=unseen).fit(df)
+    with cached(category_counts(df, columns)) as counts:
+        wide = [c for c, size in _sizes(counts, columns).items() if size > limit]
+        if wide:
+            raise ValueError(f"more than {limit} categories, index by join (string_index) instead: {wide}")
+        return _indexer_model(counts, columns, outputs or [c + INDEX_SUFFIX for c in columns], unseen)
 
 
-def index_by_join(df: DataFrame, column: str, output: str) -> DataFrame:
+def index_by_join(
+    df: DataFrame, column: str, output: str, unseen: str = "error", counts: DataFrame | None = None
+) -> DataFrame:
     """The same index with the categories kept as a table.
 
     Categories are counted, ranked by a range sort and joined back. Spark
     broadcasts the ranks only if they are small, and splits a hot category's
-    partition in the join otherwise. Nulls are rejected, as by the indexer.
+    partition in the join otherwise. Nulls are an error, skipped, or kept
+    under a rank of their own, as by the indexer.
     """
-    counts = df.groupBy(column).count()
-    ranks = global_rank(counts, [F.desc("count"), F.asc(column)], output)
-    ranks = ranks.select(column, (F.col(output) - 1).cast("double").alias(output))
-    checked = df.withColumn(
-        column, F.coalesce(column, F.raise_error(F.lit(f"null category in {column}")).cast("string"))
-    )
-    return checked.join(ranks, column, "left")
+    counts = category_counts(df, [column]) if counts is None else counts
+    own = counts.filter(F.col("column") == column).select("value", "count")
+    ranks = global_rank(own, [F.desc("count"), F.asc("value")], "_rank")
+    ranks = ranks.select(F.col("value").alias("_value"), (F.col("_rank") - 1).cast("double").alias(output))
+    text = F.col(column).cast("string")
+    if unseen == "error":
+        text = F.coalesce(text, F.raise_error(F.lit(f"null category in {column}")).cast("string"))
+    joined = df.withColumn("_text", text).join(ranks, F.col("_text") == F.col("_value"), "left")
+    if unseen == "keep":
+        joined = joined.withColumn(output, F.coalesce(output, F.lit(float(ranks.count()))))
+    if unseen == "skip":
+        joined = joined.filter(F.col(output).isNotNull())
+    return joined.drop("_text", "_value")
 
 
 def string_index(
@@ -67,18 +95,23 @@ def string_index(
 ) -> DataFrame:
     """Add ``<column>_index`` (double) for every column, by the indexer or, for
     columns with more than ``limit`` categories, by a join."""
-    wide = wide_columns(df, columns, limit)
-    narrow = [c for c in columns if c not in wide]
-    indexed = fit_indexers(df, narrow, unseen, limit=None).transform(df) if narrow else df
-    for column in wide:
-        indexed = index_by_join(indexed, column, column + INDEX_SUFFIX)
+    with cached(category_counts(df, columns)) as counts:
+        sizes = _sizes(counts, columns)
+        wide = [c for c in columns if sizes[c] > limit]
+        narrow = [c for c in columns if c not in wide]
+        indexed = df
+        if narrow:
+            model = _indexer_model(counts, narrow, [c + INDEX_SUFFIX for c in narrow], unseen)
+            indexed = model.transform(df)
+        for column in wide:
+            indexed = index_by_join(indexed, column, column + INDEX_SUFFIX, unseen, counts)
     return indexed.select(*df.columns, *[c + INDEX_SUFFIX for c in columns])
 
 
 def label_index(df: DataFrame, label: str, output: str = "indexedLabel") -> tuple[DataFrame, list[str]]:
     """Add the label's index; also returns the labels in index order."""
     model = fit_indexers(df, [label], outputs=[output])
-    return model.transform(df), list(model.labelsArray[0])
+    return model.transform(df), list(model.stages[0].labels)
 
 
 def label_restore(df: DataFrame, index: str, labels: list[str], output: str) -> DataFrame:

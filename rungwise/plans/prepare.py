@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, Layout, cast_integer, fill_missing_numeric
@@ -38,7 +38,7 @@ def prepare_pipeline(df: DataFrame, layout: Layout, unseen: str = "error") -> Pi
     """All indexers, label included, fitted as one unit on ``df``."""
     columns = [*layout.text, layout.label]
     outputs = [*[c + INDEX_SUFFIX for c in layout.text], INDEXED_LABEL]
-    return PipelineModel([fit_indexers(df, columns, unseen, outputs)])
+    return fit_indexers(df, columns, unseen, outputs)
 
 
 def indexed_integers(df: DataFrame, model: PipelineModel, layout: Layout, key: str) -> DataFrame:
@@ -57,16 +57,12 @@ def fit_features(
     column with too many categories is refused: index it with ``string_index``
     first, which keeps them in a table.
     """
-    *text_labels, classes = fit_indexers(train, [*layout.text, layout.label], limit=limit).labelsArray
-    stages = [StringIndexerModel.from_labels(classes, layout.label, LABEL_RANK)]
-    if layout.text:
-        outputs = [c + INDEX_SUFFIX for c in layout.text]
-        stages.append(
-            StringIndexerModel.from_arrays_of_labels(
-                text_labels, layout.text, outputs, handleInvalid="keep"
-            )
-        )
-    return PipelineModel([*stages, *vector_stages(layout, nominal)])
+    outputs = [LABEL_RANK, *[c + INDEX_SUFFIX for c in layout.text]]
+    fitted = fit_indexers(train, [layout.label, *layout.text], outputs=outputs, limit=limit)
+    label, *text = fitted.stages
+    for indexer in text:
+        indexer.setHandleInvalid("keep")
+    return PipelineModel([label, *text, *vector_stages(layout, nominal)])
 
 
 def apply_features(model: PipelineModel, df: DataFrame, layout: Layout, keys: list[str]) -> DataFrame:

@@ -64,7 +64,8 @@ def test_ordered_codes_fit_where_categories_do_not(spark, parts):
 def test_unseen_category_gets_its_own_rank(spark, parts):
     raw, layout, model, _, _ = parts
     odd = raw.limit(3).withColumn("sex", F.lit("unheard of"))
-    assert prepare.apply_features(model, odd, layout, ["key"]).count() == 3
+    position = layout.features.index("sex_index")
+    assert {r["features"][position] for r in prepare.apply_features(model, odd, layout, ["key"]).collect()} == {2.0}
     with pytest.raises(Exception):
         prepare.apply_features(model, raw.withColumn("label", F.lit("new")), layout, ["key"]).collect()
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from rungwise.functions import losses
@@ -105,7 +106,6 @@ def test_index_order_ties_and_restore(spark):
 def test_wide_index_equals_indexer(spark):
     df = spark.range(3000).select((F.col("id") * F.col("id") % 701).cast("string").alias("s"), "id")
     by_model, by_join = indexing.string_index(df, ["s"]), indexing.string_index(df, ["s"], limit=10)
-    assert indexing.wide_columns(df, ["s"], 10) == ["s"] and indexing.wide_columns(df, ["s"]) == []
     assert sorted(map(tuple, by_model.collect())) == sorted(map(tuple, by_join.collect()))
 
 
@@ -115,11 +115,23 @@ def test_indexer_refuses_too_many_categories(spark):
         indexing.fit_indexers(df, ["s"], limit=100)
 
 
-def test_wide_index_rejects_null(spark):
-    df = spark.createDataFrame([("a",), (None,), ("b",)], "s string")
-    for limit in (1, 100):
-        with pytest.raises(Exception):
-            indexing.string_index(df, ["s"], limit=limit).collect()
+def test_index_equals_the_stock_indexer(spark):
+    df = spark.range(900).select(
+        (F.col("id") * 31 % 17).cast("string").alias("s"), F.format_string("%d-é", F.col("id") % 40).alias("t")
+    )
+    stock = StringIndexer(inputCols=["s", "t"], outputCols=["s_index", "t_index"]).fit(df)
+    ours = [tuple(stage.labels) for stage in indexing.fit_indexers(df, ["s", "t"]).stages]
+    assert ours == [tuple(labels) for labels in stock.labelsArray]
+
+
+@pytest.mark.parametrize("limit", [1, 100])
+def test_null_categories(spark, limit):
+    df = spark.createDataFrame([("a",), (None,), ("b",), ("b",)], "s string")
+    with pytest.raises(Exception):
+        indexing.string_index(df, ["s"], limit=limit).collect()
+    kept = indexing.string_index(df, ["s"], "keep", limit).collect()
+    assert sorted((r["s"] or "", r["s_index"]) for r in kept) == [("", 2.0), ("a", 1.0), ("b", 0.0), ("b", 0.0)]
+    assert indexing.string_index(df, ["s"], "skip", limit).count() == 3
 
 
 def test_assemble_rejects_null(spark):
