@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rungwise.functions.hashing import MULTIPLIERS
 from rungwise.functions.images import Shape
@@ -92,7 +92,7 @@ def wide_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
-    def tag(prefix: str, number) -> F.Column:
+    def tag(prefix: str, number: Column) -> Column:
         return F.concat(F.lit(prefix), number.cast("string"))
 
     day = F.col("o_orderdate")
@@ -129,7 +129,9 @@ def census_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 # Embeddings as 8x8 images with integer pixels in 0..255.
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    level = lambda v: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((v.cast("double") + 1.0) * 127.5)))
+    def level(v: Column) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(255), F.floor((v.cast("double") + 1.0) * 127.5)))
+
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", F.transform("embedding", lambda v: level(v).cast("int")).alias("pixels"), "label"
     )

@@ -115,7 +115,9 @@ class Adam:
         return weights - self.rate * mean / (np.sqrt(square) + 1e-7)
 
 
-def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int):
+def store_batches(
+    df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int
+) -> tuple[DataFrame, int, int]:
     """Write rows grouped by batch to the shared folder; returns (table, batches, batches per block).
 
     A training step then reads the files of its own block of batches and skips
@@ -134,7 +136,8 @@ def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: i
         .write.partitionBy("block")
         .parquet(path)
     )
-    schema = StructType([*df.select(array, label).schema.fields, StructField("batch_id", LongType()), StructField("block", IntegerType())])
+    added = [StructField("batch_id", LongType()), StructField("block", IntegerType())]
+    schema = StructType([*df.select(array, label).schema.fields, *added])
     return spark.read.schema(schema).parquet(path), batches, per_block
 
 

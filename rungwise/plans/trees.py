@@ -19,6 +19,7 @@ from rungwise.operators.metrics import accuracy
 from rungwise.operators.splits import kfold_assign
 from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
 from rungwise.session import cached, shuffle_width
+from rungwise.sources.runlogs import LOG_SCHEMA, run_name, runlog_append
 
 SEED = 42
 ROWS_PER_TASK = 20_000
@@ -132,8 +133,24 @@ def train_eval_rungs(
 
 
 def train_eval_ladder(
-    train: DataFrame, test: DataFrame, max_m: int = 600, step: int = 30, **settings
+    train: DataFrame,
+    test: DataFrame,
+    max_m: int = 600,
+    step: int = 30,
+    log: str | None = None,
+    run: str | None = None,
+    **settings,
 ) -> DataFrame:
-    """The scaling study: (m, rows, dt, a) for every rung of the ladder."""
-    rows = list(train_eval_rungs(train, test, ladder_rungs(max_m, step), **settings))
-    return train.sparkSession.createDataFrame(rows, "m int, rows long, dt double, a double")
+    """The scaling study: (m, rows, dt, a) for every rung of the ladder.
+
+    With ``log``, a folder, every rung is appended to run ``run`` as soon as it
+    is known, so a broken study keeps the rungs it has done.
+    """
+    spark, rows = train.sparkSession, []
+    run = run or run_name(max_m, 1, spark.sparkContext.defaultParallelism)
+    for m, size, seconds, share in train_eval_rungs(train, test, ladder_rungs(max_m, step), **settings):
+        rows.append((m, size, seconds, share))
+        if log:
+            line = spark.createDataFrame([(run, m, seconds, share)], "run string, " + LOG_SCHEMA)
+            runlog_append(line, log)
+    return spark.createDataFrame(rows, "m int, rows long, dt double, a double")

@@ -10,6 +10,11 @@ LOG_SCHEMA = "m int, dt double, a double"
 NAME_PATTERN = r"_(\d+)_(\d+)_(\d+)\.csv"
 
 
+def run_name(max_m: int, nodes: int, cpus: int, kind: str = "ladder") -> str:
+    """The name of a run, with its settings where ``runlog_scan`` looks for them."""
+    return f"{kind}_{max_m}_{nodes}_{cpus}.csv"
+
+
 def runlog_append(log: DataFrame, path: str, run: str = "run") -> None:
     """Append rows under ``path/run=<run>/``.
 

@@ -53,7 +53,7 @@ def census_csv(tmp_path_factory) -> str:
     rows += [rows[0], rows[1]]
     rows.append(rows[2][:-1] + ["<=50K" if rows[2][-1] == ">50K" else ">50K"])
     rows.append(rows[3][:2] + [""] + rows[3][3:])
-    path = tmp_path_factory.mktemp("census") / "adult.csv"
+    path = tmp_path_factory.mktemp("census") / "census.csv"
     text = "".join(", ".join(map(str, row)) + "\n" for row in rows) + "\n"
     path.write_text(text.replace(", , ", ",, "))
     return str(path)

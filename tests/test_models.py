@@ -13,6 +13,7 @@ from rungwise.plans import dense, prepare, trees
 from rungwise.plans.prepare import INDEXED_LABEL
 from rungwise.session import scratch_path
 from rungwise.sources import models, tables
+from rungwise.sources.runlogs import run_name, runlog_scan
 
 
 @pytest.fixture(scope="module")
@@ -113,6 +114,14 @@ def test_ladder_rows_grow_and_accuracy_stays(spark, parts):
     assert all(r["dt"] > 0 and r["a"] > 0.95 for r in rows)
 
 
+def test_ladder_logs_every_rung(spark, parts):
+    _, _, _, train, test = parts
+    path = scratch_path(spark, "ladder")
+    rows = trees.train_eval_ladder(train, test, max_m=4, step=2, log=path, run=run_name(4, 10, 8)).collect()
+    logged = runlog_scan(spark, f"{path}/*").orderBy("m").collect()
+    assert [tuple(r) for r in logged] == [(r["m"], r["dt"], r["a"], 4, 10, 8) for r in rows]
+
+
 def toy_images(spark, n=240):
     rng = np.random.default_rng(1)
     rows = []

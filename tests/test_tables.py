@@ -56,7 +56,7 @@ def test_image_files(spark, tmp_path):
 
 
 def test_runlog_formats(spark, tmp_path):
-    (tmp_path / "ml_tree_600_4_8.csv").write_text("m,dt,a\n1,3.5,0.84\n31,17.25,0.85\n")
+    (tmp_path / "ladder_600_4_8.csv").write_text("m,dt,a\n1,3.5,0.84\n31,17.25,0.85\n")
     (tmp_path / "local_2_1_5.csv").write_text("m, dt\n2, 183.5\n4, 74.75")
     (tmp_path / "empty_350_1_1.csv").write_text("m,dt,a\n")
     rows = runlogs.runlog_scan(spark, f"{tmp_path}/*.csv").collect()
@@ -66,7 +66,7 @@ def test_runlog_formats(spark, tmp_path):
 
 
 def test_runlog_without_settings_in_name(spark, tmp_path):
-    (tmp_path / "ml_tree.csv").write_text("m,dt\n1,3.5\n")
+    (tmp_path / "ladder.csv").write_text("m,dt\n1,3.5\n")
     assert [tuple(r) for r in runlogs.runlog_scan(spark, str(tmp_path)).collect()] == [(1, 3.5, None, None, None, None)]
 
 
@@ -86,7 +86,8 @@ def test_fill_leaves_strings(spark):
 def test_layout_puts_text_first(spark, census_csv):
     layout = columns.feature_layout(tables.csv_scan_infer(spark, census_csv))
     assert layout.label == "_c14"
-    assert layout.features[:2] == ["_c1_index", "_c3_index"] and layout.features[8:] == ["_c0", "_c2", "_c4", "_c10", "_c11", "_c12"]
+    assert layout.features[:2] == ["_c1_index", "_c3_index"]
+    assert layout.features[8:] == ["_c0", "_c2", "_c4", "_c10", "_c11", "_c12"]
 
 
 def test_cast_is_toward_zero(spark):
@@ -211,8 +212,11 @@ def test_losses_agree_and_stand_large_scores(spark):
 def test_batch_gradients_average_to_the_whole(spark):
     rows = [(k, [float(k % 5), float(k % 3)], [0.2, 0.5, 0.3], k % 3) for k in range(30)]
     df = spark.createDataFrame(rows, "k int, x array<double>, p array<double>, y int")
+
     def gradient(part):
-        return {(r["class"], r["position"]): r["gradient"] for r in metrics.mean_gradient(part, "x", "p", "y", 3).collect()}
+        cells = metrics.mean_gradient(part, "x", "p", "y", 3).collect()
+        return {(r["class"], r["position"]): r["gradient"] for r in cells}
+
     whole, left, right = gradient(df), gradient(df.filter("k < 10")), gradient(df.filter("k >= 10"))
     assert len(whole) == 6
     assert all(math.isclose(whole[c], (left[c] * 10 + right[c] * 20) / 30, abs_tol=1e-12) for c in whole)
@@ -251,7 +255,8 @@ def test_best_checkpoint_of_nothing(spark):
 
 def test_history_long_and_sizes(spark):
     df = spark.createDataFrame([(1, 0.5, 0.4)], "epoch int, accuracy double, loss double")
-    assert sorted(map(tuple, runs.history_long(df, "epoch", ["accuracy", "loss"]).collect())) == [(1, "accuracy", 0.5), (1, "loss", 0.4)]
+    long = runs.history_long(df, "epoch", ["accuracy", "loss"])
+    assert sorted(map(tuple, long.collect())) == [(1, "accuracy", 0.5), (1, "loss", 0.4)]
     size = runs.dataset_size(spark.createDataFrame([(301,)], "m int"), "m").first()
     assert size["size_bits"] == 301 * 32561 * 14 * 32 and math.isclose(size["size_mb"], 301 * 1.272824)
 
