@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from rungwise.llm.bpe import op6_bpe
 from rungwise.llm.packing import op9_packing
+from rungwise.llm.simhash import op7_simhash
 
 QUERIES = {
     "op6_bpe": op6_bpe,
+    "op7_simhash": op7_simhash,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
