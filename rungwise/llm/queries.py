@@ -5,8 +5,10 @@ from __future__ import annotations
 from rungwise.llm.bpe import op6_bpe
 from rungwise.llm.packing import op9_packing
 from rungwise.llm.simhash import op7_simhash
+from rungwise.llm.suffix_dedup import op5_suffix_dedup
 
 QUERIES = {
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
     "op9_packing": op9_packing,
