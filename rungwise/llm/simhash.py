@@ -207,6 +207,16 @@ def simhash_groups(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -
     return marked.join(first.join(roots, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each_group(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` (as read from files) with one row of each group: the least id, null last."""
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    found = simhash_groups(numbered.select(F.col("_row").alias("doc_id"), "text"), size, radius)
+    ids = numbered.select("_row", F.col("doc_id").alias("_id")).join(found.withColumnRenamed("doc_id", "_row"), "_row")
+    order = F.struct(F.col("_id").isNull(), "_id", "_row")
+    first = ids.groupBy("component_id").agg(F.min_by("_row", order).alias("_row")).select("_row")
+    return numbered.join(first, "_row", "left_semi").select(*docs.columns)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

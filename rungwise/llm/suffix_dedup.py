@@ -44,10 +44,10 @@ LIMIT = 1 << 15  # strings sorted together
 SEGMENT = 1 << 22  # bytes hashed together; positions within take 24 bits
 END = 0xFF  # no byte of UTF-8
 ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # bases of the polynomial hashes: any odd numbers
-KEY = ["d", "x"]
-ANCHORS = "d long, x long, h long, place long"
-CONTEXTS = "h long, chunk int, parts int, d long, x long, first long, left int, bytes binary"
-FOUND = "kind int, d long, x long, start long, end long, f1 long, f2 long"
+KEY = ["_d", "_x"]
+ANCHORS = "_d long, _x long, h long, place long"
+CONTEXTS = "h long, chunk int, parts int, _d long, _x long, first long, left int, bytes binary"
+FOUND = "kind int, _d long, _x long, start long, end long, f1 long, f2 long"
 
 
 @lru_cache(maxsize=4)
@@ -120,12 +120,9 @@ def segments(texts: list[bytes], window: int) -> Iterator[tuple[list[int], list[
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``d, x`` tell texts apart even where ids are null or repeated."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).alias("x"), text.alias("text"),
-    )
+    """All columns, and ``_d, _x`` that tell texts apart even where ids are null or repeated."""
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return docs.select("*", number.alias("_d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_x"))
 
 
 def anchor_rows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
@@ -139,7 +136,7 @@ def anchor_rows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataF
                 text, first, left, more, hashes = anchors_of(np.frombuffer(b"".join(pieces), np.uint8), bounds, window, k)
                 row, first = np.array(rows)[text], first + np.array(shifts)[text]
                 columns = d[row], x[row], hashes.view(np.int64), first << 16 | left << 8 | more
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["d", "x", "h", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*KEY, "h", "place"])
 
     return docs.select(*KEY, "text").mapInArrow(run, ANCHORS)
 
@@ -251,7 +248,7 @@ def repeated_windows(table: pa.Table, window: int, k: int) -> Iterator[pa.Record
         lead = np.flatnonzero(own & ~with_last & chunked[order])
         if len(lead):
             heads.append((np.full(len(lead), column), order[lead], either[lead]))
-    d, x, first = (table[name].to_numpy() for name in ("d", "x", "first"))
+    d, x, first = (table[name].to_numpy() for name in (*KEY, "first"))
     by_row = np.zeros((len(lists), at + 3), dtype=np.int8)
     by_row[:, 1 : at + 2] = repeated.T
     edge = np.diff(by_row, axis=1)
@@ -274,7 +271,7 @@ def _found(kind, d, x, start, end, f1=None, f2=None) -> pa.RecordBatch:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, limit: int = LIMIT) -> DataFrame:
-    """Byte spans ``d, x, start, end`` of repeated windows; spans may overlap. ``docs`` comes from ``keyed``."""
+    """Byte spans ``_d, _x, start, end`` of repeated windows; spans may overlap. ``docs`` comes from ``keyed``."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "repeats")
     anchor_rows(docs, window, k).write.parquet(f"{folder}/anchors")
@@ -318,12 +315,35 @@ def kept_bytes(text: bytes, runs: list[tuple[int, int]]) -> list[bytes]:
 
 
 def with_runs(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, text, starts, ends`` of every row: the spans found in it."""
+    """All columns of every row, and ``_starts, _ends`` of the spans found in its text."""
     marked = keyed(docs)
     spans = repeated_spans(marked, **options).groupBy(*KEY).agg(
-        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
+        F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends")
     )
-    return marked.join(spans, KEY, "left").select("doc_id", "text", "starts", "ends")
+    return marked.join(spans, KEY, "left").drop(*KEY)
+
+
+def without_repeats(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of ``text`` and ``n_chars`` counted anew.
+
+    A character that lost some of its bytes goes as a whole. Null text stays null.
+    """
+    names = docs.columns
+    place = [names.index(name) for name in ("text", "n_chars")]
+
+    def run(batches):
+        for batch in slices(batches):
+            texts = []
+            for text, starts, ends in zip(*(batch.column(i).to_pylist() for i in (place[0], len(names), len(names) + 1))):
+                if text is not None and starts:
+                    text = b"".join(kept_bytes(text.encode(), merged(starts, ends))).decode("utf-8", "ignore")
+                texts.append(text)
+            columns = batch.columns[: len(names)]
+            columns[place[0]] = pa.array(texts, columns[place[0]].type)
+            columns[place[1]] = pa.array([None if t is None else len(t) for t in texts], columns[place[1]].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return with_runs(docs, **options).select(*names, "_starts", "_ends").mapInArrow(run, docs.schema)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,4 +361,5 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out), kinds))], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return with_runs(read_table(spark, sf_dir, "documents")).mapInArrow(run, schema)
+    found = with_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.mapInArrow(run, schema)
