@@ -21,11 +21,19 @@ def nearest_sql(position: str) -> str:
     return f"CAST(greatest(0, least(7, floor({position} + {0.5 + images.HALF_SLACK!r}::DOUBLE))) AS INTEGER)"
 
 
-def gather_sql(source: str, cells: str = "cells", value: str = "pixel") -> str:
+def gather_sql(source: str, images_of: str = "pictures") -> str:
     """Every cell takes the value of the cell at position ``source`` of its image."""
-    return f"""SELECT moved.vec_id, moved.label, moved.position, c.{value} AS {value}
-    FROM (SELECT vec_id, label, position, {source} AS src FROM {cells}) moved
-         JOIN {cells} c ON c.vec_id = moved.vec_id AND c.position = moved.src"""
+    return f"SELECT vec_id, label, [pixels[({source}) + 1] FOR position IN range(64)] AS pixels FROM {images_of}"
+
+
+PICTURES = """pictures AS (
+    SELECT vec_id, label,
+           [CAST(greatest(0, least(255, floor((v::DOUBLE + 1.0::DOUBLE) * 127.5::DOUBLE))) AS INTEGER) FOR v IN embedding] AS pixels
+    FROM embeddings)"""
+
+
+def cells_sql(images_of: str, columns: str = "vec_id") -> str:
+    return f"SELECT {columns}, CAST(i AS INTEGER) AS position, pixels[i + 1]::DOUBLE AS value FROM {images_of}, range(64) AS r(i)"
 
 
 ANGLE = amount_sql("vec_id", augment.TURN * 2.0 * math.pi, 42, augment.ANGLE_DRAW)
@@ -51,8 +59,7 @@ FLIPPED = (
 
 
 def image_sql(source: str) -> str:
-    return f"""WITH {CELLS}, changed AS ({gather_sql(source)})
-    SELECT vec_id, position, pixel::DOUBLE AS value FROM changed"""
+    return f"WITH {PICTURES}, changed AS ({gather_sql(source)}) {cells_sql('changed')}"
 
 
 def cells(df, array: str = "pixels"):
@@ -171,13 +178,13 @@ def image_rotate(spark, sf_dir):
 
 @query(
     "augment_append",
-    f"""WITH {CELLS},
+    f"""WITH {PICTURES},
     turned AS ({gather_sql(ROTATED)}),
     moved_on AS ({gather_sql(TRANSLATED, "turned")}),
     scaled AS ({gather_sql(ZOOMED, "moved_on")}),
     mirrored AS ({gather_sql(FLIPPED, "scaled")})
-    SELECT vec_id, label, false AS augmented, position, pixel::DOUBLE AS value FROM cells
-    UNION ALL SELECT vec_id, label, true, position, pixel::DOUBLE FROM mirrored""",
+    {cells_sql("pictures", "vec_id, label, false AS augmented")}
+    UNION ALL {cells_sql("mirrored", "vec_id, label, true AS augmented")}""",
 )
 def augment_append(spark, sf_dir):
     grown = augment.augment_append(image_table(spark, sf_dir), "vec_id", "pixels", GRID)

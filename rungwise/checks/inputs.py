@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rungwise.functions.hashing import MULTIPLIERS
+from rungwise.functions.hashing import FOLD, LOW_32, MIX, hash_constant
 from rungwise.functions.images import Shape
 from rungwise.operators.census import label_threshold
 from rungwise.operators.columns import feature_layout
@@ -21,7 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def hash_sql(key: str, seed: int = 0, draw: int = 0) -> str:
-    return f"((({key}) + {seed}) * {MULTIPLIERS[draw]} % 4294967296)"
+    """``row_hash`` of a key that is not null."""
+    folded = f"xor(({key}) & {LOW_32}, ((({key}) >> 32) & {LOW_32}) * {FOLD} & {LOW_32})"
+    value = f"xor({folded}, {hash_constant(seed, draw)})"
+    for _ in range(2):
+        value = f"(xor({value}, ({value}) >> 16) * {MIX} & {LOW_32})"
+    return f"xor({value}, {value} >> 16)"
 
 
 def amount_sql(key: str, limit: float, seed: int = 0, draw: int = 0) -> str:
@@ -143,12 +148,18 @@ CELLS = """cells AS (
     FROM embeddings, range(1, 65) AS r(i))"""
 
 
-# Scores and probabilities: the first ten values of each embedding.
+# Scores: every tenth value of an embedding belongs to one class and adds to its score.
 def scored_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").withColumn("scores", F.slice("embedding", 1, CLASSES))
+    def score(of_class: Column) -> Column:
+        own = F.filter("embedding", lambda _, i: i % CLASSES == of_class)
+        return F.aggregate(own, F.lit(0.0), lambda total, v: total + v.cast("double"))
 
+    classes = F.array(*[F.lit(c) for c in range(CLASSES)])
+    return table(spark, sf_dir, "embeddings").withColumn("scores", F.transform(classes, score))
 
-SCORED = """scored AS (
-    SELECT vec_id, label, CAST(i - 1 AS INTEGER) AS class, embedding[i]::DOUBLE AS score,
-           exp(embedding[i]::DOUBLE) / sum(exp(embedding[i]::DOUBLE)) OVER (PARTITION BY vec_id) AS p
-    FROM embeddings, range(1, 11) AS r(i))"""
+
+SCORED = """summed AS (
+    SELECT vec_id, label, CAST((i - 1) % 10 AS INTEGER) AS class, sum(embedding[i]::DOUBLE) AS score
+    FROM embeddings, range(1, 65) AS r(i) GROUP BY vec_id, label, (i - 1) % 10),
+scored AS (
+    SELECT *, exp(score) / sum(exp(score)) OVER (PARTITION BY vec_id) AS p FROM summed)"""

@@ -94,7 +94,9 @@ def batch_assign(spark, sf_dir):
 )
 def cache_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice")
-    kept = session.cache_table(orders)
-    return kept.groupBy("o_orderpriority").agg(
-        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("value")
-    )
+    with session.cached(orders) as kept:
+        sums = kept.groupBy("o_orderpriority").agg(
+            F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("value")
+        )
+        rows = sums.collect()  # one row per priority, taken while the rows are kept
+    return spark.createDataFrame(rows, sums.schema)

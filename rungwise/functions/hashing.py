@@ -1,6 +1,7 @@
 """Repeatable pseudo-random numbers from a row key.
 
-``row_hash`` is ``pmod((key + seed) * multiplier, 2**32)``: the same in every
+``row_hash`` folds a 64-bit key to 32 bits, adds a constant of the seed and the
+draw, and mixes with two rounds of xor-shift and multiply: the same in every
 engine with 64-bit integers, one-to-one on keys below 2**32, and independent
 of how rows are spread over partitions or retried.
 """
@@ -10,25 +11,37 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 HASH_RANGE = 1 << 32
-_LOW_32 = HASH_RANGE - 1
-_LOW_16 = (1 << 16) - 1
+LOW_32 = HASH_RANGE - 1
 
-# Odd 32-bit multipliers, one per independent draw from a key.
-MULTIPLIERS = (2654435761, 2246822519, 3266489917, 668265263, 374761393, 2869860233)
+# Odd multipliers below 2**31, so that no product of a 32-bit number overflows.
+MIX, FOLD = 0x45D9F3B, 0x27D4EB2D
+
+
+def mixed(number: int) -> int:
+    """The mixing rounds on a 32-bit integer, as in ``row_hash``."""
+    for _ in range(2):
+        number = (number ^ number >> 16) * MIX & LOW_32
+    return number ^ number >> 16
+
+
+def hash_constant(seed: int, draw: int) -> int:
+    """What sets one seed and draw apart from all others."""
+    return mixed(mixed(seed & LOW_32) + draw + 1 & LOW_32)
 
 
 def row_hash(key: Column | str, seed: int = 0, draw: int = 0) -> Column:
-    """A bigint in [0, 2**32) for an integer key; ``draw`` picks the multiplier.
+    """A bigint in [0, 2**32) for an integer key; ``draw`` numbers independent draws.
 
-    The product is taken in 16-bit halves, so no 64-bit key overflows. Keys
-    that are not integers go through ``integer_key`` first.
+    Both halves of the key count. Keys that are not integers go through
+    ``integer_key`` first. A null key hashes to 0: splits, folds and ranks all
+    take it from here, so such a row is a training row, of fold 0 and first.
     """
-    multiplier = MULTIPLIERS[draw]
-    column = F.col(key) if isinstance(key, str) else key
-    low = (column.cast("bigint").bitwiseAND(F.lit(_LOW_32)) + F.lit(seed)).bitwiseAND(F.lit(_LOW_32))
-    upper = (F.shiftright(low, 16) * F.lit(multiplier)).bitwiseAND(F.lit(_LOW_16))
-    product = F.shiftleft(upper, 16) + low.bitwiseAND(F.lit(_LOW_16)) * F.lit(multiplier)
-    return product.bitwiseAND(F.lit(_LOW_32))
+    column = (F.col(key) if isinstance(key, str) else key).cast("bigint")
+    upper = (F.shiftrightunsigned(column, 32) * F.lit(FOLD)).bitwiseAND(F.lit(LOW_32))
+    value = column.bitwiseAND(F.lit(LOW_32)).bitwiseXOR(upper).bitwiseXOR(F.lit(hash_constant(seed, draw)))
+    for _ in range(2):
+        value = (value.bitwiseXOR(F.shiftright(value, 16)) * F.lit(MIX)).bitwiseAND(F.lit(LOW_32))
+    return F.coalesce(value.bitwiseXOR(F.shiftright(value, 16)), F.lit(0).cast("bigint"))
 
 
 def integer_key(*columns: str) -> Column:

@@ -47,14 +47,3 @@ def ladder_rungs(max_m: int, step: int) -> list[int]:
 def scaling_ladder(df: DataFrame, max_m: int, step: int, partitions: int | None = None) -> list[tuple[int, DataFrame]]:
     """(m, table of m copies) for each rung; each is one ``bag_multiply`` of the base."""
     return [(m, bag_multiply(df, m, partitions)) for m in ladder_rungs(max_m, step)]
-
-
-def ladder_sizes(df: DataFrame, max_m: int, step: int) -> DataFrame:
-    """(m, rows) for every rung from one scan of the base.
-
-    Rungs and copies are expanded inside the scan's tasks and counted there;
-    only one partial count per rung and task is shuffled.
-    """
-    rungs = df.select(F.explode(F.lit(ladder_rungs(max_m, step))).alias("m"))
-    copies = rungs.select("m", F.explode(F.sequence(F.lit(1), F.col("m"))))
-    return copies.groupBy("m").agg(F.count("*").alias("rows"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -9,11 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, long_form
 from rungwise.operators.ranking import global_rank
-from rungwise.session import cached
-
-# Categories of one column that the driver may hold; more are indexed by a join.
-DRIVER_CATEGORIES = 100_000
-
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, count) of every category, all columns in one pass.
@@ -28,13 +25,13 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return cells.groupBy("column", "value").count()
 
 
-def _sizes(counts: DataFrame, columns: list[str]) -> dict[str, int]:
-    found = dict(counts.groupBy("column").agg(F.count("*")).collect())
-    return {c: found.get(c, 0) for c in columns}
+def nominal(name: str, values: int) -> dict:
+    """Metadata of an index column: the number of its values, the same however the index was made."""
+    return {"ml_attr": {"name": name, "type": "nominal", "num_vals": values}}
 
 
 def _indexer_model(counts: DataFrame, columns: list[str], outputs: list[str], unseen: str) -> PipelineModel:
-    """One indexer per column, for columns whose categories are known to fit on the driver."""
+    """One indexer per column; the model lists the categories, so the driver holds them."""
     labels: dict[str, list] = {c: [] for c in columns}
     for column, value, count in counts.filter(F.col("column").isin(columns)).collect():
         labels[column].append((-count, value))
@@ -51,60 +48,79 @@ def fit_indexers(
     columns: list[str],
     unseen: str = "error",
     outputs: list[str] | None = None,
-    limit: int = DRIVER_CATEGORIES,
 ) -> PipelineModel:
     """An indexer per column, all fitted in one pass over ``df``.
 
-    The model lists every category on the driver, so a column with more than
-    ``limit`` is refused; ``string_index`` is the way for those.
+    The model lists every category on the driver. Columns whose categories grow
+    with the table are the caller's to name: ``fit_ranks`` keeps those in a table.
+    """
+    counts = category_counts(df, columns)
+    return _indexer_model(counts, columns, outputs or [c + INDEX_SUFFIX for c in columns], unseen)
+
+
+def fit_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, rank) of all categories of wide columns, as a table.
+
+    Ranks are by falling frequency and rising value, from 0 in each column; categories
+    are counted and ranked by the cluster, whatever their number. The table can be
+    written, read again and given to ``apply_ranks``, to score rows later.
     """
-    with cached(category_counts(df, columns)) as counts:
-        wide = [c for c, size in _sizes(counts, columns).items() if size > limit]
-        if wide:
-            raise ValueError(f"more than {limit} categories, index by join (string_index) instead: {wide}")
-        return _indexer_model(counts, columns, outputs or [c + INDEX_SUFFIX for c in columns], unseen)
+    counts = category_counts(df, columns)
+    ranked = [
+        global_rank(counts.filter(F.col("column") == c), [F.desc("count"), F.asc("value")], "_rank") for c in columns
+    ]
+    return reduce(DataFrame.unionByName, ranked).select("column", "value", (F.col("_rank") - 1).cast("double").alias("rank"))
+
+
+def apply_ranks(df: DataFrame, ranks: DataFrame, columns: list[str], unseen: str = "keep") -> DataFrame:
+    """Add ``<column>_index`` from a table of ``fit_ranks``, with the metadata ``string_index`` gives.
+
+    ``unseen`` and null categories are kept under a rank of their own, skipped or an error.
+    """
+    sizes = dict(ranks.groupBy("column").agg(F.count("*")).collect())
+    for column in columns:
+        df = index_by_join(df, column, column + INDEX_SUFFIX, unseen, ranks, sizes.get(column, 0))
+    return df
 
 
 def index_by_join(
-    df: DataFrame, column: str, output: str, unseen: str = "error", counts: DataFrame | None = None
+    df: DataFrame, column: str, output: str, unseen: str, ranks: DataFrame, size: int
 ) -> DataFrame:
-    """The same index with the categories kept as a table.
+    """The index of one column from a table of ranks with ``size`` categories of it.
 
-    Categories are counted, ranked by a range sort and joined back. Spark
-    broadcasts the ranks only if they are small, and splits a hot category's
-    partition in the join otherwise. Nulls are an error, skipped, or kept
-    under a rank of their own, as by the indexer.
+    Spark broadcasts the ranks only if they are small, and splits a hot
+    category's partition in the join otherwise.
     """
-    counts = category_counts(df, [column]) if counts is None else counts
-    own = counts.filter(F.col("column") == column).select("value", "count")
-    ranks = global_rank(own, [F.desc("count"), F.asc("value")], "_rank")
-    ranks = ranks.select(F.col("value").alias("_value"), (F.col("_rank") - 1).cast("double").alias(output))
-    text = F.col(column).cast("string")
-    if unseen == "error":
-        text = F.coalesce(text, F.raise_error(F.lit(f"null category in {column}")).cast("string"))
-    joined = df.withColumn("_text", text).join(ranks, F.col("_text") == F.col("_value"), "left")
+    own = ranks.filter(F.col("column") == column).select(F.col("value").alias("_value"), F.col("rank").alias(output))
+    joined = df.withColumn("_text", F.col(column).cast("string")).join(own, F.col("_text") == F.col("_value"), "left")
+    found = F.col(output)
     if unseen == "keep":
-        joined = joined.withColumn(output, F.coalesce(output, F.lit(float(ranks.count()))))
-    if unseen == "skip":
-        joined = joined.filter(F.col(output).isNotNull())
-    return joined.drop("_text", "_value")
+        found = F.coalesce(found, F.lit(float(size)))
+    elif unseen == "error":
+        found = F.coalesce(found, F.raise_error(F.lit(f"null or unseen category in {column}")).cast("double"))
+    else:
+        joined = joined.filter(found.isNotNull())
+    marked = found.alias(output, metadata=nominal(output, size + (unseen == "keep")))
+    return joined.select(*[F.col(c) for c in df.columns], marked)
 
 
 def string_index(
-    df: DataFrame, columns: list[str], unseen: str = "error", limit: int = DRIVER_CATEGORIES
+    df: DataFrame, columns: list[str], unseen: str = "error", wide: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Add ``<column>_index`` (double) for every column, by the indexer or, for
-    columns with more than ``limit`` categories, by a join."""
-    with cached(category_counts(df, columns)) as counts:
-        sizes = _sizes(counts, columns)
-        wide = [c for c in columns if sizes[c] > limit]
-        narrow = [c for c in columns if c not in wide]
-        indexed = df
-        if narrow:
-            model = _indexer_model(counts, narrow, [c + INDEX_SUFFIX for c in narrow], unseen)
-            indexed = model.transform(df)
-        for column in wide:
-            indexed = index_by_join(indexed, column, column + INDEX_SUFFIX, unseen, counts)
+    """Add ``<column>_index`` (double) for every column.
+
+    Columns the caller names as ``wide`` are indexed by a join with a table of
+    ranks, the others by an indexer; values and metadata are the same.
+    """
+    narrow, indexed = [c for c in columns if c not in wide], df
+    if narrow:
+        model = fit_indexers(df, narrow, unseen)
+        sizes = {c: len(stage.labels) + (unseen == "keep") for c, stage in zip(narrow, model.stages)}
+        plain = [F.col(c) for c in df.columns]
+        index = [F.col(c + INDEX_SUFFIX).alias(c + INDEX_SUFFIX, metadata=nominal(c + INDEX_SUFFIX, sizes[c])) for c in narrow]
+        indexed = model.transform(df).select(*plain, *index)
+    if wide:
+        indexed = apply_ranks(indexed, fit_ranks(df, list(wide)), list(wide), unseen)
     return indexed.select(*df.columns, *[c + INDEX_SUFFIX for c in columns])
 
 

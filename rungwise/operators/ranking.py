@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rungwise.functions.hashing import HASH_RANGE, row_hash
 from rungwise.session import checkpointed, shuffle_width
 
+# Granularity only: any number of buckets gives the same ranks.
 MAX_BUCKET_BITS = 16
 
 
@@ -38,7 +39,7 @@ def hash_rank(
     counts read only the key.
     """
     bits = _bucket_bits(df)
-    hashed = df.withColumn("_hash", F.coalesce(row_hash(key, seed), F.lit(0)))
+    hashed = df.withColumn("_hash", row_hash(key, seed))
     bucketed = hashed.withColumn("_bucket", F.shiftright("_hash", HASH_RANGE.bit_length() - 1 - bits))
     offsets = _offsets(bucketed.groupBy("_bucket").count(), "_bucket")
     spread = bucketed.repartitionByRange("_bucket") if ordered else bucketed
@@ -75,21 +76,22 @@ def global_rank(df: DataFrame, order: list[Column], position: str = "position")
 def nth_smallest(df: DataFrame, key: str, n: int, slots: int = 1024) -> int | None:
     """The n-th smallest value of an integer key (the largest if there are fewer).
 
-    Counts ``slots`` equal ranges, keeps the one that holds the n-th value and
-    repeats inside it; each pass is a partial aggregation behind a pushed-down
-    range filter and returns at most ``slots`` rows.
+    Counts ranges of 2**s keys, with s such that ``slots`` of them cover the
+    keys, keeps the one that holds the n-th value and repeats inside it; each
+    pass is a partial aggregation behind a pushed-down range filter and returns
+    at most ``slots`` + 1 rows. Shifts do not overflow, so keys may be any bigint.
     """
     lo, hi, total = df.agg(F.min(key), F.max(key), F.count(key)).first()
     if not total or n >= total:
         return hi
     below = 0
     while lo < hi:
-        width = (hi - lo) // slots + 1
+        shift = max(0, (hi - lo).bit_length() - slots.bit_length() + 1)
         inside = df.filter(F.col(key).between(lo, hi))
-        slot = F.call_function("div", F.col(key).cast("bigint") - F.lit(lo), F.lit(width))
+        slot = F.shiftright(F.col(key).cast("bigint"), shift)
         for slot_id, rows in inside.groupBy(slot.alias("slot")).count().orderBy("slot").collect():
             if below + rows >= n:
-                lo, hi = lo + slot_id * width, min(hi, lo + (slot_id + 1) * width - 1)
+                lo, hi = max(lo, slot_id << shift), min(hi, (slot_id + 1 << shift) - 1)
                 break
             below += rows
     return lo

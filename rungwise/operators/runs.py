@@ -89,10 +89,11 @@ def best_checkpoint(
     is split in slices of the step: the best of earlier slices comes from one
     row per (run, slice), the best within a slice from a window over the
     slice, so no task sees more of a run than one slice holds. Rows that do
-    not beat the earlier slices are dropped before the window's shuffle.
+    not beat the earlier slices are dropped before the window's shuffle. Null
+    and NaN beat nothing and are left out.
     """
     slices = slices or min(MAX_SLICES, shuffle_width(history.sparkSession))
-    sliced = _step_slices(history.filter(F.col(metric).isNotNull()), step, slices)
+    sliced = _step_slices(history.filter(F.col(metric).isNotNull() & ~F.isnan(metric)), step, slices)
     per_slice = sliced.groupBy(run, "_slice").agg(F.max(metric).alias("_slice_best"))
     whole = Window.partitionBy(run)
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

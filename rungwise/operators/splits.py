@@ -16,7 +16,7 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
 
 def in_train(key: Column | str, share: float = 0.7, seed: int = 0) -> Column:
     """A share of the keys; rows without a key count as training rows."""
-    return F.coalesce(hash_share(key, seed) < F.lit(share), F.lit(True))
+    return hash_share(key, seed) < F.lit(share)
 
 
 def hash_split(df: DataFrame, key: str, share: float = 0.7, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -43,7 +43,7 @@ def head_split(df: DataFrame, key: str, n: int = 5000) -> tuple[DataFrame, DataF
     return df.filter(first), df.filter(first.isNull() | ~first)
 
 
-# Folds draw on a multiplier of their own: on the split's, the training part would fill only some folds.
+# Folds are a draw of their own: on the split's, the training part would fill only some folds.
 FOLD_DRAW = 1
 
 

@@ -52,7 +52,8 @@ def gradient_sums(df: DataFrame, array: str, label: str, weights: np.ndarray, sm
     ``weights`` is classes x (inputs + 1), the last column the bias; it rides
     in the task closure (its size is the model's, not the table's). Every task
     multiplies Arrow batches with numpy and emits one row per model cell,
-    which Spark then adds up by position.
+    which Spark then adds up by position. Rows without array or label, with an
+    array of another length, or with a label outside the classes are left out.
     """
     classes = weights.shape[0]
 
@@ -81,7 +82,8 @@ def gradient_sums(df: DataFrame, array: str, label: str, weights: np.ndarray, sm
             values = np.concatenate([flat, [loss, hits, rows]])
             yield pa.RecordBatch.from_arrays([pa.array(positions), pa.array(values)], ["position", "value"])
 
-    sums = df.select(array, label).mapInArrow(partial, "position int, value double")
+    fitting = (F.size(array) == weights.shape[1] - 1) & F.col(label).between(0, classes - 1)
+    sums = df.filter(fitting).select(array, label).mapInArrow(partial, "position int, value double")
     return sums.groupBy("position").agg(F.sum("value").alias("value"))
 
 
@@ -167,15 +169,14 @@ def softmax_fit(
     """
     stored, batches, per_block = store_batches(train, key, array, label, batch_size * replicas, seed)
     weights, optimizer = np.zeros((classes, inputs + 1)), Adam(rate, clip)
-    order = list(range(batches))
     history = []
     for epoch in range(1, epochs + 1):
-        random.Random(seed + epoch).shuffle(order)
         seen = {LOSS: 0.0, HITS: 0.0, ROWS: 0.0}
-        for batch in order:
+        for batch in visiting_order(batches, seed + epoch):
             rows = stored.filter((F.col("block") == batch // per_block) & (F.col("batch_id") == batch))
             gradient, sums = _collect_sums(gradient_sums(rows, array, label, weights, smoothing), weights.shape)
-            weights = optimizer.update(weights, gradient / sums[ROWS])
+            if sums[ROWS]:
+                weights = optimizer.update(weights, gradient / sums[ROWS])
             seen = {name: seen[name] + sums[name] for name in seen}
         _, held = _collect_sums(gradient_sums(valid, array, label, weights, smoothing), weights.shape)
         history.append((epoch, *_means(seen), *_means(held)))
@@ -183,6 +184,18 @@ def softmax_fit(
     return weights, train.sparkSession.createDataFrame(history, columns)
 
 
+def visiting_order(count: int, seed: int) -> Iterator[int]:
+    """All numbers below ``count`` once, in a seeded order, without a list: a full-period congruential
+    generator over the next power of two, numbers beyond ``count`` skipped."""
+    draw = random.Random(seed)
+    size = 1 << max(1, (count - 1).bit_length())
+    step, add, value = 4 * draw.randrange(size) + 1, 2 * draw.randrange(size) + 1, draw.randrange(size)
+    for _ in range(size):
+        if value < count:
+            yield value
+        value = (step * value + add) % size
+
+
 def _means(sums: dict[int, float]) -> tuple[float | None, float | None]:
     if not sums[ROWS]:
         return None, None

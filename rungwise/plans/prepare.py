@@ -7,7 +7,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, Layout, cast_integer, fill_missing_numeric
-from rungwise.operators.indexing import DRIVER_CATEGORIES, fit_indexers
+from rungwise.operators.indexing import fit_indexers
 
 FEATURES = "features"
 INDEXED_LABEL = "indexedLabel"
@@ -48,17 +48,17 @@ def indexed_integers(df: DataFrame, model: PipelineModel, layout: Layout, key: s
 
 
 def fit_features(
-    train: DataFrame, layout: Layout, nominal: bool = False, limit: int = DRIVER_CATEGORIES
+    train: DataFrame, layout: Layout, nominal: bool = False
 ) -> PipelineModel:
     """Learn category ranks from the training rows only, in one pass.
 
     Text and label are counted together; unseen categories later get a rank of
-    their own, unseen labels are an error. The ranks live in the model, so a
-    column with too many categories is refused: index it with ``string_index``
-    first, which keeps them in a table.
+    their own, unseen labels are an error. The ranks live in the model. A column
+    whose categories grow with the table is indexed first, with ``fit_ranks`` and
+    ``apply_ranks``, and enters the layout as a number: its ranks stay a table.
     """
     outputs = [LABEL_RANK, *[c + INDEX_SUFFIX for c in layout.text]]
-    fitted = fit_indexers(train, [layout.label, *layout.text], outputs=outputs, limit=limit)
+    fitted = fit_indexers(train, [layout.label, *layout.text], outputs=outputs)
     label, *text = fitted.stages
     for indexer in text:
         indexer.setHandleInvalid("keep")

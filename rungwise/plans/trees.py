@@ -22,7 +22,8 @@ from rungwise.session import cached, shuffle_width
 from rungwise.sources.runlogs import LOG_SCHEMA, run_name, runlog_append
 
 SEED = 42
-ROWS_PER_TASK = 20_000
+# A task has at least FEWEST rows to be worth starting and, on any number of cores, at most MOST.
+FEWEST, MOST = 20_000, 1_000_000
 
 
 def tree_estimator(depth: int = 5, bins: int = 32, seed: int = SEED, **settings) -> DecisionTreeClassifier:
@@ -39,13 +40,13 @@ def tree_fit(df: DataFrame, **settings) -> DecisionTreeClassificationModel:
 def spread_rows(df: DataFrame, copies: int = 1) -> DataFrame:
     """Even partitions for rows that will be multiplied and read many times.
 
-    Enough of them to keep all cores busy, up to the session's shuffle
-    partitions, but no more than give a task a worthwhile number of rows: a
-    fit runs several jobs per tree level, so tiny tasks add up.
+    As many as keep all cores busy with a worthwhile number of rows each (a
+    fit runs several jobs per tree level, so tiny tasks add up), and more where
+    a partition would grow beyond ``MOST`` rows: their number has no limit.
     """
-    spark = df.sparkSession
-    most = max(2 * spark.sparkContext.defaultParallelism, shuffle_width(spark))
-    return df.repartition(max(1, min(most, df.count() * copies // ROWS_PER_TASK)))
+    rows, spark = df.count() * copies, df.sparkSession
+    busy = min(max(2 * spark.sparkContext.defaultParallelism, shuffle_width(spark)), rows // FEWEST)
+    return df.repartition(max(1, busy, -(-rows // MOST)))
 
 
 def tree_importances(model: DecisionTreeClassificationModel, features: list[str]) -> DataFrame:
@@ -61,10 +62,10 @@ def tree_score(model, df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def holdout_eval(model, df: DataFrame, classes: int, smoothing: float = 0.0) -> DataFrame:
-    """(rows, loss, accuracy) on held-out rows, in one pass."""
+    """(rows, loss, accuracy) on held-out rows, in one pass; a row without label is a miss, as in ``accuracy``."""
     scored = model.transform(df).withColumn("_p", vector_to_array("probability"))
     loss = losses.xent_smoothed(F.col("_p"), F.col(INDEXED_LABEL), classes, smoothing)
-    hit = is_correct(INDEXED_LABEL, "prediction").cast("double")
+    hit = F.coalesce(is_correct(INDEXED_LABEL, "prediction"), F.lit(False)).cast("double")
     return scored.agg(
         F.count("*").alias("rows"), F.avg(loss).alias("loss"), F.avg(hit).alias("accuracy")
     )
@@ -139,18 +140,22 @@ def train_eval_ladder(
     step: int = 30,
     log: str | None = None,
     run: str | None = None,
+    nodes: int = 1,
+    cpus: int | None = None,
     **settings,
 ) -> DataFrame:
     """The scaling study: (m, rows, dt, a) for every rung of the ladder.
 
     With ``log``, a folder, every rung is appended to run ``run`` as soon as it
-    is known, so a broken study keeps the rungs it has done.
+    is known, so a broken study keeps the rungs it has done. A run starts anew:
+    its first rung replaces what an earlier run of the same name left. ``nodes``
+    and ``cpus`` say what the study runs on and are part of the name.
     """
     spark, rows = train.sparkSession, []
-    run = run or run_name(max_m, 1, spark.sparkContext.defaultParallelism)
+    run = run or run_name(max_m, nodes, cpus or spark.sparkContext.defaultParallelism)
     for m, size, seconds, share in train_eval_rungs(train, test, ladder_rungs(max_m, step), **settings):
-        rows.append((m, size, seconds, share))
         if log:
             line = spark.createDataFrame([(run, m, seconds, share)], "run string, " + LOG_SCHEMA)
-            runlog_append(line, log)
+            runlog_append(line, log, restart=not rows)
+        rows.append((m, size, seconds, share))
     return spark.createDataFrame(rows, "m int, rows long, dt double, a double")

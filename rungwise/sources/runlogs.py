@@ -15,15 +15,16 @@ def run_name(max_m: int, nodes: int, cpus: int, kind: str = "ladder") -> str:
     return f"{kind}_{max_m}_{nodes}_{cpus}.csv"
 
 
-def runlog_append(log: DataFrame, path: str, run: str = "run") -> None:
-    """Append rows under ``path/run=<run>/``.
+def runlog_append(log: DataFrame, path: str, run: str = "run", restart: bool = False) -> None:
+    """Append rows under ``path/run=<run>/``; with ``restart`` they replace what these runs had.
 
     Rows are rebalanced by run before the write: adaptive execution splits a
     large run over several tasks and packs small ones together.
     """
     (
         log.hint("rebalance", F.col(run))
-        .write.mode("append")
+        .write.mode("overwrite" if restart else "append")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(run)
         .option("header", True)
         .csv(path)

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from rungwise.functions.hashing import MULTIPLIERS, integer_key, row_hash
+from rungwise.functions.hashing import FOLD, LOW_32, hash_constant, integer_key, mixed, row_hash
 from rungwise.operators import growth, ranking, splits
 
 
@@ -17,9 +17,38 @@ def keys(spark, n, start=0):
 def test_row_hash_is_exact_for_any_key(spark):
     values = [0, 1, 7, 2**31, 2**32 - 1, 2**32, 2**40 + 3, 2**62 + 11, 2**63 - 1, -1, -(2**63)]
     df = spark.createDataFrame([(v,) for v in values], "k long")
-    for draw, multiplier in enumerate(MULTIPLIERS):
+    for draw in range(6):
         got = [r[0] for r in df.select(row_hash("k", 42, draw)).collect()]
-        assert got == [(v + 42) * multiplier % 2**32 for v in values]
+        assert got == [expected_hash(v, 42, draw) for v in values]
+
+
+def expected_hash(key, seed=0, draw=0):
+    upper = (key >> 32 & LOW_32) * FOLD & LOW_32
+    return mixed((key & LOW_32) ^ upper ^ hash_constant(seed, draw))
+
+
+def test_row_hash_mixes():
+    keys_of = range(15000)
+    first, second = ({k for k in keys_of if expected_hash(k, s) < 0.7 * 2**32} for s in (0, 1))
+    assert abs(len(first & second) / 15000 - 0.49) < 0.01
+    order = sorted(keys_of, key=expected_hash)
+    assert len({b - a for a, b in zip(order, order[1:])}) > 1000
+    assert len({expected_hash(5 + (k << 32)) for k in range(100)}) == 100
+
+
+def test_null_keys_go_one_way(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,)], "k long")
+    assert splits.split_part(df, "k").filter("k is null").first()["part"] == "train"
+    assert splits.kfold_assign(df, "k").filter("k is null").first()["fold"] == 0
+    assert splits.shuffle_rows(df, "k").filter("k is null").first()["position"] == 1
+
+
+def test_head_split_of_any_bigint(spark):
+    values = sorted([-(2**63), -(2**62), -5, 0, 7, 2**61, 2**63 - 2, 2**63 - 1])
+    df = spark.createDataFrame([(v,) for v in values], "k long")
+    for n in (1, 3, 5, 7):
+        valid, train = splits.head_split(df, "k", n)
+        assert sorted(r[0] for r in valid.collect()) == values[:n] and train.count() == 8 - n
 
 
 def test_row_hash_takes_other_keys(spark):
@@ -68,15 +97,16 @@ def test_nth_smallest(spark, values, n):
 def test_hash_rank_is_a_permutation_in_hash_order(spark):
     df = keys(spark, 3000)
     rows = ranking.hash_rank(df, "k", seed=5).collect()
-    order = sorted(range(3000), key=lambda k: (k + 5) * MULTIPLIERS[0] % 2**32)
+    order = sorted(range(3000), key=lambda k: expected_hash(k, 5))
     assert [r["k"] for r in sorted(rows, key=lambda r: r["position"])] == order
     assert order != sorted(order)
 
 
 def test_hash_rank_breaks_ties_by_key(spark):
-    df = spark.createDataFrame([(v,) for v in (3, 3 + 2**32, 3 + 2**33, 4)], "k long")
+    tied = 3 ^ (FOLD * 1 & LOW_32) | 1 << 32  # folds to the same 32 bits as 3
+    df = spark.createDataFrame([(v,) for v in (tied, 3, 4)], "k long")
     rows = {r["k"]: r["position"] for r in ranking.hash_rank(df, "k").collect()}
-    assert sorted(rows.values()) == [1, 2, 3, 4] and rows[3] < rows[3 + 2**32] < rows[3 + 2**33]
+    assert sorted(rows.values()) == [1, 2, 3] and rows[tied] == rows[3] + 1
 
 
 def test_shuffled_rows_come_out_in_order(spark):
@@ -138,8 +168,7 @@ def test_ladder_rungs(max_m, step, last):
 
 def test_ladder_frames_match_sizes(spark):
     df = keys(spark, 10)
-    sizes = dict(growth.ladder_sizes(df, 21, 10).collect())
-    assert sizes == {m: frame.count() for m, frame in growth.scaling_ladder(df, 21, 10)}
+    assert [(m, frame.count()) for m, frame in growth.scaling_ladder(df, 21, 10)] == [(m, m * df.count()) for m in (1, 11, 21)]
 
 
 def test_union_by_position_and_name(spark):

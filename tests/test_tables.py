@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rungwise.functions import losses
 from rungwise.operators import census, columns, indexing, metrics, runs
+from rungwise.plans import trees
 from rungwise.session import cached, scratch_path
 from rungwise.sources import runlogs, tables
 
@@ -106,14 +107,26 @@ def test_index_order_ties_and_restore(spark):
 
 def test_wide_index_equals_indexer(spark):
     df = spark.range(3000).select((F.col("id") * F.col("id") % 701).cast("string").alias("s"), "id")
-    by_model, by_join = indexing.string_index(df, ["s"]), indexing.string_index(df, ["s"], limit=10)
+    by_model, by_join = indexing.string_index(df, ["s"]), indexing.string_index(df, ["s"], wide=("s",))
     assert sorted(map(tuple, by_model.collect())) == sorted(map(tuple, by_join.collect()))
+    assert by_model.schema["s_index"].metadata == by_join.schema["s_index"].metadata != {}
 
 
-def test_indexer_refuses_too_many_categories(spark):
-    df = spark.range(300).select(F.col("id").cast("string").alias("s"))
-    with pytest.raises(ValueError, match="string_index"):
-        indexing.fit_indexers(df, ["s"], limit=100)
+def test_ranks_are_a_table_for_later_rows(spark, tmp_path):
+    df = spark.createDataFrame([(v,) for v in "bbaac"], "s string")
+    indexing.fit_ranks(df, ["s"]).write.parquet(str(tmp_path / "ranks"))
+    ranks = spark.read.parquet(str(tmp_path / "ranks"))
+    later = spark.createDataFrame([("c",), ("z",), (None,)], "s string")
+    assert [r["s_index"] for r in indexing.apply_ranks(later, ranks, ["s"]).orderBy(F.desc("s")).collect()] == [3.0, 2.0, 3.0]
+
+
+def test_tree_on_a_wide_column(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 1000).cast("string").alias("s"), F.when(F.col("id") % 1000 < 500, "a").otherwise("b").alias("label")
+    )
+    ready = indexing.label_index(indexing.string_index(rows, ["s"], wide=("s",)), "label")[0]
+    whole = indexing.assemble_vector(ready, ["s_index"])
+    assert trees.tree_fit(whole, bins=1000, depth=2).transform(whole).filter("prediction = indexedLabel").count() == 4000
 
 
 def test_index_equals_the_stock_indexer(spark):
@@ -125,14 +138,14 @@ def test_index_equals_the_stock_indexer(spark):
     assert ours == [tuple(labels) for labels in stock.labelsArray]
 
 
-@pytest.mark.parametrize("limit", [1, 100])
-def test_null_categories(spark, limit):
+@pytest.mark.parametrize("wide", [(), ("s",)])
+def test_null_categories(spark, wide):
     df = spark.createDataFrame([("a",), (None,), ("b",), ("b",)], "s string")
     with pytest.raises(Exception):
-        indexing.string_index(df, ["s"], limit=limit).collect()
-    kept = indexing.string_index(df, ["s"], "keep", limit).collect()
+        indexing.string_index(df, ["s"], wide=wide).collect()
+    kept = indexing.string_index(df, ["s"], "keep", wide).collect()
     assert sorted((r["s"] or "", r["s_index"]) for r in kept) == [("", 2.0), ("a", 1.0), ("b", 0.0), ("b", 0.0)]
-    assert indexing.string_index(df, ["s"], "skip", limit).count() == 3
+    assert indexing.string_index(df, ["s"], "skip", wide).count() == 3
 
 
 def test_assemble_rejects_null(spark):
@@ -248,6 +261,20 @@ def test_scale_factor(spark):
     assert got == {("a", 31): 2.0, ("a", 1): 1.0, ("b", 1): None}
 
 
+def test_nan_is_never_best(spark):
+    df = spark.createDataFrame([("r", 1, 0.5), ("r", 2, float("nan")), ("r", 3, 0.7)], "run string, step int, v double")
+    got = {r["step"]: r["kept"] for r in runs.best_checkpoint(df, "run", "step", "v").collect()}
+    assert got == {1: False, 3: True}
+
+
+def test_runlog_restart_replaces_its_own_run(spark, tmp_path):
+    for run, m, restart in (("a", 1, True), ("a", 2, False), ("b", 1, True), ("a", 9, True)):
+        line = spark.createDataFrame([(run, m, 1.0, 0.5)], "run string, " + runlogs.LOG_SCHEMA)
+        runlogs.runlog_append(line, str(tmp_path / "log"), restart=restart)
+    found = runlogs.runlog_read(spark, str(tmp_path / "log"))
+    assert sorted((r["run"], r["m"]) for r in found.collect()) == [("a", 9), ("b", 1)]
+
+
 def test_best_checkpoint_of_nothing(spark):
     df = spark.createDataFrame([], "run string, step long, v double")
     assert runs.best_checkpoint(df, "run", "step", "v").count() == 0
