@@ -181,8 +181,9 @@ class Transducer:
         self.held = b""
 
     def push(self, chunk: bytes) -> Iterator[int]:
-        for start in range(0, len(chunk), self.window):
-            self.held += chunk[start : start + self.window]
+        size = self.window  # it may grow on the way
+        for start in range(0, len(chunk), size):
+            self.held += chunk[start : start + size]
             while len(self.held) >= self.window:
                 yield from self._stable()
 

@@ -18,6 +18,7 @@ rows each get a row; other columns are not read; no rows give no rows.
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate, combinations
 from math import comb
 
@@ -32,7 +33,8 @@ from rungwise.llm.components import components
 from rungwise.session import checkpointed
 
 SHINGLE, RADIUS, SEED, BITS = 4, 4, 42, 64
-MOST_PARTS = 6
+MOST_PARTS = 12
+MOST_PROBES = 4_096  # variants of one part's value; thresholds that need more are not considered
 STEP = 1 << 16  # shingles whose bits are counted at once
 
 
@@ -142,9 +144,9 @@ def choose_parts(fps: DataFrame, radius: int = RADIUS) -> list[tuple[list[int],
     """Parts with their thresholds: the number of parts and the allocation with the least estimated work."""
     n, both = bit_moments(fps)
     share = np.diag(both) / max(n, 1)
-    options = {count: correlated_parts(n, both, count) for count in range(1, min(MOST_PARTS, radius + 1) + 1)}
+    options = {count: correlated_parts(n, both, count) for count in range(2, max(2, min(MOST_PARTS, radius + 1)) + 1)}
     labels = {(count, k): value_of(part) for count, parts in options.items() for k, part in enumerate(parts)}
-    named = F.explode(F.array(*(F.struct(F.lit(c * 100 + k).alias("which"), v.alias("value")) for (c, k), v in labels.items() if c > 2)))
+    named = F.explode(F.array(*(F.struct(F.lit(c * 100 + k).alias("which"), v.alias("value")) for (c, k), v in labels.items())))
     equal = (
         fps.select(named.alias("part")).groupBy("part.which", "part.value").agg(F.count("*").alias("n"))
         .groupBy("which").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).collect()
@@ -158,7 +160,10 @@ def choose_parts(fps: DataFrame, radius: int = RADIUS) -> list[tuple[list[int],
             equal_pairs = pairs.get(count * 100 + k, n * n / 2 * chance[0])
             probes = list(accumulate(comb(len(part), t) for t in range(radius + 1)))
             # A probe is a shuffled row, a candidate one comparison inside a block: about 300 to 1.
-            work.append([300.0 * n * probes[t] + equal_pairs * chance[t] / max(chance[0], 1e-30) for t in range(radius + 1)])
+            work.append([
+                300.0 * n * probes[t] + equal_pairs * chance[t] / max(chance[0], 1e-30) if probes[t] <= MOST_PROBES else math.inf
+                for t in range(radius + 1)
+            ])
         option = (*allocate(work, radius), parts)
         best = option if best is None or option[0] < best[0] else best
     return [(part, t) for part, t in zip(best[2], best[1]) if t >= 0]
