@@ -35,7 +35,7 @@ from rungwise.llm.topk import usable
 from rungwise.session import checkpointed
 
 LEAST, CODE_BITS, BUCKET, MISS, SEED = 0.9, 256, 256, 0.005, 20
-SURE = 4.0  # how many units of the error bound an estimate may be off
+SURE = 6.0  # units of the error bound (one standard deviation) that an estimate may be off
 CODED = "cid long, size long, vector binary, code binary, factor double, buckets array<long>"
 LINKS = "u long, v long, n long"
 

@@ -1,7 +1,7 @@
 """Main text of web pages by tree scoring.
 
 The page is read into a light tree: tags by one pattern, unclosed paragraphs, list
-items and cells closed by what follows them, stray end tags ignored. Elements whose tag, role or
+items and cells closed by what follows them, stray end tags and a tag that the page's end cuts off ignored. Elements whose tag, role or
 class says menu, header, footer, sidebar, notice, advert, form or reader comment are
 taken out with all they hold. Every paragraph then passes points to its ancestors: one, one
 for each comma and one for each hundred characters up to three, in full to the
@@ -29,7 +29,8 @@ SHORTEST = 25  # characters of a paragraph that scores
 RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title|head"
 TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)|<[!?][^>]*>"
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>""",
+    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>"""
+    r"|</?[a-zA-Z][^<>]*\Z",
     re.DOTALL | re.IGNORECASE,
 )
 ATTR = re.compile(r"""([\w:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([\w:-]+)""")
@@ -57,7 +58,9 @@ SCOPES = set("article main section div body table ul ol td form nav aside header
 
 
 def words_of(value: str) -> list[str]:
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value).lower().replace("-", " ").replace("_", " ").split()
+    """The words of class names and ids, and neighbouring words as one."""
+    words = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value).lower().replace("-", " ").replace("_", " ").split()
+    return [*words, *(a + b for a, b in zip(words, words[1:]))]
 
 
 def is_out(name: str, attrs: str) -> bool:
