@@ -1,49 +1,161 @@
-"""Model fits; their results are checked by row and by the tests, not by SQL."""
+"""Model fits: small ones that SQL can follow, and large ones that the tests check."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from rungwise.checks.inputs import CLASSES, census_parts, table
+from rungwise.checks.inputs import CLASSES, THRESHOLD, census_parts, hash_sql, table
 from rungwise.checks.registry import query
-from rungwise.operators.splits import hash_split
+from rungwise.operators.splits import FOLD_DRAW, hash_split
 from rungwise.plans import dense, trees
+from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
 from rungwise.session import cached
 
 PIXELS = 64
 
 
-@query("tree_fit")
+# A label that follows the price but for every fifth order, and the price in ten steps: the best split of a
+# tree of depth one is then a sum over at most ten candidates.
+def stepped(spark, sf_dir):
+    high = F.col("o_totalprice") > THRESHOLD
+    label = F.when(F.col("o_orderkey") % 5 == 0, ~high).otherwise(high).cast("int")
+    step = F.floor(F.col("o_totalprice") / 60_000).cast("double")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", step.alias("step"), label.alias(INDEXED_LABEL))
+    vectors = VectorAssembler(inputCols=["step"], outputCol=FEATURES).transform(rows)
+    classes = {"ml_attr": {"type": "nominal", "name": INDEXED_LABEL, "vals": ["0", "1"]}}
+    return vectors.select("o_orderkey", "step", FEATURES, F.col(INDEXED_LABEL).alias(INDEXED_LABEL, metadata=classes))
+
+
+def stepped_parts(spark, sf_dir):
+    return hash_split(stepped(spark, sf_dir), "o_orderkey")
+
+
+def stump_sql(train: str, test: str, prefix: str = "") -> str:
+    """Common table expressions: the split of least weighted Gini impurity on ``train``, and ``test`` scored by it."""
+    def impurity(n, ones):
+        return f"({n} - ({ones} * {ones} + ({n} - {ones}) * ({n} - {ones})) / {n}::DOUBLE)"
+
+    p = prefix
+    return f"""{p}steps AS (SELECT step, count(*) AS n, sum(label) AS ones FROM {train} GROUP BY step),
+    {p}sides AS (
+        SELECT (step + lead(step) OVER (ORDER BY step)) / 2 AS threshold, sum(n) OVER (ORDER BY step) AS ln,
+               sum(ones) OVER (ORDER BY step) AS lo, sum(n) OVER () AS n, sum(ones) OVER () AS ones FROM {p}steps),
+    {p}best AS (
+        SELECT *, lo / ln::DOUBLE AS left_p, (ones - lo) / (n - ln)::DOUBLE AS right_p FROM {p}sides WHERE threshold IS NOT NULL
+        ORDER BY {impurity("ln", "lo")} + {impurity("(n - ln)", "(ones - lo)")}, threshold LIMIT 1),
+    {p}scored AS (
+        SELECT t.*, CASE WHEN step <= threshold THEN left_p ELSE right_p END AS p,
+               CAST(CASE WHEN step <= threshold THEN left_p ELSE right_p END > 0.5 AS INTEGER)::DOUBLE AS prediction
+        FROM {test} t, {p}best)"""
+
+
+STEPPED = f"""stepped AS (
+    SELECT o_orderkey, floor(o_totalprice / 60000) AS step,
+           CAST((o_totalprice > {THRESHOLD}) <> (o_orderkey % 5 = 0) AS INTEGER) AS label FROM orders),
+train AS (SELECT * FROM stepped WHERE {hash_sql("o_orderkey")} < 0.7 * 4294967296),
+test AS (SELECT * FROM stepped WHERE {hash_sql("o_orderkey")} >= 0.7 * 4294967296)"""
+STUMP = f"WITH {STEPPED}, {stump_sql('train', 'test')}"
+
+
+@query(
+    "tree_fit",
+    f"""{STUMP} SELECT 0 AS feature, threshold, round(left_p, 6) AS left_share, round(right_p, 6) AS right_share,
+           1 AS depth, 3 AS nodes FROM best""",
+)
 def tree_fit(spark, sf_dir):
+    train, _ = stepped_parts(spark, sf_dir)
+    model = trees.tree_fit(train, depth=1)
+    feature, threshold = trees.root_split(model)
+    sides = spark.createDataFrame([(Vectors.dense(threshold - 1),), (Vectors.dense(threshold + 1),)], [FEATURES])
+    left, right = [float(r["probability"][1]) for r in model.transform(sides).collect()]
+    row = (feature, threshold, round(left, 6), round(right, 6), model.depth, model.numNodes)
+    return spark.createDataFrame([row], "feature int, threshold double, left_share double, right_share double, depth int, nodes int")
+
+
+@query("tree_score", f'{STUMP} SELECT o_orderkey, label AS "indexedLabel", prediction FROM scored')
+def tree_score(spark, sf_dir):
+    train, test = stepped_parts(spark, sf_dir)
+    return trees.tree_score(trees.tree_fit(train, depth=1), test, ["o_orderkey"])
+
+
+@query(
+    "holdout_eval",
+    f"""{STUMP} SELECT count(*) AS rows, round(avg(-ln(CASE WHEN label = 1 THEN p ELSE 1 - p END)), 6) AS loss,
+           round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy FROM scored""",
+)
+def holdout_eval(spark, sf_dir):
+    train, test = stepped_parts(spark, sf_dir)
+    result = trees.holdout_eval(trees.tree_fit(train, depth=1), test, classes=2)
+    return result.withColumns({c: F.round(c, 6) for c in ("loss", "accuracy")})
+
+
+FOLD = f"CAST(floor({hash_sql('o_orderkey', draw=FOLD_DRAW)} * 3 / 4294967296) AS INTEGER)"
+FOLDS = ", ".join(
+    f"train{k} AS (SELECT * FROM folded WHERE fold <> {k}), test{k} AS (SELECT * FROM folded WHERE fold = {k}), "
+    + stump_sql(f"train{k}", f"test{k}", f"f{k}_")
+    for k in range(3)
+)
+FOLD_SHARES = " UNION ALL ".join(f"SELECT avg(CAST(label = prediction AS INTEGER)) AS a FROM f{k}_scored" for k in range(3))
+
+
+@query(
+    "cross_validate",
+    f"""WITH {STEPPED}, folded AS (SELECT *, {FOLD} AS fold FROM train), {FOLDS}
+    SELECT 1 AS depth, round(avg(a), 6) AS accuracy, true AS best, true AS timed FROM ({FOLD_SHARES})""",
+)
+def cross_validate(spark, sf_dir):
+    train, _ = stepped_parts(spark, sf_dir)
+    found = trees.cross_validate(train, "o_orderkey", depths=(1,), folds=3, copies=2)
+    return found.select("depth", F.round("accuracy", 6).alias("accuracy"), "best", (F.col("seconds") > 0).alias("timed"))
+
+
+@query(
+    "train_eval_ladder",
+    f"""{STUMP} SELECT CAST(m AS INTEGER) AS m, m * (SELECT count(*) FROM train) AS rows,
+           (SELECT round(avg(CAST(label = prediction AS INTEGER)), 6) FROM scored) AS a, true AS timed
+    FROM range(1, 21, 5) AS r(m)""",
+)
+def train_eval_ladder(spark, sf_dir):
+    train, test = stepped_parts(spark, sf_dir)
+    rungs = trees.train_eval_ladder(train, test, max_m=20, step=5, depth=1)
+    return rungs.select("m", "rows", F.round("a", 6).alias("a"), (F.col("dt") > 0).alias("timed"))
+
+
+# The same at the reference's depth on the census shape: too large for SQL, checked by the tests.
+@query("tree_fit_deep")
+def tree_fit_deep(spark, sf_dir):
     train, _, features = census_parts(spark, sf_dir)
     with cached(trees.spread_rows(train)) as rows:
         return trees.tree_importances(trees.tree_fit(rows), features)
 
 
-@query("tree_score")
-def tree_score(spark, sf_dir):
+@query("tree_score_deep")
+def tree_score_deep(spark, sf_dir):
     train, test, _ = census_parts(spark, sf_dir)
     with cached(trees.spread_rows(train)) as rows:
         model = trees.tree_fit(rows)
     return trees.tree_score(model, test, ["o_orderkey"])
 
 
-@query("holdout_eval")
-def holdout_eval(spark, sf_dir):
+@query("holdout_eval_deep")
+def holdout_eval_deep(spark, sf_dir):
     train, test, _ = census_parts(spark, sf_dir)
     with cached(trees.spread_rows(train)) as rows:
         model = trees.tree_fit(rows)
     return trees.holdout_eval(model, test, classes=2)
 
 
-@query("cross_validate")
-def cross_validate(spark, sf_dir):
+@query("cross_validate_deep")
+def cross_validate_deep(spark, sf_dir):
     train, _, _ = census_parts(spark, sf_dir)
     return trees.cross_validate(train, "o_orderkey", copies=2)
 
 
-@query("train_eval_ladder")
-def train_eval_ladder(spark, sf_dir):
+@query("train_eval_ladder_deep")
+def train_eval_ladder_deep(spark, sf_dir):
     train, test, _ = census_parts(spark, sf_dir)
     return trees.train_eval_ladder(train, test, max_m=20, step=5)
 
@@ -53,8 +165,28 @@ def image_parts(spark, sf_dir):
     return hash_split(df, "vec_id")
 
 
-@query("mlp_fit")
+# A label that one value decides, so that a dense network must find it.
+@query(
+    "mlp_fit",
+    f"""SELECT count(*) AS rows, 64 * 8 + 8 + 8 * 2 + 2 AS weights, true AS shares_sum_to_one, true AS learnt
+    FROM embeddings WHERE {hash_sql("vec_id")} >= 0.7 * 4294967296""",
+)
 def mlp_fit(spark, sf_dir):
+    df = table(spark, sf_dir, "embeddings").withColumn("label", (F.get("embedding", F.lit(0)) > 0).cast("int"))
+    train, test = (dense.array_examples(part, "embedding", "label") for part in hash_split(df, "vec_id"))
+    with cached(train) as rows:
+        model = dense.mlp_fit(rows, PIXELS, 2, hidden=(8,))
+    scored = model.transform(test).withColumn("p", vector_to_array("probability"))
+    whole = F.abs(F.aggregate("p", F.lit(0.0), lambda a, v: a + v) - 1) < 1e-9
+    right = F.avg((F.col("prediction") == F.col("label")).cast("int"))
+    return scored.agg(
+        F.count("*").alias("rows"), F.lit(len(model.weights)).alias("weights"),
+        F.bool_and(whole).alias("shares_sum_to_one"), (right > 0.8).alias("learnt"),
+    )
+
+
+@query("mlp_fit_images")
+def mlp_fit_images(spark, sf_dir):
     train, test = (dense.array_examples(part, "embedding", "label") for part in image_parts(spark, sf_dir))
     with cached(train) as rows:
         model = dense.mlp_fit(rows, PIXELS, CLASSES)
@@ -62,10 +194,40 @@ def mlp_fit(spark, sf_dir):
     return scored.withColumn("weights", F.lit(len(model.weights)))
 
 
-@query("softmax_fit")
+# One epoch of one batch from zero weights: the first loss is ln 10, and one Adam step is SQL.
+@query(
+    "softmax_fit",
+    f"""WITH cells AS (
+        SELECT vec_id, label, {hash_sql("vec_id")} < 0.7 * 4294967296 AS train, j,
+               CASE WHEN j = 65 THEN 1.0 ELSE embedding[j]::DOUBLE END AS x
+        FROM embeddings, range(1, 66) AS r(j)),
+    slopes AS (
+        SELECT c, j, greatest(-0.12, least(0.12, avg((0.1 - 0.02 - CASE WHEN label = c THEN 0.8 ELSE 0 END) * x))) AS g
+        FROM cells, range(10) AS k(c) WHERE train GROUP BY c, j),
+    weights AS (SELECT c, j, -0.005 * g / (abs(g) + 1e-7) AS w FROM slopes),
+    logits AS (
+        SELECT vec_id, label, c, sum(w * x) AS z FROM cells JOIN weights USING (j) WHERE NOT train GROUP BY vec_id, label, c),
+    logs AS (SELECT *, z - ln(sum(exp(z)) OVER (PARTITION BY vec_id)) AS l,
+                    row_number() OVER (PARTITION BY vec_id ORDER BY z DESC, c) AS place FROM logits),
+    rows AS (
+        SELECT vec_id, -sum((CASE WHEN label = c THEN 0.8 ELSE 0 END + 0.02) * l) AS loss,
+               max(CAST(place = 1 AND label = c AS INTEGER)) AS hit FROM logs GROUP BY vec_id)
+    SELECT 1 AS epoch, round(ln(10), 6) AS loss,
+           (SELECT round(avg(CAST(label = 0 AS INTEGER)), 6) FROM cells WHERE train AND j = 1) AS accuracy,
+           round(avg(loss), 6) AS val_loss, round(avg(hit), 6) AS val_accuracy FROM rows""",
+)
 def softmax_fit(spark, sf_dir):
     train, valid = image_parts(spark, sf_dir)
     _, history = dense.softmax_fit(
-        train, valid, "vec_id", "embedding", "label", PIXELS, CLASSES, batch_size=64, replicas=4
+        train, valid, "vec_id", "embedding", "label", PIXELS, CLASSES, epochs=1, batch_size=1 << 40
+    )
+    return history.select("epoch", *[F.round(c, 6).alias(c) for c in ("loss", "accuracy", "val_loss", "val_accuracy")])
+
+
+@query("softmax_fit_batches")
+def softmax_fit_batches(spark, sf_dir):
+    train, valid = image_parts(spark, sf_dir)
+    _, history = dense.softmax_fit(
+        train, valid, "vec_id", "embedding", "label", PIXELS, CLASSES, batch_size=64, replicas=2 * spark.sparkContext.defaultParallelism
     )
     return history

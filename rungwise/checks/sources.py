@@ -8,7 +8,7 @@ from rungwise.checks.inputs import table, wide_census
 from rungwise.checks.registry import query
 from rungwise.operators.columns import feature_layout
 from rungwise.operators.splits import hash_split
-from rungwise.plans import prepare, trees
+from rungwise.plans import dense, prepare, trees
 from rungwise.session import cached, scratch_path
 from rungwise.sources import models, runlogs, tables
 
@@ -100,3 +100,11 @@ def model_roundtrip(spark, sf_dir):
     with cached(trees.spread_rows(ready)) as rows:
         model = prepare.scorer(features, trees.tree_fit(rows))
     return models.model_roundtrip(raw, model, scratch_path(spark, "model"))
+
+
+@query("softmax_roundtrip", "SELECT count(*) AS rows, 0::BIGINT AS differing FROM embeddings")
+def softmax_roundtrip(spark, sf_dir):
+    df = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    train, valid = hash_split(df, "vec_id")
+    model, _ = dense.softmax_fit(train, valid, "vec_id", "embedding", "label", 64, 10, epochs=1, batch_size=100_000)
+    return dense.softmax_roundtrip(df, model, "embedding", scratch_path(spark, "softmax"))

@@ -12,12 +12,13 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from rungwise.functions import losses
 from rungwise.operators.splits import batch_assign
 from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
-from rungwise.session import scratch_path
+from rungwise.session import remove_scratch, scratch_path
 
 # Positions of the sums that travel with the gradient.
 LOSS, HITS, ROWS = -1, -2, -3
@@ -98,6 +99,45 @@ def _collect_sums(sums: DataFrame, shape: tuple[int, int]) -> tuple[np.ndarray,
     return gradient.reshape(shape), extra
 
 
+class SoftmaxModel:
+    """A softmax layer: classes x (inputs + 1) weights, the last column the bias."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+
+    def score(self, df: DataFrame, array: str, output: str = "probability", prediction: str = "prediction") -> DataFrame:
+        """Add class probabilities and the most likely class (the first of equals); null for a null array."""
+        rows = F.lit([[float(v) for v in row[:-1]] for row in self.weights])
+        bias = F.lit([float(row[-1]) for row in self.weights])
+
+        def logit(weights: Column, own: Column) -> Column:
+            products = F.zip_with(weights, F.col(array), lambda w, x: w * x.cast("double"))
+            return own + F.aggregate(products, F.lit(0.0), lambda total, v: total + v)
+
+        logits = F.when(F.col(array).isNotNull(), F.zip_with(rows, bias, logit))
+        scored = df.withColumn(output, losses.softmax(logits))
+        first = F.array_position(output, F.array_max(output)) - 1
+        return scored.withColumn(prediction, first.cast("double"))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One row per class; replaces what ``path`` had."""
+        rows = [(k, [float(v) for v in row]) for k, row in enumerate(self.weights)]
+        spark.createDataFrame(rows, "class int, weights array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> SoftmaxModel:
+        return cls(np.array([r["weights"] for r in spark.read.parquet(path).orderBy("class").collect()]))
+
+
+def softmax_roundtrip(df: DataFrame, model: SoftmaxModel, array: str, path: str) -> DataFrame:
+    """Save, load, score again in one pass: (rows, differing), and ``differing`` must be 0."""
+    model.save(df.sparkSession, path)
+    again = SoftmaxModel.load(df.sparkSession, path)
+    twice = again.score(model.score(df, array, "_p", "_first"), array, "_q", "_second")
+    same = F.col("_p").eqNullSafe(F.col("_q")) & F.col("_first").eqNullSafe(F.col("_second"))
+    return twice.agg(F.count("*").alias("rows"), F.count_if(~same).alias("differing"))
+
+
 class Adam:
     """Adam with the gradient clipped by value first."""
 
@@ -118,9 +158,9 @@ class Adam:
 
 
 def store_batches(
-    df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int
+    df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int, path: str
 ) -> tuple[DataFrame, int, int]:
-    """Write rows grouped by batch to the shared folder; returns (table, batches, batches per block).
+    """Write rows grouped by batch to ``path``; returns (table, batches, batches per block).
 
     A training step then reads the files of its own block of batches and skips
     the other row groups, not the whole table; and a lost executor costs a
@@ -130,7 +170,6 @@ def store_batches(
     batches = -(-df.count() // batch_size)
     per_block = max(1, -(-batches // MAX_BLOCKS))
     block = F.call_function("div", F.col("batch_id"), F.lit(per_block))
-    path = scratch_path(spark, "batches")
     (
         batch_assign(df.select(key, array, label), key, batch_size, seed, ordered=True)
         .withColumn("block", block.cast("int"))
@@ -158,8 +197,11 @@ def softmax_fit(
     clip: float | None = 0.12,
     smoothing: float = 0.2,
     seed: int = 42,
-) -> tuple[np.ndarray, DataFrame]:
-    """Mini-batch training of a softmax layer; returns weights and the history.
+) -> tuple[SoftmaxModel, DataFrame]:
+    """Mini-batch training of a softmax layer; returns the model and the history.
+
+    The model is that of the epoch with the best accuracy on ``valid``, the
+    first of equals; without rows to validate, that of the last epoch.
 
     One Spark job per batch averages the gradient over the batch's rows; the
     driver holds the model only. The history is (epoch, loss, accuracy,
@@ -167,9 +209,10 @@ def softmax_fit(
     ``batch_size * replicas`` rows: steps follow one another, so let the
     replicas grow with the cluster.
     """
-    stored, batches, per_block = store_batches(train, key, array, label, batch_size * replicas, seed)
+    path = scratch_path(train.sparkSession, "batches")
+    stored, batches, per_block = store_batches(train, key, array, label, batch_size * replicas, seed, path)
     weights, optimizer = np.zeros((classes, inputs + 1)), Adam(rate, clip)
-    history = []
+    history, best = [], (-1.0, weights)
     for epoch in range(1, epochs + 1):
         seen = {LOSS: 0.0, HITS: 0.0, ROWS: 0.0}
         for batch in visiting_order(batches, seed + epoch):
@@ -180,8 +223,12 @@ def softmax_fit(
             seen = {name: seen[name] + sums[name] for name in seen}
         _, held = _collect_sums(gradient_sums(valid, array, label, weights, smoothing), weights.shape)
         history.append((epoch, *_means(seen), *_means(held)))
+        share = history[-1][-1]
+        if share is None or share > best[0]:
+            best = (-1.0 if share is None else share, weights)
+    remove_scratch(train.sparkSession, path)
     columns = "epoch int, loss double, accuracy double, val_loss double, val_accuracy double"
-    return weights, train.sparkSession.createDataFrame(history, columns)
+    return SoftmaxModel(best[1]), train.sparkSession.createDataFrame(history, columns)
 
 
 def visiting_order(count: int, seed: int) -> Iterator[int]:

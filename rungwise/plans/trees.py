@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rungwise.functions import losses
@@ -71,6 +71,16 @@ def holdout_eval(model, df: DataFrame, classes: int, smoothing: float = 0.0) ->
     )
 
 
+class Search(NamedTuple):
+    """A grid search's outcome."""
+
+    depths: tuple[int, ...]
+    accuracies: list[float]
+    best: int
+    model: DecisionTreeClassificationModel
+    seconds: float
+
+
 def cross_validator(
     df: DataFrame,
     key: str,
@@ -79,37 +89,48 @@ def cross_validator(
     copies: int = 1,
     parallelism: int = 4,
     seed: int = SEED,
-) -> CrossValidatorModel:
-    """Grid search over tree depth by accuracy, best depth refitted.
+) -> Search:
+    """Grid search over tree depth by accuracy, best depth refitted on all rows.
 
-    Folds are drawn on the row key before rows multiply, so a row's copies
-    never sit in training and validation at once.
+    Only the base is kept, with its folds. A fold is a filter on it, and rows
+    multiply inside the tasks of each fit. Copies of a row are scored alike, so
+    validation reads the base. ``parallelism`` fits run at once; a fold without
+    rows is left out of the mean.
     """
-    tree = tree_estimator(seed=seed)
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build()
-    evaluator = MulticlassClassificationEvaluator(
-        labelCol=INDEXED_LABEL, predictionCol="prediction", metricName="accuracy"
-    )
-    search = CrossValidator(
-        estimator=Pipeline(stages=[tree]),
-        estimatorParamMaps=grid,
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
+    started = time.perf_counter()
     folded = kfold_assign(df, key, folds).select(FEATURES, INDEXED_LABEL, "fold")
+
+    def fit(rows: DataFrame, depth: int) -> DecisionTreeClassificationModel:
+        return tree_fit(bag_multiply(rows, copies), depth=depth, seed=seed)
+
+    def score(fold: int, depth: int) -> float | None:
+        model = fit(base.filter(F.col("fold") != fold), depth)
+        return accuracy(model.transform(base.filter(F.col("fold") == fold)), INDEXED_LABEL).first()["accuracy"]
+
     with cached(spread_rows(folded, copies)) as base:
-        return search.fit(bag_multiply(base, copies))
+        tasks = [(fold, depth) for depth in depths for fold in range(folds)]
+        with ThreadPoolExecutor(parallelism) as pool:
+            shares = list(pool.map(inheritable_thread_target(df.sparkSession)(lambda task: score(*task)), tasks))
+        means = []
+        for i in range(len(depths)):
+            known = [s for s in shares[i * folds : (i + 1) * folds] if s is not None]
+            means.append(sum(known) / len(known) if known else float("nan"))
+        best = max(range(len(depths)), key=lambda i: means[i])
+        model = fit(base, depths[best])
+    return Search(tuple(depths), means, best, model, time.perf_counter() - started)
 
 
 def cross_validate(df: DataFrame, key: str, depths: tuple[int, ...] = (1, 5, 10, 20), **settings) -> DataFrame:
-    """(depth, accuracy, best) from ``cross_validator``."""
-    model = cross_validator(df, key, depths, **settings)
-    best = model.avgMetrics.index(max(model.avgMetrics))
-    rows = [(d, float(a), i == best) for i, (d, a) in enumerate(zip(depths, model.avgMetrics))]
-    return df.sparkSession.createDataFrame(rows, "depth int, accuracy double, best boolean")
+    """(depth, accuracy, best, seconds of the whole search) from ``cross_validator``."""
+    search = cross_validator(df, key, depths, **settings)
+    rows = [(d, a, i == search.best, search.seconds) for i, (d, a) in enumerate(zip(depths, search.accuracies))]
+    return df.sparkSession.createDataFrame(rows, "depth int, accuracy double, best boolean, seconds double")
+
+
+def root_split(model: DecisionTreeClassificationModel) -> tuple[int, float]:
+    """(feature, threshold) of a tree's first split on a number; rows up to the threshold go left."""
+    split = model._java_obj.rootNode().split()
+    return split.featureIndex(), split.threshold()
 
 
 def train_eval_rungs(

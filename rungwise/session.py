@@ -51,6 +51,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``scratch_path`` gave and that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` materialised in the shared folder, its lineage cut."""
     spark = df.sparkSession

@@ -11,7 +11,7 @@ from rungwise.operators.metrics import accuracy, mean_gradient
 from rungwise.operators.splits import hash_split
 from rungwise.plans import dense, prepare, trees
 from rungwise.plans.prepare import INDEXED_LABEL
-from rungwise.session import scratch_path
+from rungwise.session import cached, scratch_path
 from rungwise.sources import models, tables
 from rungwise.sources.runlogs import run_name, runlog_scan
 
@@ -103,7 +103,16 @@ def test_cross_validation_marks_one_best_depth(spark, parts):
     rows = trees.cross_validate(train, "key", depths=(1, 3), folds=3, copies=2).collect()
     assert [r["depth"] for r in rows] == [1, 3] and sum(r["best"] for r in rows) == 1
     best = max(rows, key=lambda r: r["accuracy"])
-    assert best["best"] and best["accuracy"] > 0.9
+    assert best["best"] and best["accuracy"] > 0.9 and best["seconds"] > 0
+
+
+def test_cross_validation_of_many_copies_keeps_one_base(spark, parts, monkeypatch):
+    _, _, _, train, test = parts
+    kept = []
+    monkeypatch.setattr(trees, "cached", lambda *frames: kept.extend(frames) or cached(*frames))
+    search = trees.cross_validator(train, "key", depths=(1,), folds=2, copies=251)
+    assert [df.count() for df in kept] == [train.count()] and search.seconds > 0
+    assert accuracy(search.model.transform(test), INDEXED_LABEL).first()["accuracy"] > 0.9
 
 
 def test_ladder_rows_grow_and_accuracy_stays(spark, parts):
@@ -135,18 +144,35 @@ def toy_images(spark, n=240):
 
 def test_softmax_learns_and_reports_every_epoch(spark):
     train, valid = hash_split(toy_images(spark), "k")
-    weights, history = dense.softmax_fit(
+    model, history = dense.softmax_fit(
         train, valid, "k", "x", "y", inputs=4, classes=3, epochs=3, batch_size=32, rate=0.1, smoothing=0.0
     )
     rows = history.collect()
-    assert [r["epoch"] for r in rows] == [1, 2, 3] and weights.shape == (3, 5)
+    assert [r["epoch"] for r in rows] == [1, 2, 3] and model.weights.shape == (3, 5)
+    scored = model.score(valid, "x")
+    right = scored.filter("prediction = y").count() / valid.count()
+    assert abs(right - max(r["val_accuracy"] for r in rows)) < 1e-12
+    path = scratch_path(spark, "softmax")
+    assert dense.softmax_roundtrip(valid, model, "x", path).first().asDict() == {"rows": valid.count(), "differing": 0}
     assert rows[-1]["loss"] < rows[0]["loss"] and rows[-1]["val_accuracy"] > 0.9
 
 
 def test_softmax_on_an_empty_table(spark):
     empty = toy_images(spark).filter("k < 0")
-    weights, history = dense.softmax_fit(empty, empty, "k", "x", "y", 4, 3, epochs=1)
-    assert not weights.any() and history.first()["loss"] is None
+    model, history = dense.softmax_fit(empty, empty, "k", "x", "y", 4, 3, epochs=1)
+    assert not model.weights.any() and history.first()["loss"] is None
+
+
+def test_rows_that_do_not_fit_are_left_out(spark):
+    rows = [([1.0] * 4, 0), ([1.0] * 3, 1), (None, 1), ([2.0] * 4, None), ([2.0] * 4, -1), ([2.0] * 4, 3)]
+    df = spark.createDataFrame(rows, "x array<float>, y int")
+    assert {r["position"]: r["value"] for r in dense.gradient_sums(df, "x", "y", np.zeros((3, 5)), 0.0).collect()}[dense.ROWS] == 1
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 7, 64, 1000])
+def test_every_batch_is_visited_once(count):
+    order = list(dense.visiting_order(count, 5))
+    assert sorted(order) == list(range(count)) and (count < 7 or order != sorted(order))
 
 
 def test_gradient_sums_match_the_aggregate(spark):
@@ -159,7 +185,7 @@ def test_gradient_sums_match_the_aggregate(spark):
 
 
 def test_batches_are_stored_whole(spark):
-    stored, batches, _ = dense.store_batches(toy_images(spark), "k", "x", "y", 32, 42)
+    stored, batches, _ = dense.store_batches(toy_images(spark), "k", "x", "y", 32, 42, scratch_path(spark, "batches"))
     sizes = dict(stored.groupBy("batch_id").count().collect())
     assert batches == 8 and sorted(sizes) == list(range(8)) and sum(sizes.values()) == 240
 
