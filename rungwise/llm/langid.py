@@ -30,7 +30,7 @@ FEATURE_BITS, LONGEST = 15, 3
 PER_LANGUAGE = 1_500
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 1.0, 1.0, 0.02, 1e-4
 UNKNOWN = "und"
-LEAST_SCORE = 0.35  # below it a document is rejected: hardly better than chance among a few languages
+LEAST_SCORE = 0.0  # a document with a lower score is rejected; short clean texts score low, so only ``und`` goes
 
 
 @lru_cache(maxsize=1)
