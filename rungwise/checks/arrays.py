@@ -190,3 +190,40 @@ def augment_append(spark, sf_dir):
     grown = augment.augment_append(image_table(spark, sf_dir), "vec_id", "pixels", GRID)
     wide = long_form(grown, ["vec_id", "label", "augmented"], "pixels")
     return wide.withColumn("value", F.col("value").cast("double"))
+
+
+# A 3-channel form of the same images: a pixel, its mirror value and a constant; turned with blending, edges reflected.
+SMOOTH = augment.Amounts(edge="reflect", method="bilinear")
+COLOUR = images.Shape(8, 8, 3)
+AT_R = f"(({ROW} - 3.5::DOUBLE) * cos({ANGLE}) - ({COL} - 3.5::DOUBLE) * sin({ANGLE}) + 3.5::DOUBLE)"
+AT_C = f"(({ROW} - 3.5::DOUBLE) * sin({ANGLE}) + ({COL} - 3.5::DOUBLE) * cos({ANGLE}) + 3.5::DOUBLE)"
+
+
+def reflected_sql(index: str) -> str:
+    turn = f"((({index}) % 16 + 16) % 16)"
+    return f"CAST(least({turn}, 15 - {turn}) AS BIGINT)"
+
+
+def corner_sql(row: str, col: str) -> str:
+    return f"colours[({reflected_sql(row)} * 8 + {reflected_sql(col)}) * 3 + channel + 1]"
+
+
+@query(
+    "image_rotate_bilinear",
+    f"""WITH {PICTURES},
+    coloured AS (
+        SELECT vec_id, flatten([[p::DOUBLE, 255.0 - p, 7.0] FOR p IN pixels]) AS colours FROM pictures),
+    placed AS (
+        SELECT vec_id, colours, position, channel, {AT_R} AS at_r, {AT_C} AS at_c
+        FROM coloured, range(64) AS a(position), range(3) AS b(channel)),
+    corners AS (SELECT *, floor(at_r) AS r, floor(at_c) AS c, at_r - floor(at_r) AS down, at_c - floor(at_c) AS across FROM placed)
+    SELECT vec_id, CAST(position * 3 + channel AS INTEGER) AS position,
+           round(CAST(({corner_sql("r", "c")} * (1 - across) + {corner_sql("r", "c + 1")} * across) * (1 - down)
+                 + ({corner_sql("r + 1", "c")} * (1 - across) + {corner_sql("r + 1", "c + 1")} * across) * down AS FLOAT)::DOUBLE, 3) AS value
+    FROM corners""",
+)
+def image_rotate_bilinear(spark, sf_dir):
+    df = image_table(spark, sf_dir)
+    colour = F.flatten(F.transform("pixels", lambda p: F.array(p.cast("float"), (255 - p).cast("float"), F.lit(7.0).cast("float"))))
+    turned = images.rotate(colour, COLOUR, augment.random_angle("vec_id"), SMOOTH.edge, method=SMOOTH.method)
+    return cells(df.select("vec_id", turned.alias("pixels"))).withColumn("value", F.round("value", 3))

@@ -74,6 +74,40 @@ def _pick(pixels: Column, shape: Shape, rows: Column, cols: Column, fill: float)
     return _of_image(pixels, gather, rows=rows, cols=cols)
 
 
+def _blend(pixels: Column, shape: Shape, position, edge: str, fill: float, **values: Column) -> Column:
+    """Bilinear samples: output cell (row, col) lies at ``position(image, row, col)`` of the input.
+
+    The four cells around a position each follow the edge rule by themselves.
+    """
+    channels = _steps(shape.c)
+
+    def sample(image: Column) -> Column:
+        def corner(row: Column, col: Column, channel: Column) -> Column:
+            r, c = _inside(row, shape.h, edge), _inside(col, shape.w, edge)
+            value = F.get(image["pixels"], (r * shape.w + c) * shape.c + channel).cast("double")
+            return F.when((r < 0) | (c < 0), F.lit(float(fill))).otherwise(value) if edge == "constant" else value
+
+        def blended(at: Column) -> Column:
+            row, col = F.floor(at["r"]).cast("int"), F.floor(at["c"]).cast("int")
+            down, across = at["r"] - row, at["c"] - col
+            return F.transform(
+                channels,
+                lambda k: (
+                    (corner(row, col, k) * (1.0 - across) + corner(row, col + 1, k) * across) * (1.0 - down)
+                    + (corner(row + 1, col, k) * (1.0 - across) + corner(row + 1, col + 1, k) * across) * down
+                ).cast("float"),
+            )
+
+        def cell(row: Column, col: Column) -> Column:
+            at_r, at_c = position(image, row, col)
+            return bind({"r": at_r, "c": at_c}, blended)
+
+        grid = F.transform(_steps(shape.h), lambda r: F.transform(_steps(shape.w), lambda c: cell(r, c)))
+        return F.flatten(F.flatten(grid))
+
+    return _of_image(pixels, sample, **values)
+
+
 def _of_image(pixels: Column, body, **values: Column) -> Column:
     """``body`` of the float pixels and other values of one image; null for a null image."""
     floats = pixels.cast("array<float>")
@@ -115,18 +149,30 @@ def flip(pixels: Column, shape: Shape, across: Column | bool = True, down: Colum
 
 
 def translate(
-    pixels: Column, shape: Shape, down: Column, across: Column, edge: str = "nearest", fill: float = 0.0
+    pixels: Column, shape: Shape, down: Column, across: Column, edge: str = "nearest", fill: float = 0.0,
+    method: str = "nearest",
 ) -> Column:
-    """Shift by shares of the height and width."""
+    """Shift by shares of the height and width; ``method`` is nearest or bilinear."""
+    if method == "bilinear":
+        def moved(image: Column, row: Column, col: Column) -> tuple[Column, Column]:
+            return row - image["down"] * shape.h, col - image["across"] * shape.w
+
+        return _blend(pixels, shape, moved, edge, fill, down=down, across=across)
     rows = F.transform(_steps(shape.h), lambda i: _inside(_nearest(i - down * shape.h), shape.h, edge))
     cols = F.transform(_steps(shape.w), lambda i: _inside(_nearest(i - across * shape.w), shape.w, edge))
     return _pick(pixels, shape, rows, cols, fill)
 
 
 def zoom(
-    pixels: Column, shape: Shape, amount: Column, edge: str = "nearest", fill: float = 0.0
+    pixels: Column, shape: Shape, amount: Column, edge: str = "nearest", fill: float = 0.0, method: str = "nearest"
 ) -> Column:
-    """Scale about the centre: above 0 zooms out, below 0 zooms in."""
+    """Scale about the centre: above 0 zooms out, below 0 zooms in; ``method`` is nearest or bilinear."""
+    if method == "bilinear":
+        def scaled(image: Column, row: Column, col: Column) -> tuple[Column, Column]:
+            mid_r, mid_c = (shape.h - 1) / 2.0, (shape.w - 1) / 2.0
+            return (row - mid_r) * (1.0 + image["amount"]) + mid_r, (col - mid_c) * (1.0 + image["amount"]) + mid_c
+
+        return _blend(pixels, shape, scaled, edge, fill, amount=amount)
 
     def sources(size: int) -> Column:
         middle = (size - 1) / 2.0
@@ -138,11 +184,18 @@ def zoom(
 
 
 def rotate(
-    pixels: Column, shape: Shape, angle: Column, edge: str = "nearest", fill: float = 0.0
+    pixels: Column, shape: Shape, angle: Column, edge: str = "nearest", fill: float = 0.0, method: str = "nearest"
 ) -> Column:
-    """Turn about the centre by ``angle`` radians, nearest cell."""
+    """Turn about the centre by ``angle`` radians; ``method`` is nearest or bilinear."""
     mid_r, mid_c = (shape.h - 1) / 2.0, (shape.w - 1) / 2.0
     fill_pixel = F.array_repeat(F.lit(fill).cast("float"), shape.c)
+    if method == "bilinear":
+        def turned_to(image: Column, row: Column, col: Column) -> tuple[Column, Column]:
+            up, right = row - mid_r, col - mid_c
+            return up * image["cos"] - right * image["sin"] + mid_r, up * image["sin"] + right * image["cos"] + mid_c
+
+        blended = _blend(pixels, shape, turned_to, edge, fill, cos=F.cos(angle), sin=F.sin(angle))
+        return F.when(angle.isNotNull(), blended)
 
     def gather(image: Column) -> Column:
         def cell(row: Column, col: Column) -> Column:

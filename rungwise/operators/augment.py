@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rungwise.functions import images
 from rungwise.functions.hashing import hash_amount, hash_share
 
-# The largest changes, as shares of a full turn, of the side and of the scale.
+# Fixed values, the defaults: the largest changes, as shares of a full turn, of the side and of the scale.
 TURN, SHIFT, SCALE = 0.1, 0.1, 0.1
 
 # One draw per amount, so that amounts of one row do not move together.
@@ -26,20 +27,44 @@ def random_flips(key: str, seed: int = 42) -> tuple[Column, Column]:
     return across, hash_share(key, seed, FLIP_DOWN_DRAW) < 0.5
 
 
-def augment(df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int = 42, edge: str = "nearest") -> DataFrame:
+class Amounts(NamedTuple):
+    """The largest changes and the ways of making them.
+
+    ``turn`` is a share of a full turn, ``shift`` of the side, ``scale`` of the
+    size; flips can be switched off one by one.
+    """
+
+    turn: float = TURN
+    shift: float = SHIFT
+    scale: float = SCALE
+    flip_across: bool = True
+    flip_down: bool = True
+    edge: str = "nearest"
+    method: str = "nearest"
+
+
+def augment(
+    df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int = 42, amounts: Amounts = Amounts()
+) -> DataFrame:
     """Turn, shift, scale and flip every image; narrow, the label travels along."""
-    turned = df.withColumn(pixels, images.rotate(F.col(pixels), shape, random_angle(key, TURN, seed), edge))
-    down, across = (hash_amount(key, SHIFT, seed, draw) for draw in (DOWN_DRAW, ACROSS_DRAW))
-    moved = turned.withColumn(pixels, images.translate(F.col(pixels), shape, down, across, edge))
-    amount = hash_amount(key, SCALE, seed, SCALE_DRAW)
-    scaled = moved.withColumn(pixels, images.zoom(F.col(pixels), shape, amount, edge))
-    flip_across, flip_down = random_flips(key, seed)
+    how = {"edge": amounts.edge, "method": amounts.method}
+    turned = df.withColumn(pixels, images.rotate(F.col(pixels), shape, random_angle(key, amounts.turn, seed), **how))
+    down, across = (hash_amount(key, amounts.shift, seed, draw) for draw in (DOWN_DRAW, ACROSS_DRAW))
+    moved = turned.withColumn(pixels, images.translate(F.col(pixels), shape, down, across, **how))
+    amount = hash_amount(key, amounts.scale, seed, SCALE_DRAW)
+    scaled = moved.withColumn(pixels, images.zoom(F.col(pixels), shape, amount, **how))
+    flips = random_flips(key, seed)
+    flip_across, flip_down = (
+        flip if wanted else F.lit(False) for flip, wanted in zip(flips, (amounts.flip_across, amounts.flip_down))
+    )
     return scaled.withColumn(pixels, images.flip(F.col(pixels), shape, flip_across, flip_down))
 
 
-def augment_append(df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int = 42, edge: str = "nearest") -> DataFrame:
+def augment_append(
+    df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int = 42, amounts: Amounts = Amounts()
+) -> DataFrame:
     """Originals and their augmented copies, marked by ``augmented``, from one scan."""
-    both = augment(df.withColumn("_original", F.col(pixels)), key, pixels, shape, seed, edge)
+    both = augment(df.withColumn("_original", F.col(pixels)), key, pixels, shape, seed, amounts)
     pair = F.posexplode_outer(F.array(F.col("_original").cast("array<float>"), F.col(pixels)))
     others = [c for c in df.columns if c != pixels]
     grown = both.select(*others, pair.alias("_copy", pixels))

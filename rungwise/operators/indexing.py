@@ -58,6 +58,14 @@ def fit_indexers(
     return _indexer_model(counts, columns, outputs or [c + INDEX_SUFFIX for c in columns], unseen)
 
 
+def joint_indexer(
+    models: list[StringIndexerModel], columns: list[str], outputs: list[str], unseen: str
+) -> StringIndexerModel:
+    """Many indexers as one stage: one projection to apply, one folder to save."""
+    labels = [list(model.labels) for model in models]
+    return StringIndexerModel.from_arrays_of_labels(labels, columns, outputs, handleInvalid=unseen)
+
+
 def fit_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, rank) of all categories of wide columns, as a table.
 

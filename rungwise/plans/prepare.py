@@ -7,7 +7,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, Layout, cast_integer, fill_missing_numeric
-from rungwise.operators.indexing import fit_indexers
+from rungwise.operators.indexing import fit_indexers, joint_indexer
 
 FEATURES = "features"
 INDEXED_LABEL = "indexedLabel"
@@ -59,9 +59,8 @@ def fit_features(
     """
     outputs = [LABEL_RANK, *[c + INDEX_SUFFIX for c in layout.text]]
     fitted = fit_indexers(train, [layout.label, *layout.text], outputs=outputs)
-    label, *text = fitted.stages
-    for indexer in text:
-        indexer.setHandleInvalid("keep")
+    label, *each = fitted.stages
+    text = [joint_indexer(each, layout.text, outputs[1:], "keep")] if each else []
     return PipelineModel([label, *text, *vector_stages(layout, nominal)])
 
 

@@ -141,3 +141,38 @@ def test_augment_append(spark):
     assert any(r["pixels"] != data[0][1] for r in rows if r["augmented"])
     again = augment.augment_append(df.repartition(5), "vec_id", "pixels", shape).collect()
     assert sorted(map(repr, rows)) == sorted(map(repr, again))
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("edge", images.EDGES)
+def test_bilinear_samples(spark, shape, edge):
+    data, mid_r, mid_c = picture(shape), (shape.h - 1) / 2, (shape.w - 1) / 2
+    cos, sin = math.cos(0.5), math.sin(0.5)
+    changes = {
+        "turn": (lambda p: images.rotate(p, shape, F.lit(0.5), edge, 9.0, "bilinear"),
+                 lambda r, c: ((r - mid_r) * cos - (c - mid_c) * sin + mid_r, (r - mid_r) * sin + (c - mid_c) * cos + mid_c)),
+        "shift": (lambda p: images.translate(p, shape, F.lit(0.4), F.lit(-0.7), edge, 9.0, "bilinear"),
+                  lambda r, c: (r - 0.4 * shape.h, c + 0.7 * shape.w)),
+        "zoom": (lambda p: images.zoom(p, shape, F.lit(0.9), edge, 9.0, "bilinear"),
+                 lambda r, c: ((r - mid_r) * 1.9 + mid_r, (c - mid_c) * 1.9 + mid_c)),
+    }
+    for change, source in changes.values():
+        got, want = apply(spark, shape, change).reshape(shape), np.zeros(shape)
+        corners = {
+            (a, b): brute(data, lambda r, c: tuple(math.floor(p + 1e-12) + s for p, s in zip(source(r, c), (a, b))), edge, 9.0).reshape(shape)
+            for a in (0, 1) for b in (0, 1)
+        }
+        for r in range(shape.h):
+            for c in range(shape.w):
+                down, across = (p - math.floor(p + 1e-12) for p in source(r, c))
+                upper = corners[0, 0][r, c] * (1 - across) + corners[0, 1][r, c] * across
+                want[r, c] = upper * (1 - down) + (corners[1, 0][r, c] * (1 - across) + corners[1, 1][r, c] * across) * down
+        assert np.allclose(got, want, atol=1e-3)
+
+
+def test_flips_can_be_switched_off(spark):
+    shape = Shape(2, 2, 1)
+    df = spark.createDataFrame([(k, [1.0, 2.0, 3.0, 4.0]) for k in range(40)], "k long, pixels array<float>")
+    still = augment.Amounts(turn=0.0, shift=0.0, scale=0.0, flip_down=False)
+    found = {tuple(r["pixels"]) for r in augment.augment(df, "k", "pixels", shape, amounts=still).collect()}
+    assert found == {(1.0, 2.0, 3.0, 4.0), (2.0, 1.0, 4.0, 3.0)}
