@@ -232,3 +232,36 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return digests(format_turns(turns, Template()), Template())
+
+
+def chat_sql(template: Template) -> str:
+    """The digests of all conversations in SQL: escapes are counted, the machine is the previous turn's role."""
+    controls = sorted(template.controls(), key=len, reverse=True)
+    pattern = "|".join(f"{re.escape(c[0])}{re.escape(template.escape)}*{re.escape(c[1:])}" for c in controls)
+    sizes = " ".join(f"WHEN role = '{role}' THEN {len(a) + len(b)}" for role, (a, b) in template.marks.items())
+    steps = " OR ".join(
+        f"(before = '{state}' AND role IN ({', '.join(repr(r) for r in roles)}))" for state, roles in template.moves.items()
+    )
+    trained, said = ", ".join(map(repr, sorted(template.trained))), "</s>[INST] ok [/INST]"
+    final = ", ".join(map(repr, sorted(template.final)))
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{said}' UNION ALL SELECT -1, 1, 'assistant', '{said}'),
+stepped AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '{pattern}')) AS size,
+    coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text), '{START}') AS before FROM turns),
+marked AS (
+  SELECT *, size + CASE {sizes} ELSE {sum(map(len, template.other))} + length(role)
+    + len(regexp_extract_all(role, '{pattern}')) END AS chars, NOT ({steps}) AS fault, role IN ({trained}) AS loss FROM stepped)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (loss), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (loss), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) + {len(template.begin) + len(template.end)} AS formatted_chars,
+  count(*) FILTER (fault) AS n_faults, last(role ORDER BY turn NULLS FIRST, role, text) IN ({final}) AS ends_well
+FROM marked GROUP BY conv_id
+"""
+
+
+OP1_SQL = chat_sql(Template())

@@ -182,3 +182,22 @@ def near_vectors(table: DataFrame, least: float = LEAST, code_bits: int = CODE_B
 
 def op2_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+WITH RECURSIVE fine AS (
+  SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT vec_id AS node, vec_id AS found FROM fine
+  UNION SELECT node, v FROM reach JOIN links ON found = u),
+roots AS (SELECT node, min(found) AS component_id FROM reach GROUP BY node),
+numbers AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN roots ON node = vec_id LEFT JOIN numbers ON u = vec_id
+"""

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from rungwise.llm.bpe import op6_bpe
-from rungwise.llm.chat import op1_chat
-from rungwise.llm.embed_dedup import op2_embed_dedup
+from rungwise.llm.chat import OP1_SQL, op1_chat
+from rungwise.llm.embed_dedup import OP2_SQL, op2_embed_dedup
 from rungwise.llm.html_extract import op8_html_extract
 from rungwise.llm.langid import op10_langid
 from rungwise.llm.packing import op9_packing
 from rungwise.llm.simhash import op7_simhash
 from rungwise.llm.suffix_dedup import op5_suffix_dedup
-from rungwise.llm.topk import op4_topk
+from rungwise.llm.topk import OP4_SQL, op4_topk
 from rungwise.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
@@ -25,4 +25,9 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_langid": op10_langid,
 }
-ORACLE_SQL: dict[str, str] = {"op3_url_filter": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat": OP1_SQL,
+    "op2_embed_dedup": OP2_SQL,
+    "op3_url_filter": OP3_SQL,
+    "op4_topk": OP4_SQL,
+}

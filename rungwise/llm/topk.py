@@ -206,3 +206,16 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quantised(read_table(spark, sf_dir, "embeddings"))
     return top_products(rows, rows.filter(F.col("vec_id") % 50 == 0), 5)
+
+
+OP4_SQL = """
+WITH whole AS (
+  SELECT vec_id, [CAST(floor(256 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(coalesce(list_sum([a.q[i] * b.q[i] FOR i IN range(1, 1 + least(len(a.q), len(b.q)))]), 0) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
