@@ -12,6 +12,8 @@ from rungwise.functions import images, losses
 from rungwise.functions.hashing import hash_amount
 from rungwise.operators import augment
 from rungwise.operators.columns import long_form
+from rungwise.operators.growth import union_all
+from rungwise.operators.resizing import resize_rows
 from rungwise.sources.tables import array_rows as pair_rows
 
 ROW, COL = "(position // 8)", "(position % 8)"
@@ -115,9 +117,7 @@ def resize_sql(out: int) -> str:
     FROM range({out}) AS a(r), range({out}) AS b(c)"""
 
 
-@query(
-    "image_resize",
-    f"""WITH {CELLS},
+RESIZED = f"""WITH {CELLS},
     grid AS ({resize_sql(4)} UNION ALL {resize_sql(12)}),
     near AS (
         SELECT vec_id, CAST(side AS INTEGER) AS side, 'nearest' AS method, grid.position, pixel::DOUBLE AS value
@@ -132,11 +132,13 @@ def resize_sql(out: int) -> str:
         JOIN cells c ON c.vec_id = a.vec_id AND c.position = r_high * 8 + c_low
         JOIN cells d ON d.vec_id = a.vec_id AND d.position = r_high * 8 + c_high)
     SELECT vec_id, side, method, position, round(value, 4) AS value FROM near
-    UNION ALL SELECT vec_id, side, method, position, round(value, 4) FROM smooth""",
-)
+    UNION ALL SELECT vec_id, side, method, position, round(value, 4) FROM smooth"""
+KINDS = [(side, method) for side in (4, 12) for method in ("nearest", "bilinear")]
+
+
+@query("image_resize", RESIZED)
 def image_resize(spark, sf_dir):
     df = image_table(spark, sf_dir)
-    kinds = [(side, method) for side in (4, 12) for method in ("nearest", "bilinear")]
     resized = F.array(
         *[
             F.struct(
@@ -144,7 +146,7 @@ def image_resize(spark, sf_dir):
                 F.lit(method).alias("method"),
                 images.resize(F.col("pixels"), GRID, side, side, method).alias("resized"),
             )
-            for side, method in kinds
+            for side, method in KINDS
         ]
     )
     wide = df.select("vec_id", F.inline(resized))
@@ -152,6 +154,19 @@ def image_resize(spark, sf_dir):
     return cells_of.withColumn("value", F.round(F.col("value").cast("double"), 4))
 
 
+@query("image_resize_rows", RESIZED)
+def image_resize_rows(spark, sf_dir):
+    df = image_table(spark, sf_dir).select("vec_id", "pixels")
+    sizes = [
+        resize_rows(df, "pixels", GRID, side, side, method).select(
+            "vec_id", F.lit(side).alias("side"), F.lit(method).alias("method"), "pixels"
+        )
+        for side, method in KINDS
+    ]
+    cells_of = long_form(union_all(*sizes), ["vec_id", "side", "method"], "pixels")
+    return cells_of.withColumn("value", F.round(F.col("value").cast("double"), 4))
+
+
 @query("image_flip", image_sql(FLIPPED))
 def image_flip(spark, sf_dir):
     across, down = augment.random_flips("vec_id")

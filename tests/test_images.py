@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rungwise.functions import images
 from rungwise.functions.images import Shape
-from rungwise.operators import augment
+from rungwise.operators import augment, resizing
 
 SHAPES = [Shape(4, 4, 1), Shape(3, 5, 3)]
 
@@ -176,3 +176,15 @@ def test_flips_can_be_switched_off(spark):
     still = augment.Amounts(turn=0.0, shift=0.0, scale=0.0, flip_down=False)
     found = {tuple(r["pixels"]) for r in augment.augment(df, "k", "pixels", shape, amounts=still).collect()}
     assert found == {(1.0, 2.0, 3.0, 4.0), (2.0, 1.0, 4.0, 3.0)}
+
+
+@pytest.mark.parametrize("method", ["nearest", "bilinear"])
+@pytest.mark.parametrize("shape,out", [(Shape(4, 4, 1), (9, 3)), (Shape(3, 5, 3), (7, 7)), (Shape(6, 6, 3), (2, 11))])
+def test_resized_rows_equal_the_expression(spark, monkeypatch, method, shape, out):
+    monkeypatch.setattr(resizing, "PIXELS_AT_ONCE", 200)
+    rows = [(k, None if k == 3 else (picture(shape).ravel() * (k + 1) % 97).tolist(), "x") for k in range(9)]
+    df = spark.createDataFrame(rows, "k long, pixels array<float>, label string")
+    want = df.select("k", images.resize(F.col("pixels"), shape, *out, method).alias("o"))
+    got = {r["k"]: r["pixels"] for r in resizing.resize_rows(df, "pixels", shape, *out, method).collect()}
+    assert len(got) == 9 and got[3] is None
+    assert all(r["o"] is None or np.allclose(r["o"], got[r["k"]], atol=1e-5) for r in want.collect())
