@@ -173,7 +173,8 @@ def near_vectors(table: DataFrame, least: float = LEAST, code_bits: int = CODE_B
     whole = classes.join(number, "cid", "left").join(found, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     roots = whole.groupBy("component").agg(F.min("first").alias("component_id"))
     links_of = (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links")
-    told = whole.join(roots, "component").select("embedding", links_of, "component_id")
+    # A table of its own: the last join then has plain exchanges, and a vector of very many rows can be split.
+    told = checkpointed(whole.join(roots, "component").select("embedding", links_of, "component_id"))
     out = rows.join(told, "embedding", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
     )

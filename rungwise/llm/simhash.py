@@ -209,7 +209,9 @@ def simhash_groups(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -
     by_fp = by_fp.select("fp", F.coalesce("component", "fp").alias("component"))
     first = marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(by_fp, "fp")
     roots = first.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return marked.join(first.join(roots, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    # A table of its own: the last join then has plain exchanges, and a fingerprint of very many rows can be split.
+    told = checkpointed(first.join(roots, "component").select("fp", "component_id"))
+    return marked.join(told, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
