@@ -32,23 +32,27 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 
 class Memo:
-    """Values by piece of text, computed in bulk when missing; at most ``size`` are remembered."""
+    """Values by piece of text, computed in bulk when missing.
 
-    def __init__(self, compute: Callable[[list[str]], list[bytes]], size: int = 1 << 19, longest: int = 64):
-        self.compute, self.size, self.longest = compute, size, longest
+    About ``size`` of those used last are remembered: what is found in the older
+    half moves to the younger, and the older half goes when the younger is full.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], list[bytes]], size: int = 1 << 20, longest: int = 64):
+        self.compute, self.half, self.longest = compute, size // 2, longest
         self.fixed: dict[str, bytes] = {}  # values that ``compute`` does not know
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def values(self, pieces: list[str]) -> list[bytes]:
-        if not self.known:
-            self.known.update(self.fixed)
         found = list(map(self.known.get, pieces))
         if None in found:
-            missing = list(dict.fromkeys(p for p, value in zip(pieces, found) if value is None))
-            computed = dict(zip(missing, self.compute(missing)))
-            found = [computed[p] if value is None else value for p, value in zip(pieces, found)]
-            if len(self.known) + len(computed) > self.size:
-                self.known.clear()
-            self.known.update((p, value) for p, value in computed.items() if len(p) <= self.longest)
-            self.known.update(self.fixed)
+            missing = dict.fromkeys(p for p, value in zip(pieces, found) if value is None)
+            own = {p: value for p in missing if (value := self.fixed.get(p) or self.older.get(p)) is not None}
+            new = [p for p in missing if p not in own]
+            own.update(zip(new, self.compute(new)))
+            found = [own[p] if value is None else value for p, value in zip(pieces, found)]
+            if len(self.known) + len(own) > self.half:
+                self.older, self.known = self.known, {}
+            self.known.update((p, value) for p, value in own.items() if len(p) <= self.longest)
         return found

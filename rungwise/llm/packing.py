@@ -66,18 +66,29 @@ def library_memo(path: str) -> Memo:
     return Memo(compute)
 
 
+def pieces_of(text: str) -> list[str]:
+    """Pieces between blanks and line ends, in lower case, as the vocabulary has it.
+
+    Two letters are kept as they are: the lower case of one depends on its
+    neighbours, that of the other is two characters which others can come between.
+    """
+    if "Σ" not in text and "İ" not in text:
+        text = text.lower()
+    return text.replace("\n", " ").split(" ")
+
+
 def piece_rows(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece: whole windows and the remainder, numbered by length within the task.
 
     The vocabulary drops white space and joins nothing across it, so a text's ids are
-    those of its pieces between blanks and line ends, in order.
+    those of its pieces between blanks and line ends, in order (see ``pieces_of``).
     """
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
         memo, part, seen = library_memo(path), TaskContext.get().partitionId(), Counter()
         for batch in slices(batches):
-            split = [(text or "").replace("\n", " ").split(" ") for text in batch.column(1).to_pylist()]
+            split = [pieces_of(text or "") for text in batch.column(1).to_pylist()]
             known, at, out = memo.values([piece for own in split for piece in own]), 0, []
             for doc_id, own in zip(batch.column(0).to_pylist(), split):
                 ids = b"".join(known[at : at + len(own)]) + end
