@@ -44,7 +44,7 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 
 def ruled(host: Column, path: Column, rules=RULES) -> Column:
-    """The longest rule that fits as (size, rule, verdict), or null; ``rules`` is a short list of literals."""
+    """The longest rule that fits as (size, rule, verdict), or null; the later name wins among equals. ``rules`` is short."""
     fitting = [
         F.when(
             ((host == F.lit(h)) | host.endswith("." + h)) & path.startswith(p),
@@ -139,7 +139,7 @@ l{level + 1} AS (SELECT r.page_id, r.host, r.path, r.rule, r.verdict, r.bad, r.p
 
 
 def _rules_sql() -> str:
-    cases = sorted(RULES, key=lambda rule: (-len(rule[1] + rule[2]), rule[1] + rule[2]), reverse=False)
+    cases = sorted(RULES, key=lambda rule: (len(rule[1] + rule[2]), rule[1] + rule[2]), reverse=True)
     fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for v, h, p in cases]
     rule = " ".join(f"WHEN {fit} THEN '{name}'" for fit, name, _ in fits)
     verdict = " ".join(f"WHEN {fit} THEN '{v}'" for fit, _, v in fits)
