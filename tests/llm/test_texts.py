@@ -283,3 +283,26 @@ def test_most_weights_are_zero():
         rows.append((places, np.full(len(places), 1 / np.sqrt(len(places))), label))
     weights = langid.fit_weights(rows, 2)
     assert weights[0, 0] > 0 > weights[1, 0] and (weights == 0).mean() > 0.9
+
+
+@pytest.mark.parametrize("segment", [1 << 22, 500, 64])
+def test_cut_texts_keep_every_window_and_its_anchor(monkeypatch, segment):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+    rng = random.Random(1)
+    texts = [bytes(rng.choice(b"abcdefgh ") for _ in range(n)) for n in (0, 199, 200, 201, 777, 5000)] + [b"a" * 3000]
+    seen: dict = {}
+    for rows, shifts, pieces in suffix_dedup.segments(texts, 200):
+        bounds = np.cumsum([0, *map(len, pieces)])
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        text, first, left, more, hashes = suffix_dedup.anchors_of(data, bounds, 200, 40)
+        for row, start, shift, distance, further, value in zip(
+            np.array(rows)[text], first, np.array(shifts)[text], left, more, hashes
+        ):
+            for k in range(further + 1):
+                window = (int(row), int(start + shift + k))
+                assert window not in seen
+                seen[window] = (int(distance - k), int(value))
+    assert set(seen) == {(row, k) for row, text in enumerate(texts) for k in range(len(text) - 199)}
+    by_content: dict = {}
+    for (row, k), anchor in seen.items():
+        assert by_content.setdefault(texts[row][k : k + 200], anchor) == anchor
