@@ -99,18 +99,17 @@ def sampled(docs: DataFrame, per_language: int) -> list[tuple[str, bool, np.ndar
         for batch in slices(batches):
             found = [grams(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([f[0].tolist() for f in found], pa.list_(pa.int64())),
-                 pa.array([f[1].tolist() for f in found], pa.list_(pa.float64()))],
+                [batch.column(0), batch.column(1), pa.array([f[0].astype("<u2").tobytes() for f in found], pa.binary()),
+                 pa.array([f[1].astype("<u4").tobytes() for f in found], pa.binary())],
                 names=["lang", "nth", "places", "counts"],
             )
 
-    rows = chosen.select("lang", "nth", "text").mapInArrow(run, "lang string, nth int, places array<long>, counts array<double>")
+    rows = chosen.select("lang", "nth", "text").mapInArrow(run, "lang string, nth int, places binary, counts binary")
     table = rows.toArrow().sort_by([("nth", "ascending"), ("lang", "ascending")])
-    lists = (table[name].combine_chunks() for name in ("places", "counts"))
-    (places, counts), ends = (x.values.to_numpy() for x in lists), table["places"].combine_chunks().offsets.to_pylist()
     return [
-        (lang, nth % 4 == 0, places[s:e], counts[s:e])
-        for lang, nth, s, e in zip(table["lang"].to_pylist(), table["nth"].to_pylist(), ends, ends[1:]) if e > s
+        (lang, nth % 4 == 0, np.frombuffer(places, "<u2"), np.frombuffer(counts, "<u4"))
+        for lang, nth, places, counts in zip(*(table[name].to_pylist() for name in ("lang", "nth", "places", "counts")))
+        if places
     ]
 
 
