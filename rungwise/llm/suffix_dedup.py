@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rungwise.llm.common import read_table, slices, text_bytes
-from rungwise.session import scratch_path
+from rungwise.session import remove_scratch, scratch_path
 
 WINDOW, ANCHOR = 200, 40
 LIMIT = 1 << 15  # strings sorted together
@@ -276,8 +276,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, limit
     folder = scratch_path(spark, "repeats")
     anchor_rows(docs, window, k).write.parquet(f"{folder}/anchors")
     anchors = spark.read.parquet(f"{folder}/anchors")
-    counts = anchors.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    contexts = context_rows(docs, anchors.join(counts, "h"), window, limit)
+    # Written, so that the join below has plain exchanges on both sides: adaptive execution can then split a hot anchor.
+    anchors.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1).write.parquet(f"{folder}/counts")
+    contexts = context_rows(docs, anchors.join(spark.read.parquet(f"{folder}/counts"), "h"), window, limit)
     placed = contexts.repartition("h", "chunk").sortWithinPartitions("h", "chunk")
 
     def run(batches):
@@ -285,6 +286,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, limit
             yield from repeated_windows(table, window, k)
 
     placed.mapInArrow(run, FOUND).write.parquet(f"{folder}/found")
+    for done in ("anchors", "counts"):
+        remove_scratch(spark, f"{folder}/{done}")
     found = spark.read.parquet(f"{folder}/found")
     spans = found.filter("kind = 0").select(*KEY, "start", "end")
     windows = found.filter("kind > 0")
