@@ -63,7 +63,7 @@ def library_memo(path: str) -> Memo:
             out[piece] = np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return [out[piece] for piece in pieces]
 
-    return Memo(compute)
+    return Memo(compute, 3 << 18)
 
 
 def pieces_of(text: str) -> list[str]:
