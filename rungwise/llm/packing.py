@@ -34,6 +34,7 @@ WINDOW, END_ID = 4096, 2
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 BETWEEN, TOGETHER = "\x01", 200  # pieces that the library encodes at once
+SPECIAL = "<|"  # how the vocabulary's special strings begin; none holds a blank
 RANK_BITS = 48  # a rank below 2^48 and a length below 2^15 share one sorted key
 
 
@@ -67,14 +68,14 @@ def library_memo(path: str) -> Memo:
 
 
 def pieces_of(text: str) -> list[str]:
-    """Pieces between blanks and line ends, in lower case, as the vocabulary has it.
+    """Pieces between blanks and line ends, plain ones in lower case, as the vocabulary has them.
 
-    Two letters are kept as they are: the lower case of one depends on its
-    neighbours, that of the other is two characters which others can come between.
+    The library looks for special strings before it lower-cases, and composes characters
+    before that too. So only ASCII pieces that cannot hold a special string are lower-cased here.
     """
-    if "Σ" not in text and "İ" not in text:
-        text = text.lower()
-    return text.replace("\n", " ").split(" ")
+    plain = text.isascii() and SPECIAL not in text
+    pieces = (text.lower() if plain else text).replace("\n", " ").split(" ")
+    return pieces if plain else [p.lower() if p.isascii() and SPECIAL not in p else p for p in pieces]
 
 
 def piece_rows(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:

@@ -112,6 +112,16 @@ def test_library_memo_equals_whole_texts():
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_special_strings_and_marks_are_the_library_s():
+    memo, tokenizer, rng = packing.library_memo(WORDS), library(WORDS), random.Random(12)
+    texts = ["a <|ENDOFTEXT|> b", "<|StartOfText|>x <|endoftext|>", "T\u0308 J\u030c H\u0331 The\u0301", "ÀB \u212a K"]
+    letters = [*"THJKabÀéΣİ \n<|>\u0308\u030c\u0331\u0301\u212a", "<|ENDOFTEXT|>", "<|endoftext|>", "<|EndOfText|>"]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.choice([3, 10, 60]))) for _ in range(1500)]
+    for text in texts:
+        ids = np.frombuffer(b"".join(memo.values(packing.pieces_of(text))), "<u4")
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_fill_is_the_best_subset_sum():
     rng = random.Random(4)
     for _ in range(200):
