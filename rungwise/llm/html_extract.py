@@ -1,7 +1,7 @@
 """Main text of web pages by tree scoring.
 
 The page is read into a light tree: tags by one pattern, unclosed paragraphs, list
-items and cells closed by what follows them, stray end tags and a tag that the page's end cuts off ignored. Elements whose tag, role or
+items and cells closed by what follows them, a head by the first tag or text of a body, stray end tags and a tag that the page's end cuts off ignored. Elements whose tag, role or
 class says menu, header, footer, sidebar, notice, advert, form or reader comment are
 taken out with all they hold. Every paragraph then passes points to its ancestors: one, one
 for each comma and one for each hundred characters up to three, in full to the
@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from rungwise.llm.common import read_table, slices
 
 SHORTEST = 25  # characters of a paragraph that scores
-RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title|head"
+RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title"
 TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)|<[!?][^>]*>"
+    r"""<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])(?:"[^"]*"|'[^']*'|[^>"'])*/>"""
+    rf"|<(?P<raw>{RAW})\b[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)|<[!?][^>]*>"
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>"""
     r"|</?[a-zA-Z][^<>]*\Z",
     re.DOTALL | re.IGNORECASE,
@@ -39,7 +40,7 @@ BLOCK = set(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul".split()
 )
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+VOID = set("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 PARAGRAPH = set("p pre td blockquote li dd figcaption h1 h2 h3 h4 h5 h6".split())
 OUT_TAGS = set("nav header footer aside form button menu dialog input label fieldset".split())
 OUT_ROLES = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
@@ -54,6 +55,7 @@ CLOSES = {  # a start tag of the first closes an open one of the second, looking
     "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "tr": ({"tr"}, {"table"}),
 }
+HEAD = set("base basefont bgsound link meta".split())  # besides elements read as one; all others end the head
 SCOPES = set("article main section div body table ul ol td form nav aside header footer blockquote".split())
 
 
@@ -65,7 +67,7 @@ def words_of(value: str) -> list[str]:
 
 def is_out(name: str, attrs: str) -> bool:
     """Whether an element is boilerplate by its tag, role, class or id."""
-    if name in OUT_TAGS:
+    if name in OUT_TAGS or name == "head":
         return True
     if not attrs or name in ("html", "body", "article", "main"):
         return False
@@ -90,7 +92,7 @@ class Tree:
         stack, at = [0], 0
         for tag in TAG.finditer(page):
             if tag.start() > at:
-                self.texts.append((stack[-1], page[at : tag.start()]))
+                self._text(stack, page[at : tag.start()])
             at, name = tag.end(), tag["name"]
             if name is None:
                 continue
@@ -100,9 +102,16 @@ class Tree:
             else:
                 self._open(stack, name, tag["attrs"])
         if at < len(page):
-            self.texts.append((stack[-1], page[at:]))
+            self._text(stack, page[at:])
+
+    def _text(self, stack: list[int], text: str) -> None:
+        if self.names[stack[-1]] == "head" and not text.isspace():
+            stack.pop()
+        self.texts.append((stack[-1], text))
 
     def _open(self, stack: list[int], name: str, attrs: str) -> None:
+        if self.names[stack[-1]] == "head" and name not in HEAD:
+            stack.pop()
         if name in BLOCK:
             self._cut(stack, {"p"}, SCOPES)
         if name in CLOSES:

@@ -223,6 +223,18 @@ def test_main_text(spark, tmp_path):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_main_text_of_pages_without_end_tags():
+    article = "<article><p>Text</p></article>"
+    for page in (
+        "<html><head><meta charset=utf-8><body>" + article, "<head><title>t</title><link rel=x>" + article,
+        "<head><script>'<body>no'</script><style>p{}</style><title>t</title></head><body>" + article,
+        "<head><!-- <body> --><meta a='>'>" + article, "<head><title>t</title>" + article, "<head><title>t</title>Text",
+        "<article><svg viewBox='0 0 1 1'/><p>Text</p></article>", "<article><p>Text<math/></p></article>",
+        "<article><svg a='x>y' /><p>Text</p></article><svg><text>no</text></svg>", "<article><svg><path d=''/></svg><p>Text</p></article>",
+    ):
+        assert html_extract.main_text(page) == "Text", page
+
+
 def test_pipeline_stages_equal_brute_force(spark, tmp_path, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "repeated_passages", "packing"]
