@@ -1,7 +1,7 @@
 """Near-duplicate vectors from randomised-rotation binary codes.
 
 A vector's unit direction is turned by a random frame with orthonormal columns; its code is
-the signs, ``code_bits`` of them, stored with the correction factor, the inner
+the signs, ``code_bits`` of them (more for longer vectors, see ``bits_of``), stored with the correction factor, the inner
 product of the signs' direction and the turned vector. For another vector y,
 <signs, turned y> / factor is an unbiased estimate of the cosine, and its error stays
 within a bound of order sqrt(1 - factor^2) / factor / sqrt(bits - 1). Pairs whose upper bound
@@ -63,6 +63,19 @@ def table_bits(bits: int, tables: int, code_bits: int) -> np.ndarray:
     return np.concatenate(use)[: bits * tables].reshape(tables, bits)
 
 
+def bits_of(dim: int, code_bits: int) -> int:
+    """Bits of the code of vectors with ``dim`` components: one for each at least, in whole bytes."""
+    return -(-max(code_bits, dim) // 8) * 8
+
+
+@lru_cache(maxsize=8)
+def table_masks(bits: int, tables: int, code_bits: int) -> np.ndarray:
+    """The bits of ``table_bits`` as one packed code per table."""
+    masks = np.zeros((tables, code_bits), dtype=np.uint8)
+    np.put_along_axis(masks, table_bits(bits, tables, code_bits), 1, axis=1)
+    return np.packbits(masks, axis=1, bitorder="little")
+
+
 def unit_rows(raw: list[bytes]) -> np.ndarray:
     rows = np.frombuffer(b"".join(raw), dtype="<f8").reshape(len(raw), -1)
     largest = np.abs(rows).max(axis=1, keepdims=True)  # first, so that squares neither overflow nor vanish
@@ -73,7 +86,6 @@ def unit_rows(raw: list[bytes]) -> np.ndarray:
 def coded(classes: DataFrame, n: int, code_bits: int) -> DataFrame:
     """Code, correction factor and buckets of every class."""
     width, tables = table_plan(n)
-    use = table_bits(width, tables, code_bits)
 
     def run(batches):
         for batch in batches:
@@ -84,9 +96,10 @@ def coded(classes: DataFrame, n: int, code_bits: int) -> DataFrame:
                 by_dim.setdefault(len(vector), []).append(row)
             for dim, rows in by_dim.items():
                 raw = [vectors[row].tobytes() for row in rows]
-                turned = unit_rows(raw) @ frame(dim, code_bits).T
+                turned = unit_rows(raw) @ frame(dim, bits_of(dim, code_bits)).T
                 signs = turned > 0
                 factor = np.abs(turned).sum(axis=1) / math.sqrt(turned.shape[1])
+                use = table_bits(width, tables, signs.shape[1])
                 weights = np.int64(1) << np.arange(width)
                 keys = (signs[:, use] * weights).sum(axis=2)
                 keys += (np.arange(tables) << 32) + (np.int64(dim % 32768) << 48)
@@ -105,10 +118,6 @@ def class_links(classes: DataFrame, n: int, least: float, code_bits: int) -> Dat
     """Per block: ``u, v, 0`` stars of linked classes and ``u, u, n`` numbers of linked vectors."""
     table = checkpointed(coded(classes, n, code_bits))
     width, tables = table_plan(n)
-    use = table_bits(width, tables, code_bits)
-    masks = np.zeros((tables, code_bits), dtype=np.uint8)
-    np.put_along_axis(masks, use, 1, axis=1)
-    masks = np.packbits(masks, axis=1, bitorder="little")
     rows = table.select(F.explode("buckets").alias("bucket"), "cid", "size", "vector", "code", "factor")
     dealt = together(chunk_pairs(rows, "bucket", F.col("cid")), "bucket").select(
         "bucket", "lo", "hi", "chunk", "cid", "size", "vector", "code", "factor"
@@ -118,7 +127,7 @@ def class_links(classes: DataFrame, n: int, least: float, code_bits: int) -> Dat
         for block in groups(batches, 3):
             if block.num_rows < 2:
                 continue
-            found = linked_pairs(block, least, masks)
+            found = linked_pairs(block, least, width, tables)
             across = crossing(block["chunk"].to_numpy(), block["lo"][0].as_py(), block["hi"][0].as_py())
             found &= True if across is None else across
             if not found.any():
@@ -133,7 +142,7 @@ def class_links(classes: DataFrame, n: int, least: float, code_bits: int) -> Dat
     return dealt.mapInArrow(run, LINKS)
 
 
-def linked_pairs(block: pa.Table, least: float, masks: np.ndarray) -> np.ndarray:
+def linked_pairs(block: pa.Table, least: float, width: int, tables: int) -> np.ndarray:
     """Which rows are linked, of pairs that have not met in an earlier table."""
     unit = unit_rows(block["vector"].to_pylist())
     count, dim = unit.shape
@@ -154,7 +163,7 @@ def linked_pairs(block: pa.Table, least: float, masks: np.ndarray) -> np.ndarray
         a, b = a[near], b[near]
         new = np.ones(len(a), dtype=bool)
         apart = codes[a] ^ codes[b]
-        for earlier in masks[:number]:
+        for earlier in table_masks(width, tables, bits)[:number]:
             new &= (apart & earlier).any(axis=1)
         found[a[new], b[new]] = found[b[new], a[new]] = True
     return found

@@ -125,6 +125,19 @@ def test_vectors_of_hot_buckets(spark, monkeypatch):
     assert {tuple(r)[1:3] for r in embed_dedup.near_vectors(df).collect()} == {(149, 0)}
 
 
+@pytest.mark.parametrize("dim", [300, 768])
+def test_long_vectors_equal_brute_force(spark, monkeypatch, dim):
+    monkeypatch.setattr(embed_dedup.table_plan, "__defaults__", (0.9, 256, 1e-6))
+    rng = np.random.default_rng(dim)
+    rows = [(i, rng.standard_normal(dim).tolist()) for i in range(40)]
+    rows += [(100 + i, (np.array(rows[i % 10][1]) + rng.standard_normal(dim) * rng.uniform(0, 0.6)).tolist()) for i in range(60)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    links = brute_links(rows)
+    number = Counter(k for pair in links for k in pair)
+    got = embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert links and {r["vec_id"]: r["n_links"] for r in got} == {rows[k][0]: number[k] for k in range(len(rows))}
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(11)
     unit = rng.standard_normal((400, 32))
