@@ -12,8 +12,11 @@ rows with all digits equal to the boundary's are exact ties, taken by smaller id
 Queries are a stated set; they meet the rows in blocks of both, so a task holds one
 block's slices and one chunk of queries. Every row is indexed.
 
-Vectors that are null, hold null or non-finite components or components of 2^31 and
-more (after scaling), and rows without id take no part. Shorter vectors count as
+Components and scores are exact integers of any size; where a block has components
+beyond 62 bits, Python's integers stand in for numpy's. A score that does not fit into a
+long is reported as the nearest long, and ranked by its exact value.
+
+Vectors that are null or hold null or non-finite components, and rows without id take no part. Shorter vectors count as
 ending in zeros. A query is not compared with rows of its own id. Repeated rows of
 another id each count; no rows give no rows.
 """
@@ -35,7 +38,9 @@ CHUNK = 128  # queries of one task
 SCALE = 256
 INDEX = "block int, dim int, bit int, bits binary"
 IDS, LOWS = -1, -2  # values of dim: the block's ids, the least value of each component
-WIDEST = 1 << 31
+WIDEST = 1 << 31  # of ``quantised``, whose integers are longs
+LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
+FOUND = "query_id long, vec_id long, score long, beyond binary"
 
 
 def usable(vector: Column) -> Column:
@@ -45,20 +50,43 @@ def usable(vector: Column) -> Column:
 
 
 def quantised(table: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``vec_id, q``: components times ``scale``, rounded down, of the rows that take part."""
+    """``vec_id, q``: components times ``scale``, rounded down, of the rows that take part and fit below ``WIDEST``."""
     whole = table.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     rows = whole.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double") * scale).alias("s"), scaled.alias("q"))
     return rows.filter(F.forall("s", lambda x: F.abs(x) < WIDEST)).select("vec_id", "q")
 
 
+def gridded(table: DataFrame) -> DataFrame:
+    """``vec_id, q``: components of all rows that take part, rounded down to ``1 / SCALE``; exact as doubles of any size."""
+    whole = table.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    down = lambda x: F.when(F.abs(x) < float(1 << 44), F.floor(x * SCALE) / SCALE).otherwise(x)
+    return whole.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: down(x.cast("double"))).alias("q"))
+
+
+def integers(values: np.ndarray) -> np.ndarray:
+    """Doubles on the grid of ``1 / SCALE`` as integers, those of Python where longs are too short."""
+    if not len(values) or np.abs(values).max() < 1 << 53:
+        return (values * SCALE).astype(np.int64)
+    return np.array([int(v) * SCALE if abs(v) >= 1 << 44 else int(v * SCALE) for v in values.tolist()], dtype=object)
+
+
+def order_key(number: int) -> bytes:
+    """Bytes that are in the order of the integers they stand for."""
+    size = (abs(number).bit_length() + 7) // 8
+    digits = size.to_bytes(2, "big") + abs(number).to_bytes(size, "big")
+    return b"\x01" + digits if number >= 0 else b"\x00" + bytes(255 - d for d in digits)
+
+
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Lists as rows of integers, short ones filled with zeros."""
+    """Lists as rows of integers, short ones filled with zeros; doubles are on the grid of ``1 / SCALE``."""
     lists = column.combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     sizes = np.diff(lists.offsets.to_numpy())
-    out = np.zeros((len(sizes), int(sizes.max(initial=0))), dtype=np.int64)
-    out[np.arange(out.shape[1])[None, :] < sizes[:, None]] = lists.flatten().to_numpy()
+    flat = lists.flatten().to_numpy()
+    flat = integers(flat) if flat.dtype.kind == "f" else flat
+    out = np.zeros((len(sizes), int(sizes.max(initial=0))), dtype=object if flat.dtype == object else np.int64)
+    out[np.arange(out.shape[1])[None, :] < sizes[:, None]] = flat
     return out
 
 
@@ -72,13 +100,15 @@ def slice_rows(block: int, ids: np.ndarray, values: np.ndarray) -> Iterator[tupl
     """The index of one block, rows in order of their ids."""
     order = np.argsort(ids, kind="stable")
     ids, values = ids[order], values[order]
-    lows = values.min(axis=0, initial=np.iinfo(np.int64).max)
+    lows = values.min(axis=0)
     yield block, IDS, 0, ids.astype("<i8").tobytes()
-    yield block, LOWS, 0, lows.astype("<i8").tobytes()
+    yield block, LOWS, 0, ",".join(map(str, lows.tolist())).encode()
     above = values - lows
     for dim in range(above.shape[1]):
         for bit in range(int(above[:, dim].max()).bit_length()):
-            yield block, dim, bit, bitmap(above[:, dim] >> bit & 1).tobytes()
+            digit = (above[:, dim] >> bit & 1).astype(np.uint8)
+            if digit.any():
+                yield block, dim, bit, bitmap(digit).tobytes()
 
 
 def build_index(rows: DataFrame, blocks: int) -> DataFrame:
@@ -107,7 +137,7 @@ class Block:
             if dim == IDS:
                 self.ids = np.frombuffer(raw, dtype="<i8")
             elif dim == LOWS:
-                self.lows = np.frombuffer(raw, dtype="<i8")
+                self.lows = [int(low) for low in raw.split(b",") if low]
             else:
                 self.slices.setdefault(dim, []).append((bit, np.frombuffer(raw, dtype=np.uint64)))
         self.exists = bitmap(np.ones(len(self.ids), dtype=np.uint8))
@@ -117,7 +147,7 @@ class Block:
         constant, columns = 0, []
         for dim, factor in enumerate(query.tolist()[: len(self.lows)]):
             size = abs(factor)
-            constant += factor * int(self.lows[dim])
+            constant += factor * self.lows[dim]
             held = self.slices.get(dim, ())
             if factor < 0:  # -a x = a (2^b - 1 - x) - a (2^b - 1), digit by digit
                 constant -= size * sum(1 << bit for bit, _ in held)
@@ -176,7 +206,7 @@ class Block:
 
 
 def top_products(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of each query's ``k`` best rows; both inputs are ``vec_id, q``."""
+    """``query_id, rank, vec_id, score`` of each query's ``k`` best rows; both inputs are ``vec_id, q`` (longs or ``gridded``)."""
     spark = rows.sparkSession
     blocks, chunks = max(1, -(-rows.count() // block)), max(1, -(-queries.count() // chunk))
     folder = scratch_path(spark, "slices")
@@ -191,20 +221,22 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK
         if slices.num_rows and some.num_rows:
             held = Block(slices["dim"].to_pylist(), slices["bit"].to_pylist(), slices["bits"].to_pylist())
             for query_id, query in zip(some["vec_id"].to_pylist(), matrix(some["q"])):
-                out += [(query_id, vec_id, score) for vec_id, score in held.top(query_id, query, k)]
-        columns = [pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 3
-        return pa.table(columns, names=["query_id", "vec_id", "score"])
+                for vec_id, score in held.top(query_id, query, k):
+                    near = min(max(score, LEAST_LONG), MOST_LONG)
+                    out.append((query_id, vec_id, near, order_key(score - near)))
+        columns = [pa.array([row[i] for row in out], pa.binary() if i == 3 else pa.int64()) for i in range(4)]
+        return pa.table(columns, names=["query_id", "vec_id", "score", "beyond"])
 
     found = index.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInArrow(
-        run, "query_id long, vec_id long, score long"
+        run, FOUND
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quantised(read_table(spark, sf_dir, "embeddings"))
+    rows = gridded(read_table(spark, sf_dir, "embeddings"))
     return top_products(rows, rows.filter(F.col("vec_id") % 50 == 0), 5)
 
 

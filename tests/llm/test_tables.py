@@ -169,6 +169,29 @@ def test_top_products_equal_brute_force(spark, tmp_path, block):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_wide_components_take_part(spark, tmp_path):
+    rng = np.random.default_rng(13)
+    rows = [(i, (rng.standard_normal(16) * 10.0 ** rng.integers(0, 6)).tolist()) for i in range(51, 120)]
+    rows += [(150, [1e7] + [0.0] * 15), (151, [-9e6, 1e-30, -1e-30] + [0.0] * 13), (50, [0.0] * 16), (152, [1e7])]
+    folder = vector_folder(spark, tmp_path / "long", rows)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet/*.parquet'")
+    assert compare(topk.op4_topk(spark, folder), connection, topk.OP4_SQL) == []
+
+    rows += [(200 + i, (rng.standard_normal(16) * 10.0 ** rng.integers(5, 38)).tolist()) for i in range(0, 101, 5)]
+    rows += [(400 + i, [3e38 if i % 2 else -3e38] + [float(i)] * 15) for i in range(60)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    want = []
+    for q in sorted(i for i in whole if i % 50 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        want += [(q, k + 1, i, min(max(-s, -(2**63)), 2**63 - 1)) for k, (s, i) in enumerate(scores[:5])]
+    folder = vector_folder(spark, tmp_path / "wide", rows)
+    assert sorted(map(tuple, topk.op4_topk(spark, folder).collect())) == want
+    table = topk.gridded(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    assert sorted(map(tuple, topk.top_products(table, table.filter("vec_id % 50 = 0"), 5, 32, chunk=4).collect())) == want
+
+
 def test_vectors_of_no_rows(spark, tmp_path):
     folder = vector_folder(spark, tmp_path, [])
     assert topk.op4_topk(spark, folder).count() == 0 and embed_dedup.op2_embed_dedup(spark, folder).count() == 0
