@@ -207,8 +207,11 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred"
 
 
 def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised."""
-    told = predict(docs, fit(docs), ("_language", "_chance"))
+    """The rows of ``docs`` whose language is recognised; those with a letter if no language can be learnt."""
+    model = fit(docs)
+    if not model.languages:  # nothing to tell texts apart by: every text with a letter stays
+        model = Model(["any"], model.idf, np.zeros((1 << FEATURE_BITS, 1)), 1.0)
+    told = predict(docs, model, ("_language", "_chance"))
     return told.filter((F.col("_language") != UNKNOWN) & (F.col("_chance") >= least)).select(*docs.columns)
 
 

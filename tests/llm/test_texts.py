@@ -276,6 +276,12 @@ def test_language_without_anything_to_learn(spark, folder, nothing):
     assert langid.op10_langid(spark, folder).count() == len(odd.texts())
 
 
+def test_unlabelled_documents_with_letters_stay(spark):
+    rows = [(1, "some text", None), (2, "12 !", None), (3, None, None), (4, "ж", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in langid.keep_known(docs).collect()} == {1, 4}
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(7)
     labels = rng.integers(0, 3, 3000)
