@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from rungwise.llm.alignment import op11_alignment
 from rungwise.llm.bpe import op6_bpe
 from rungwise.llm.chat import OP1_SQL, op1_chat
 from rungwise.llm.embed_dedup import OP2_SQL, op2_embed_dedup
 from rungwise.llm.html_extract import op8_html_extract
 from rungwise.llm.langid import op10_langid
+from rungwise.llm.mixing import OP12_SQL, op12_mixing
 from rungwise.llm.packing import op9_packing
 from rungwise.llm.simhash import op7_simhash
 from rungwise.llm.suffix_dedup import op5_suffix_dedup
@@ -24,10 +26,13 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_packing": op9_packing,
     "op10_langid": op10_langid,
+    "op11_alignment": op11_alignment,
+    "op12_mixing": op12_mixing,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": OP1_SQL,
     "op2_embed_dedup": OP2_SQL,
     "op3_url_filter": OP3_SQL,
     "op4_topk": OP4_SQL,
+    "op12_mixing": OP12_SQL,
 }
