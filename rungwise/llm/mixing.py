@@ -226,12 +226,14 @@ WITH sized AS (
 ), weighted AS (
   SELECT *, (place - 1) % 3 + 1 AS weight, 3 * source_size AS most, sum(source_size) OVER () AS total FROM totals
 ), filling AS (
-  SELECT *, coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full,
-    sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM weighted
-), rise AS (
-  SELECT min((total - full)::DOUBLE / open::DOUBLE) AS level FROM filling WHERE weight * ((total - full)::DOUBLE / open::DOUBLE) <= most
+  SELECT *, coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
+    sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unfilled FROM weighted
+), levels AS (
+  SELECT most, weight, place, (total - filled)::DOUBLE / unfilled::DOUBLE AS level FROM filling
 ), targets AS (
-  SELECT source, source_size, least(weight * coalesce(level, 'infinity'::DOUBLE), most::DOUBLE) AS target FROM weighted, rise
+  SELECT source, source_size, least(weight * coalesce((
+    SELECT level FROM levels WHERE weight * level <= most ORDER BY most / weight, place LIMIT 1
+  ), 'infinity'::DOUBLE), most::DOUBLE) AS target FROM weighted
 ), placed AS (
   SELECT doc_id, size, source_size, target, round(target)::BIGINT AS goal, coalesce(sum(size) OVER (
     PARTITION BY s.source ORDER BY {hash_sql("doc_id", SEED)}, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
