@@ -37,10 +37,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rungwise.llm.bpe import byte_letters
 from rungwise.llm.common import Memo, read_table
 from rungwise.session import scratch_path
 
-CHUNK_BYTES = 2 << 20  # text of one chunk, unless a single text is longer
+CHUNK_BYTES = 1 << 20  # text of one chunk, unless a single text is longer
 MARK = "\x00"  # stands for a space at a cut; texts that hold it are cut by Python
 # The white space of Unicode; what the class leaves is followed by a cut if a space comes next.
 CUT = r"([^\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]) "
@@ -57,13 +58,6 @@ RESULT = (
 )
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The characters that a byte-level vocabulary writes for bytes: printable ones as they are, others from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [byte for byte in range(256) if byte not in plain]
-    return {chr(byte): byte for byte in plain} | {chr(0x100 + i): byte for i, byte in enumerate(others)}
-
-
 class Tokens:
     """Two vocabularies: ids of pieces of text, bytes and decimal names of ids."""
 
@@ -77,7 +71,7 @@ class Tokens:
         self.a.no_padding()
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        size_a, size_b, alphabet = self.a.get_vocab_size(), self.b.get_piece_size(), byte_alphabet()
+        size_a, size_b, alphabet = self.a.get_vocab_size(), self.b.get_piece_size(), {c: b for b, c in enumerate(byte_letters())}
         entries = [self.a.id_to_token(i) or "" for i in range(size_a)]
         self.bytes_a = [bytes(alphabet[c] for c in e) if set(e) <= alphabet.keys() else e.encode() for e in entries]
         self.bytes_b = []
@@ -120,7 +114,7 @@ class Tokens:
         return [out[p] if p in out else self.encode_one(p) for p in pieces]
 
     def ids_a(self, text: str) -> list[int]:
-        return self.a.encode(text, add_special_tokens=False).ids
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def encode_one(self, piece: str) -> bytes:
         """As ``encode``; library B makes nothing of an empty text, also where it stands for a last space."""
@@ -199,12 +193,17 @@ def counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndar
     return found[order], sums.column(1).to_numpy()[order]
 
 
+def group_ids(tokens: pa.Table, name: str, bits: int) -> pa.Table:
+    """(group, id, times) of the tokens, which come in the order of groups: nearly sorted codes, put in order and counted by runs."""
+    codes = np.sort(tokens["group"].to_numpy() << bits | tokens["id"].to_numpy(), kind="stable")
+    first = np.flatnonzero(np.diff(codes, prepend=-1))
+    own = codes[first]
+    return pa.table({"group": own >> bits, name: own & (1 << bits) - 1, "times_" + name: np.diff(first, append=len(codes))})
+
+
 def link_counts(a: pa.Table, b: pa.Table, group_doc: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links by code (document, A id, B id; an id has ``bits`` bits). A group gives its different pairs, never all occurrences."""
-    sides = []
-    for tokens, name in ((a, "a"), (b, "b")):
-        code, times = counted(tokens["group"].to_numpy() << bits | tokens["id"].to_numpy())
-        sides.append(pa.table({"group": code >> bits, name: code & (1 << bits) - 1, "times_" + name: times}))
+    sides = [group_ids(a, "a", bits), group_ids(b, "b", bits)]
     pairs = sides[0].join(sides[1], "group", join_type="inner", use_threads=False)
     group, of_a, of_b, times_a, times_b = (pairs[n].to_numpy() for n in ("group", "a", "b", "times_a", "times_b"))
     return counted(group_doc[group] << 2 * bits | of_a << bits | of_b, times_a * times_b)

@@ -111,7 +111,7 @@ def shared_slots(targets: DataFrame, block: int = BLOCK) -> tuple[DataFrame, int
 
     summed = running_sums(goals, ["place"], "goal", "_before")
     points = summed.withColumn("lo", first_point(F.col("_before"))).withColumn("hi", first_point(F.col("_before") + F.col("goal")))
-    own = F.least(F.greatest(F.col("hi") - F.col("lo"), F.lit(1)), F.col("goal"))
+    own = F.greatest(F.least(F.greatest(F.col("hi") - F.col("lo"), F.lit(1)), F.col("goal")), F.lit(1))
     return checkpointed(points.withColumn("slots", own).drop("_before", "row")), bits
 
 
@@ -143,14 +143,14 @@ def schedule(shares: DataFrame, bits: int) -> DataFrame:
     A source's points are made in spans, dealt out before they become slots, so that a source with
     very many slots is no single row's work.
     """
-    spans = shares.filter("hi > lo and slots > 0").select(
+    spans = shares.filter("hi > lo and goal > 0").select(
         "place", "lo", "hi", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1, F.lit(SPAN))).alias("_from")
     )
     last = F.least(F.col("_from") + F.lit(SPAN), F.col("hi")) - 1
     points = spans.repartition("place", "_from").select("place", "lo", "hi", F.explode(F.sequence("_from", last)).alias("_point"))
     slots = points.withColumn("slot", reversed_bits(F.col("_point"), bits))
     upper, lower = (earlier_points(F.col("slot"), F.col("_point"), F.col(end), bits) for end in ("hi", "lo"))
-    missed = shares.filter("hi = lo and slots > 0").select(
+    missed = shares.filter("hi = lo and goal > 0").select(
         (F.lit(1 << bits) + F.col("place")).alias("slot"), "place", F.lit(0).cast("long").alias("rank")
     )
     return slots.select("slot", "place", (upper - lower).alias("rank")).unionByName(missed)

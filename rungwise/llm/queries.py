@@ -5,6 +5,7 @@ from __future__ import annotations
 from rungwise.llm.alignment import op11_alignment
 from rungwise.llm.bpe import op6_bpe
 from rungwise.llm.chat import OP1_SQL, op1_chat
+from rungwise.llm.conversation_repair import OP13_SQL, op13_conversation_repair
 from rungwise.llm.embed_dedup import OP2_SQL, op2_embed_dedup
 from rungwise.llm.html_extract import op8_html_extract
 from rungwise.llm.langid import op10_langid
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_langid": op10_langid,
     "op11_alignment": op11_alignment,
     "op12_mixing": op12_mixing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": OP1_SQL,
@@ -35,4 +37,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op4_topk": OP4_SQL,
     "op12_mixing": OP12_SQL,
+    "op13_conversation_repair": OP13_SQL,
 }
