@@ -30,17 +30,16 @@ def nominal(name: str, values: int) -> dict:
     return {"ml_attr": {"name": name, "type": "nominal", "num_vals": values}}
 
 
-def _indexer_model(counts: DataFrame, columns: list[str], outputs: list[str], unseen: str) -> PipelineModel:
-    """One indexer per column; the model lists the categories, so the driver holds them."""
+def indexer_models(counts: list, columns: list[str], outputs: list[str], unseen: str) -> list[StringIndexerModel]:
+    """One indexer per column from collected (column, value, count); a model lists its categories, so the driver holds them."""
     labels: dict[str, list] = {c: [] for c in columns}
-    for column, value, count in counts.filter(F.col("column").isin(columns)).collect():
-        labels[column].append((-count, value))
-    return PipelineModel(
-        [
-            StringIndexerModel.from_labels([v for _, v in sorted(labels[c])], c, output, handleInvalid=unseen)
-            for c, output in zip(columns, outputs)
-        ]
-    )
+    for column, value, count in counts:
+        if column in labels:
+            labels[column].append((-count, value))
+    return [
+        StringIndexerModel.from_labels([v for _, v in sorted(labels[c])], c, output, handleInvalid=unseen)
+        for c, output in zip(columns, outputs)
+    ]
 
 
 def fit_indexers(
@@ -54,16 +53,8 @@ def fit_indexers(
     The model lists every category on the driver. Columns whose categories grow
     with the table are the caller's to name: ``fit_ranks`` keeps those in a table.
     """
-    counts = category_counts(df, columns)
-    return _indexer_model(counts, columns, outputs or [c + INDEX_SUFFIX for c in columns], unseen)
-
-
-def joint_indexer(
-    models: list[StringIndexerModel], columns: list[str], outputs: list[str], unseen: str
-) -> StringIndexerModel:
-    """Many indexers as one stage: one projection to apply, one folder to save."""
-    labels = [list(model.labels) for model in models]
-    return StringIndexerModel.from_arrays_of_labels(labels, columns, outputs, handleInvalid=unseen)
+    counts = category_counts(df, columns).collect()
+    return PipelineModel(indexer_models(counts, columns, outputs or [c + INDEX_SUFFIX for c in columns], unseen))
 
 
 def fit_ranks(df: DataFrame, columns: list[str]) -> DataFrame:

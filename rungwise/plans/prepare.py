@@ -7,7 +7,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from rungwise.operators.columns import INDEX_SUFFIX, Layout, cast_integer, fill_missing_numeric
-from rungwise.operators.indexing import fit_indexers, joint_indexer
+from rungwise.operators.indexing import category_counts, fit_indexers, indexer_models
 
 FEATURES = "features"
 INDEXED_LABEL = "indexedLabel"
@@ -58,10 +58,12 @@ def fit_features(
     ``apply_ranks``, and enters the layout as a number: its ranks stay a table.
     """
     outputs = [LABEL_RANK, *[c + INDEX_SUFFIX for c in layout.text]]
-    fitted = fit_indexers(train, [layout.label, *layout.text], outputs=outputs)
-    label, *each = fitted.stages
-    text = [joint_indexer(each, layout.text, outputs[1:], "keep")] if each else []
-    return PipelineModel([label, *text, *vector_stages(layout, nominal)])
+    columns = [layout.label, *layout.text]
+    counts = category_counts(train, columns).collect()
+    label = indexer_models(counts, columns[:1], outputs[:1], "error")
+    # One stage per column: each column's unseen rank is its own number of categories.
+    text = indexer_models(counts, columns[1:], outputs[1:], "keep")
+    return PipelineModel([*label, *text, *vector_stages(layout, nominal)])
 
 
 def apply_features(model: PipelineModel, df: DataFrame, layout: Layout, keys: list[str]) -> DataFrame:
