@@ -16,6 +16,10 @@ has ``window`` bytes or more. Rounds are as many as the columns, whatever the le
 of the texts: inserting whole texts symbol by symbol would need a pass for every
 byte of the longest. Both arrays are read and written in order, once a round.
 
+In a run of a short period every window equals the one a period before. Such windows are marked where they are
+found, by their bytes, and only the first of each run is sent on, so runs are no more work than
+other text. Rows with one id and text send their strings once, marked as repeated.
+
 An anchor held by more strings than ``limit`` is dealt out in chunks. Each chunk
 then reports one row for each different window, by a 128-bit fingerprint; those are
 summed with a map-side aggregate, and a window alone in its chunk but not in all
@@ -31,6 +35,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +45,16 @@ from rungwise.llm.common import read_table, slices, text_bytes
 from rungwise.session import remove_scratch, scratch_path
 
 WINDOW, ANCHOR = 200, 40
-LIMIT = 1 << 15  # strings sorted together
+LIMIT = 1 << 15  # most strings of one anchor that are sorted together
+LOT = 1 << 13  # strings after which a lot ends with its anchor
+BLOCK = 1 << 11  # strings laid out at once
+OUT_BYTES = 1 << 22  # strings sent on at once
 SEGMENT = 1 << 22  # bytes hashed together; positions within take 24 bits
 END = 0xFF  # no byte of UTF-8
 ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # bases of the polynomial hashes: any odd numbers
 KEY = ["_d", "_x"]
-ANCHORS = "_d long, _x long, h long, place long"
-CONTEXTS = "h long, chunk int, parts int, _d long, _x long, first long, left int, bytes binary"
+ANCHORS = "_d long, _x long, h long, place long, until long"
+CONTEXTS = "h long, chunk int, parts int, _d long, _x long, first long, left int, bytes binary, twice boolean"
 FOUND = "kind int, _d long, _x long, start long, end long, f1 long, f2 long"
 
 
@@ -61,12 +69,17 @@ def powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-def rolling(data: np.ndarray, size: int, base: int) -> np.ndarray:
-    """A mixed 64-bit hash of every ``size`` neighbouring bytes."""
+def prefix_sums(data: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the bytes before each place, weighed by powers of ``base``, and the powers of its inverse."""
     up, down = powers(base, 1 << max(16, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    value = (sums[size:] - sums[:-size]) * down[: len(data) - size + 1]
+    return sums, down
+
+
+def rolling(sums: np.ndarray, down: np.ndarray, size: int) -> np.ndarray:
+    """A mixed 64-bit hash of every ``size`` neighbouring bytes."""
+    value = (sums[size:] - sums[:-size]) * down[: len(sums) - size]
     value ^= value >> np.uint64(32)
     value *= np.uint64(0xBF58476D1CE4E5B9)
     value ^= value >> np.uint64(29)
@@ -81,25 +94,68 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if size < width else values
 
 
+def seen_before(data: np.ndarray, sums: np.ndarray, down: np.ndarray, anchor: np.ndarray, hashes: np.ndarray, begins: np.ndarray, window: int):
+    """For each window how far back, inside its text, the equal window before it starts; 0 if none is found.
+
+    Only runs of a short period are looked at: where the anchor moves on by p to an equal hash, the window p
+    bytes back may be equal. A hash of the window selects, the bytes decide.
+    """
+    back = np.zeros(len(anchor), dtype=np.int64)
+    moved = np.flatnonzero(np.diff(anchor) != 0) + 1
+    same = moved[hashes[anchor[moved]] == hashes[anchor[moved - 1]]]
+    if not len(same):
+        return back
+    ends = np.r_[moved, len(anchor)][np.searchsorted(moved, same) + 1]
+    sizes = ends - same
+    at = np.repeat(same - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    shift = np.repeat(anchor[same] - anchor[same - 1], sizes)
+    fits = at - shift >= begins[at]
+    at, shift = at[fits], shift[fits]
+
+    def prints(i):
+        return (sums[i + window] - sums[i]) * down[i]
+
+    equal = prints(at) == prints(at - shift)
+    at, shift = at[equal], shift[equal]
+    cuts = np.flatnonzero((np.diff(at) != 1) | (np.diff(shift) != 0)) + 1
+    for start, end in pairwise([0, *cuts.tolist(), len(at)] if len(at) else [0]):
+        first, last, p = int(at[start]), int(at[end - 1]) + window, int(shift[start])
+        if np.array_equal(data[first:last], data[first - p : last - p]):
+            back[at[start:end]] = p
+    return back
+
+
 def anchors_of(data: np.ndarray, bounds: np.ndarray, window: int, k: int):
     """Runs of windows with one anchor: (text, first window, anchor - first, further windows, hash) as arrays.
 
-    ``bounds`` are the ends of texts laid end to end, from 0.
+    ``bounds`` are the ends of texts laid end to end, from 0. Of windows that repeat at a short distance only the
+    first is kept; all of them come as spans (text, start, end) besides.
     """
+    none = np.empty(0, dtype=np.int64)
     if len(data) < window:
-        return (np.empty(0, dtype=np.int64),) * 4 + (np.empty(0, dtype=np.uint64),)
-    hashes = rolling(data, k, ODD[0])
+        return (none, none, none, none, np.empty(0, dtype=np.uint64)), (none, none, none)
+    sums, down = prefix_sums(data, ODD[0])
+    hashes = rolling(sums, down, k)
     low = np.uint64((1 << 24) - 1)
     anchor = (sliding_least(hashes & ~low | np.arange(len(hashes), dtype=np.uint64), window - k + 1) & low).astype(np.int64)
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(anchor)]
     inside = np.arange(len(anchor)) + window <= bounds[1:][text]
-    at = np.flatnonzero(inside)
+    back = np.where(inside, seen_before(data, sums, down, anchor, hashes, bounds[text], window), 0)
+    again = np.flatnonzero(back)
+    spans = (none, none, none)
+    if len(again):
+        near = np.zeros(len(anchor) + 2, dtype=np.int8)
+        near[again + 1] = near[again - back[again] + 1] = 1
+        start, end = np.flatnonzero(np.diff(near) == 1), np.flatnonzero(np.diff(near) == -1)
+        # Neighbouring windows of two texts are never both inside their texts, so a run lies in one.
+        spans = text[start], start - bounds[text[start]], end - 1 + window - bounds[text[start]]
+    at = np.flatnonzero(inside & (back == 0))
     if not len(at):
-        return at, at, at, at, np.empty(0, dtype=np.uint64)
+        return (at, at, at, at, np.empty(0, dtype=np.uint64)), spans
     starts = np.r_[True, (np.diff(at) > 1) | (np.diff(anchor[at]) != 0) | (np.diff(text[at]) != 0)]
     first = at[starts]
     more = np.diff(np.r_[np.flatnonzero(starts), len(at)]) - 1
-    return text[first], first - bounds[text[first]], anchor[first] - first, more, hashes[anchor[first]]
+    return (text[first], first - bounds[text[first]], anchor[first] - first, more, hashes[anchor[first]]), spans
 
 
 def segments(texts: list[bytes], window: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -126,44 +182,74 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def anchor_rows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
-    """``place`` packs the first window, the anchor's distance from it and the number of further windows."""
+    """``place`` packs the first window, the anchor's distance from it and the number of further windows.
+
+    Rows without hash are spans of windows that repeat nearby, from ``place`` to ``until``.
+    """
+
+    names = [*KEY, "h", "place", "until"]
 
     def run(batches):
         for batch in slices(batches):
             d, x = (batch.column(i).to_numpy() for i in (0, 1))
             for rows, shifts, pieces in segments(text_bytes(batch.column(2)), window):
                 bounds = np.cumsum([0, *map(len, pieces)])
-                text, first, left, more, hashes = anchors_of(np.frombuffer(b"".join(pieces), np.uint8), bounds, window, k)
-                row, first = np.array(rows)[text], first + np.array(shifts)[text]
-                columns = d[row], x[row], hashes.view(np.int64), first << 16 | left << 8 | more
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*KEY, "h", "place"])
+                anchors, spans = anchors_of(np.frombuffer(b"".join(pieces), np.uint8), bounds, window, k)
+                text, first, left, more, hashes = anchors
+                rows, shifts = np.array(rows), np.array(shifts)
+                row, first = rows[text], first + shifts[text]
+                none = np.full(len(row), None)
+                columns = d[row], x[row], hashes.view(np.int64), first << 16 | left << 8 | more, none
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+                if len(spans[0]):
+                    row, shift = rows[spans[0]], shifts[spans[0]]
+                    columns = d[row], x[row], np.full(len(row), None), spans[1] + shift, spans[2] + shift
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     return docs.select(*KEY, "text").mapInArrow(run, ANCHORS)
 
 
 def context_rows(docs: DataFrame, shared: DataFrame, window: int, limit: int) -> DataFrame:
-    """The bytes of all windows of each shared anchor, with the anchor's hash and chunk."""
-    wanted = shared.groupBy(*KEY).agg(F.collect_list(F.struct("h", "place", "n")).alias("anchors"))
+    """The bytes of all windows of each shared anchor, with the anchor's hash and chunk.
+
+    Rows with one id and text share their key: they have each anchor as often as there are such
+    rows. Their strings are sent once, marked ``twice``.
+    """
+    wanted = shared.groupBy(*KEY).agg(F.collect_set(F.struct("h", "place", "n")).alias("anchors"), F.count("*").alias("_rows"))
+    wanted = wanted.select(*KEY, "anchors", (F.col("_rows") > F.size("anchors")).alias("twice"))
     names = [field.strip().split(" ")[0] for field in CONTEXTS.split(",")]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
+
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
     def run(batches):
+        before = None
         for batch in slices(batches):
-            out = []
+            out, size = [], 0
             lists = batch.column(3)
             ends, flat = lists.offsets.to_pylist(), lists.values
             h, place, n = (flat.field(i).to_pylist() for i in range(3))
-            texts, d, x = text_bytes(batch.column(2)), batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            texts, d, x, twice = text_bytes(batch.column(2)), *(batch.column(i).to_pylist() for i in (0, 1, 4))
             for row, text in enumerate(texts):
+                # The join puts rows of one key next to one another; where it does not, they only come more often.
+                if twice[row] and (d[row], x[row]) == before:
+                    continue
+                before = d[row], x[row]
                 for i in range(ends[row], ends[row + 1]):
                     first, left, more = place[i] >> 16, place[i] >> 8 & 255, place[i] & 255
                     parts = -(-n[i] // limit)
                     chunk = hash((d[row], x[row], first)) % parts
-                    out.append((h[i], chunk, parts, d[row], x[row], first, left, text[first : first + more + window]))
+                    own = text[first : first + more + window]
+                    out.append((h[i], chunk, parts, d[row], x[row], first, left, own, twice[row]))
+                    size += len(own)
+                    if size > OUT_BYTES:
+                        yield batch_of(out)
+                        out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                yield batch_of(out)
 
-    return docs.select(*KEY, "text").join(wanted, KEY).select(*KEY, "text", "anchors").mapInArrow(run, CONTEXTS)
+    return docs.select(*KEY, "text").join(wanted, KEY).select(*KEY, "text", "anchors", "twice").mapInArrow(run, CONTEXTS)
 
 
 def lots(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -185,12 +271,14 @@ def lots(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
 
 
 def aligned(lists: list[bytes], left: np.ndarray, width: int, at: int) -> np.ndarray:
-    """Columns of the strings with their anchors in column ``at``; END where a string has no byte."""
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    row = np.repeat(np.arange(len(lists)), sizes)
-    column = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(at - left, sizes)
+    """Columns of the strings with their anchors in column ``at``; END where a string has no byte. Filled block by block."""
     columns = np.full((width, len(lists)), END, dtype=np.uint8)
-    columns[column, row] = np.frombuffer(b"".join(lists), dtype=np.uint8)
+    for start in range(0, len(lists), BLOCK):
+        some = lists[start : start + BLOCK]
+        sizes = np.fromiter(map(len, some), np.int64, len(some))
+        row = np.repeat(np.arange(start, start + len(some)), sizes)
+        column = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(at - left[start : start + BLOCK], sizes)
+        columns[column, row] = np.frombuffer(b"".join(some), dtype=np.uint8)
     return columns
 
 
@@ -225,6 +313,15 @@ def window_prints(columns: np.ndarray, window: int, base: int) -> np.ndarray:
     return (value ^ value >> np.uint64(30)).view(np.int64)
 
 
+def some_prints(columns: np.ndarray, column: np.ndarray, row: np.ndarray, window: int) -> Iterator[list[np.ndarray]]:
+    """Both fingerprints of windows by column and string (in order), a block of strings at a time."""
+    for start in range(0, columns.shape[1], BLOCK):
+        first, last = np.searchsorted(row, [start, start + BLOCK])
+        if last > first:
+            block, own = columns[:, start : start + BLOCK], (column[first:last], row[first:last] - start)
+            yield [window_prints(block, window, base)[own] for base in ODD]
+
+
 def repeated_windows(table: pa.Table, window: int, k: int) -> Iterator[pa.RecordBatch]:
     """Runs of repeated windows as byte spans (kind 0); of chunked anchors also one row per window (1 repeated, 2 alone)."""
     at = window - k
@@ -233,7 +330,7 @@ def repeated_windows(table: pa.Table, window: int, k: int) -> Iterator[pa.Record
     lists = table["bytes"].to_pylist()
     columns = aligned(lists, left, width, at)
     firsts, more = at - left, np.fromiter(map(len, lists), np.int64, len(lists)) - window
-    chunked = table["parts"].to_numpy() > 1
+    chunked, marked = table["parts"].to_numpy() > 1, table["twice"].to_numpy()
     repeated = np.zeros((at + 1, len(lists)), dtype=bool)
     heads = []
     for column, order, differs in insert_columns(columns):
@@ -244,6 +341,7 @@ def repeated_windows(table: pa.Table, window: int, k: int) -> Iterator[pa.Record
         with_last[0] = False
         either = with_last.copy()
         either[:-1] |= with_last[1:]
+        either |= marked[order]
         repeated[column, order] = either & own
         lead = np.flatnonzero(own & ~with_last & chunked[order])
         if len(lead):
@@ -257,8 +355,9 @@ def repeated_windows(table: pa.Table, window: int, k: int) -> Iterator[pa.Record
     yield _found(0, d[row], x[row], base + start, base + end - 1 + window)
     if heads:
         column, row, twice = map(np.concatenate, zip(*heads))
-        rows, place = np.unique(row, return_inverse=True)
-        prints = [window_prints(columns[:, rows], window, base)[column, place] for base in ODD]
+        by_string = np.argsort(row, kind="stable")
+        column, row, twice = column[by_string], row[by_string], twice[by_string]
+        prints = [np.concatenate(p) for p in zip(*some_prints(columns, column, row, window))]
         start = first[row] - firsts[row] + column
         yield _found(np.where(twice, 1, 2), d[row], x[row], start, start + window, *prints)
 
@@ -275,21 +374,24 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR, limit
     spark = docs.sparkSession
     folder = scratch_path(spark, "repeats")
     anchor_rows(docs, window, k).write.parquet(f"{folder}/anchors")
-    anchors = spark.read.parquet(f"{folder}/anchors")
+    written = spark.read.parquet(f"{folder}/anchors")
+    anchors = written.filter("h IS NOT NULL").drop("until")
     # Written, so that the join below has plain exchanges on both sides: adaptive execution can then split a hot anchor.
     anchors.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1).write.parquet(f"{folder}/counts")
     contexts = context_rows(docs, anchors.join(spark.read.parquet(f"{folder}/counts"), "h"), window, limit)
     placed = contexts.repartition("h", "chunk").sortWithinPartitions("h", "chunk")
 
     def run(batches):
-        for table in lots(batches, limit):
+        for table in lots(batches, LOT):
             yield from repeated_windows(table, window, k)
 
     placed.mapInArrow(run, FOUND).write.parquet(f"{folder}/found")
+    nearby = written.filter("h IS NULL").select(*KEY, F.col("place").alias("start"), F.col("until").alias("end"))
+    nearby.write.parquet(f"{folder}/nearby")
     for done in ("anchors", "counts"):
         remove_scratch(spark, f"{folder}/{done}")
     found = spark.read.parquet(f"{folder}/found")
-    spans = found.filter("kind = 0").select(*KEY, "start", "end")
+    spans = found.filter("kind = 0").select(*KEY, "start", "end").unionByName(spark.read.parquet(f"{folder}/nearby"))
     windows = found.filter("kind > 0")
     if windows.isEmpty():
         return spans
@@ -320,10 +422,9 @@ def kept_bytes(text: bytes, runs: list[tuple[int, int]]) -> list[bytes]:
 def with_runs(docs: DataFrame, **options) -> DataFrame:
     """All columns of every row, and ``_starts, _ends`` of the spans found in its text."""
     marked = keyed(docs)
-    spans = repeated_spans(marked, **options).groupBy(*KEY).agg(
-        F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends")
-    )
-    return marked.join(spans, KEY, "left").drop(*KEY)
+    spans = repeated_spans(marked, **options).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
+    pairs = spans.select(*KEY, F.col("_spans.start").alias("_starts"), F.col("_spans.end").alias("_ends"))
+    return marked.join(pairs, KEY, "left").drop(*KEY)
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:

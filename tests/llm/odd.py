@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 LONG = " ".join(f"word{i * i % 977}" for i in range(40_000))
-PASSAGE = "".join(random.Random(1).choice("abcdefgh éñ,.") for _ in range(260))
+PASSAGE = "".join(random.Random(1).choices("abcdefgh éñ,.", k=260))
 
 
 def texts() -> list[tuple]:

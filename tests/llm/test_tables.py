@@ -305,3 +305,9 @@ def test_pipeline_stages_equal_brute_force(spark, tmp_path, sf_dir):
 def test_pipeline_takes_awkward_documents(spark, tmp_path):
     folder = odd.documents(spark, tmp_path, odd.texts())
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

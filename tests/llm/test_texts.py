@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,9 +14,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rungwise.llm import bpe, components, langid, packing, simhash, suffix_dedup
+from rungwise.llm.common import read_table
 from tests.llm import odd
 
 BYTES, WORDS = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -282,6 +285,57 @@ def test_unlabelled_documents_with_letters_stay(spark):
     assert {r["doc_id"] for r in langid.keep_known(docs).collect()} == {1, 4}
 
 
+def test_garbled_and_unlearnt_texts_go_clean_ones_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rng, clean = random.Random(11), docs.collect()
+    long_ones = [r["text"] for r in clean if len(r["text"]) > 400][:60]
+    junk = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz  ", k=len(t))) for t in long_ones]
+    unlearnt = ["".join(rng.choices([chr(c) for c in range(0x430, 0x450)] + [" "] * 5, k=len(t))) for t in long_ones]
+    blobs = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=len(t))) for t in long_ones]
+    odd_rows = [(10**6 + i, t, None) for i, t in enumerate(junk + unlearnt + blobs)]
+    both = docs.unionByName(spark.createDataFrame(odd_rows, docs.schema))
+    kept = {r["doc_id"] for r in langid.keep_known(both).collect()}
+    assert kept == {r["doc_id"] for r in clean}
+
+
+def brute_grams(text):
+    """Counts by place, one n-gram at a time."""
+    line = [32]
+    for c in text.lower():
+        if c.isalpha():
+            line.append(ord(c))
+        elif line[-1] != 32 or len(line) == 1:
+            line.append(32)
+    if not any(c.isalpha() for c in text):
+        return Counter()
+    line = [32] + (line[2:] if line[1:2] == [32] else line[1:]) + [32]
+    counts = Counter()
+    for size in (1, 2, 3):
+        for start in range(len(line) - size + 1):
+            value = 0
+            for point in line[start : start + size]:
+                value = (value + point) * 0x9E3779B1 % 2**32
+                value ^= value >> 15
+            counts[value * 0x85EBCA77 % 2**32 >> 32 - langid.FEATURE_BITS] += 1
+    return counts
+
+
+def test_prediction_equals_a_plain_multinomial(spark, tmp_path):
+    rows = made_up(300) + [(400 + i, t, None) for i, t in enumerate(["The und, ça va?", "ü", "  le 12 eau! ", "x" * 5000])]
+    folder = odd.documents(spark, tmp_path, rows)
+    model = langid.fit(read_table(spark, folder, "documents"))
+    known = [t for d, t, lang in rows if lang and zlib.crc32(str(d).encode()) % 4 != 2]
+    holding = Counter(place for t in known for place in brute_grams(t))
+    told = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.op10_langid(spark, folder).collect()}
+    for d, text, _ in rows:
+        values = {p: math.log1p(n) * (math.log((1 + len(known)) / (1 + holding[p])) + 1) for p, n in brute_grams(text).items()}
+        length = math.sqrt(sum(v * v for v in values.values()))
+        logits = [sum(v / length * model.weights[p, k] for p, v in values.items()) / model.temperature for k in range(len(model.languages))]
+        odds = [math.exp(x - max(logits)) for x in logits]
+        best = max(range(len(odds)), key=lambda k: odds[k])
+        assert told[d][0] == model.languages[best] and abs(told[d][1] - odds[best] / sum(odds)) < 1e-9
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(7)
     labels = rng.integers(0, 3, 3000)
@@ -307,10 +361,12 @@ def test_cut_texts_keep_every_window_and_its_anchor(monkeypatch, segment):
     rng = random.Random(1)
     texts = [bytes(rng.choice(b"abcdefgh ") for _ in range(n)) for n in (0, 199, 200, 201, 777, 5000)] + [b"a" * 3000]
     seen: dict = {}
+    near: set = set()
     for rows, shifts, pieces in suffix_dedup.segments(texts, 200):
         bounds = np.cumsum([0, *map(len, pieces)])
         data = np.frombuffer(b"".join(pieces), np.uint8)
-        text, first, left, more, hashes = suffix_dedup.anchors_of(data, bounds, 200, 40)
+        (text, first, left, more, hashes), spans = suffix_dedup.anchors_of(data, bounds, 200, 40)
+        near |= {(rows[t], start + shifts[t] + k) for t, start, end in zip(*spans) for k in range(end - start - 199)}
         for row, start, shift, distance, further, value in zip(
             np.array(rows)[text], first, np.array(shifts)[text], left, more, hashes
         ):
@@ -318,7 +374,52 @@ def test_cut_texts_keep_every_window_and_its_anchor(monkeypatch, segment):
                 window = (int(row), int(start + shift + k))
                 assert window not in seen
                 seen[window] = (int(distance - k), int(value))
-    assert set(seen) == {(row, k) for row, text in enumerate(texts) for k in range(len(text) - 199)}
+    # Windows that repeat nearby are spans; all others are kept, and one at least of each content.
+    every = {(row, k) for row, text in enumerate(texts) for k in range(len(text) - 199)}
+    assert set(seen) | near == every
+    contents = Counter(texts[row][k : k + 200] for row, k in every)
+    assert all(contents[texts[row][k : k + 200]] > 1 for row, k in near)
+    assert {texts[row][k : k + 200] for row, k in seen} == set(contents)
+    assert segment < 1 << 22 or sum(row == 6 for row, _ in seen) == 1
     by_content: dict = {}
     for (row, k), anchor in seen.items():
         assert by_content.setdefault(texts[row][k : k + 200], anchor) == anchor
+
+
+def repeating_rows():
+    rng = random.Random(12)
+
+    def prose(size):
+        return "".join(rng.choices("abcdefgh éñ,.", k=size))
+
+    period, ruler, shared = prose(37), prose(90), prose(400)
+    rows = [(i, t, None) for i, t in enumerate([
+        "x" * 100_000, "=" * 500 + prose(300) + "=" * 700, period * 40 + prose(80), prose(50) + period * 9, ruler * 6, ruler * 3,
+        "-" * 260, "ab" * 150, "ab" * 99, "ab" * 101, "b" + "ab" * 100, prose(300) + "y" * 201, "y" * 200, "y" * 199, shared + "z" * 205,
+    ])]
+    once = prose(2_000)
+    rows += [(50, once, None)] * 300 + [(None, shared + prose(20), None)] * 40 + [(60 + i, once[:900], None) for i in range(30)]
+    return rows
+
+
+def test_runs_and_repeated_rows_equal_brute_force(spark, tmp_path):
+    rows = repeating_rows()
+    folder = odd.documents(spark, tmp_path, rows)
+    got = [tuple(r) for r in suffix_dedup.op5_suffix_dedup(spark, folder).collect()]
+    assert Counter(got) == Counter(brute_repeats(rows))
+
+
+def strings_sent(spark, rows) -> int:
+    docs = suffix_dedup.keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+    anchors = suffix_dedup.anchor_rows(docs).filter("h IS NOT NULL").drop("until")
+    counts = anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    return suffix_dedup.context_rows(docs, anchors.join(counts, "h"), 200, suffix_dedup.LIMIT).count()
+
+
+def test_strings_grow_with_the_rows(spark):
+    text = "".join(random.Random(3).choices("abcdefgh ,.", k=2_000))
+    sent = {n: strings_sent(spark, [(7, text)] * n) for n in (2, 400, 2_000)}
+    assert sent[2] < 100 and sent[400] <= 400 * sent[2] and sent[2_000] <= 2_000 * sent[2]
+    assert strings_sent(spark, [(None, text)] * 500) <= 500 * sent[2]
+    assert strings_sent(spark, [(1, "a" * 100_000), (2, "a" * 100_000)]) == 2
+    assert strings_sent(spark, [(1, "abcdefg" * 10_000), (2, "abcdefg" * 10_000)]) < 40
