@@ -9,6 +9,11 @@ with follow-the-regularised-leader steps and an elastic-net penalty, so most wei
 are zero. A temperature, fitted on a quarter of the sample that the weights never
 saw, makes the scores probabilities. Every row is predicted, in one pass.
 
+The chances compare learnt languages with one another; they are near one for garbled text and languages never seen, too.
+So whether a text is in any learnt language is told by how rare its n-grams are: their mean inverse document
+frequency, against a limit by length that the calibration rows set (``MARGIN`` times the most among
+texts of up to four times its length). ``strict`` predictions beyond the limit are ``und``.
+
 Null text, and text without a letter, is ``und`` with score zero. Rows without
 language or id are predicted, not learnt from. If nothing can be learnt, every row
 is ``und``. Repeated rows give repeated rows; other columns are not read. The
@@ -30,7 +35,8 @@ FEATURE_BITS, LONGEST = 15, 3
 PER_LANGUAGE = 1_500
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 1.0, 1.0, 0.02, 1e-4
 UNKNOWN = "und"
-LEAST_SCORE = 0.0  # a document with a lower score is rejected; short clean texts score low, so only ``und`` goes
+MARGIN = 1.25  # rarity beyond that of held-out texts at which a text counts as unrecognised
+BANDS, SHORT = 48, 10  # lengths by powers of two of n-grams; up to 2^SHORT of them one limit, as few texts are that short
 
 
 @lru_cache(maxsize=1)
@@ -66,6 +72,26 @@ def vector(places: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarra
     return values / max(math.sqrt(float(values @ values)), 1e-12)
 
 
+def rarity(places: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> float:
+    """Mean inverse document frequency of a text's n-grams, each weighing the logarithm of its count."""
+    weight = np.log1p(counts)
+    return float(weight @ idf[places] / weight.sum())
+
+
+def band(counts: np.ndarray) -> int:
+    return max(SHORT, int(counts.sum()).bit_length())
+
+
+def rarity_limits(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> np.ndarray:
+    """The limit of each band: the most among (places, counts) of bands up to two higher, with the margin; none without rows."""
+    most = np.zeros(BANDS)
+    for places, counts in rows:
+        own = band(counts)
+        most[own] = max(most[own], rarity(places, counts, idf))
+    reach = np.maximum.accumulate(most)[np.minimum(np.arange(BANDS) + 2, BANDS - 1)]
+    return np.where(reach > 0, MARGIN * reach, np.inf)
+
+
 def document_frequencies(docs: DataFrame) -> np.ndarray:
     """Documents that hold each place; one small table per task, summed by Spark. The last value is the number of documents."""
     size = (1 << FEATURE_BITS) + 1
@@ -157,13 +183,15 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 class Model:
-    def __init__(self, languages: list[str], idf: np.ndarray, weights: np.ndarray, temperature: float):
-        self.languages, self.idf, self.weights, self.temperature = languages, idf, weights, temperature
+    def __init__(self, languages: list[str], idf: np.ndarray, weights: np.ndarray, temperature: float, limits: np.ndarray):
+        self.languages, self.idf, self.weights, self.temperature, self.limits = languages, idf, weights, temperature, limits
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None, strict: bool = False) -> tuple[str, float]:
         places, counts = grams(text or "")
         if not len(places) or not self.languages:
             return UNKNOWN, 0.0
+        if strict and rarity(places, counts, self.idf) > self.limits[band(counts)]:
+            return UNKNOWN, 0.0
         chances = softmax(vector(places, counts, self.idf) @ self.weights[places] / self.temperature)
         best = int(chances.argmax())
         return self.languages[best], float(chances[best])
@@ -182,22 +210,25 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     languages = sorted({row[0] for row in sample})
     number = {lang: i for i, lang in enumerate(languages)}
     rows = [(places, vector(places, counts, idf), number[lang], apart) for lang, apart, places, counts in sample]
+    limits = rarity_limits([(places, counts) for _, apart, places, counts in sample if apart], idf)
     if not rows:
-        return Model([], idf, np.zeros((1 << FEATURE_BITS, 0)), 1.0)
+        return Model([], idf, np.zeros((1 << FEATURE_BITS, 0)), 1.0, rarity_limits([], idf))
     weights = fit_weights([row[:3] for row in rows if not row[3]], len(languages))
     apart = [row for row in rows if row[3]]
     logits = np.array([values @ weights[places] for places, values, _, _ in apart]).reshape(-1, len(languages))
-    return Model(languages, idf, weights, fit_temperature(logits, np.array([row[2] for row in apart], dtype=int)))
+    return Model(languages, idf, weights, fit_temperature(logits, np.array([row[2] for row in apart], dtype=int)), limits)
 
 
-def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score"), strict: bool = False
+) -> DataFrame:
     """The columns of ``docs`` (``text`` among them, ``names`` not) with the language and its chance."""
 
     place, columns_out = docs.columns.index("text"), [*docs.columns, *names]
 
     def run(batches):
         for batch in slices(batches):
-            found = [model.predict(text) for text in batch.column(place).to_pylist()]
+            found = [model.predict(text, strict) for text in batch.column(place).to_pylist()]
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=columns_out)
 
@@ -206,13 +237,13 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred"
     return docs.mapInArrow(run, schema)
 
 
-def keep_known(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised; those with a letter if no language can be learnt."""
+def keep_known(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in a language that can be learnt from them; those with a letter if none can."""
     model = fit(docs)
     if not model.languages:  # nothing to tell texts apart by: every text with a letter stays
-        model = Model(["any"], model.idf, np.zeros((1 << FEATURE_BITS, 1)), 1.0)
-    told = predict(docs, model, ("_language", "_chance"))
-    return told.filter((F.col("_language") != UNKNOWN) & (F.col("_chance") >= least)).select(*docs.columns)
+        model = Model(["any"], model.idf, np.zeros((1 << FEATURE_BITS, 1)), 1.0, model.limits)
+    told = predict(docs, model, ("_language", "_chance"), strict=True)
+    return told.filter(F.col("_language") != UNKNOWN).select(*docs.columns)
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
