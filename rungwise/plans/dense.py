@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import random
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from rungwise.functions import losses
-from rungwise.operators.splits import batch_assign
+from rungwise.plans.network import network_fit
 from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
-from rungwise.session import remove_scratch, scratch_path
-
-# Positions of the sums that travel with the gradient.
-LOSS, HITS, ROWS = -1, -2, -3
-
-# Batches stored together; bounds the number of folders of a training table.
-MAX_BLOCKS = 256
 
 
 def array_examples(df: DataFrame, array: str, label: str) -> DataFrame:
@@ -47,58 +35,6 @@ def mlp_fit(
     ).fit(df)
 
 
-def gradient_sums(df: DataFrame, array: str, label: str, weights: np.ndarray, smoothing: float) -> DataFrame:
-    """(position, value): summed softmax gradient, loss, hits and rows.
-
-    ``weights`` is classes x (inputs + 1), the last column the bias; it rides
-    in the task closure (its size is the model's, not the table's). Every task
-    multiplies Arrow batches with numpy and emits one row per model cell,
-    which Spark then adds up by position. Rows without array or label, with an
-    array of another length, or with a label outside the classes are left out.
-    """
-    classes = weights.shape[0]
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gradient = np.zeros_like(weights)
-        loss = hits = rows = 0.0
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-            x = np.hstack([x.astype(np.float64), np.ones((n, 1))])
-            y = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            scores = x @ weights.T
-            scores -= scores.max(axis=1, keepdims=True)
-            logs = scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
-            target = np.full((n, classes), smoothing / classes)
-            target[np.arange(n), y] += 1.0 - smoothing
-            gradient += (np.exp(logs) - target).T @ x
-            loss -= (target * logs).sum()
-            hits += (scores.argmax(axis=1) == y).sum()
-            rows += n
-        if rows:
-            flat = gradient.ravel()
-            positions = np.concatenate([np.arange(flat.size), [LOSS, HITS, ROWS]]).astype(np.int32)
-            values = np.concatenate([flat, [loss, hits, rows]])
-            yield pa.RecordBatch.from_arrays([pa.array(positions), pa.array(values)], ["position", "value"])
-
-    fitting = (F.size(array) == weights.shape[1] - 1) & F.col(label).between(0, classes - 1)
-    sums = df.filter(fitting).select(array, label).mapInArrow(partial, "position int, value double")
-    return sums.groupBy("position").agg(F.sum("value").alias("value"))
-
-
-def _collect_sums(sums: DataFrame, shape: tuple[int, int]) -> tuple[np.ndarray, dict[int, float]]:
-    """The driver receives classes x (inputs + 1) + 3 numbers, whatever the table's size."""
-    gradient, extra = np.zeros(shape[0] * shape[1]), {LOSS: 0.0, HITS: 0.0, ROWS: 0.0}
-    for position, value in sums.collect():
-        if position < 0:
-            extra[position] = value
-        else:
-            gradient[position] = value
-    return gradient.reshape(shape), extra
-
-
 class SoftmaxModel:
     """A softmax layer: classes x (inputs + 1) weights, the last column the bias."""
 
@@ -138,50 +74,6 @@ def softmax_roundtrip(df: DataFrame, model: SoftmaxModel, array: str, path: str)
     return twice.agg(F.count("*").alias("rows"), F.count_if(~same).alias("differing"))
 
 
-class Adam:
-    """Adam with the gradient clipped by value first."""
-
-    def __init__(self, rate: float, clip: float | None, decay: tuple[float, float] = (0.9, 0.999)):
-        self.rate, self.clip, self.decay, self.step = rate, clip, decay, 0
-        self.mean = self.square = 0.0
-
-    def update(self, weights: np.ndarray, gradient: np.ndarray) -> np.ndarray:
-        if self.clip:
-            gradient = np.clip(gradient, -self.clip, self.clip)
-        first, second = self.decay
-        self.step += 1
-        self.mean = first * self.mean + (1 - first) * gradient
-        self.square = second * self.square + (1 - second) * gradient**2
-        mean = self.mean / (1 - first**self.step)
-        square = self.square / (1 - second**self.step)
-        return weights - self.rate * mean / (np.sqrt(square) + 1e-7)
-
-
-def store_batches(
-    df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int, path: str
-) -> tuple[DataFrame, int, int]:
-    """Write rows grouped by batch to ``path``; returns (table, batches, batches per block).
-
-    A training step then reads the files of its own block of batches and skips
-    the other row groups, not the whole table; and a lost executor costs a
-    reread, not the preparation.
-    """
-    spark = df.sparkSession
-    batches = -(-df.count() // batch_size)
-    per_block = max(1, -(-batches // MAX_BLOCKS))
-    block = F.call_function("div", F.col("batch_id"), F.lit(per_block))
-    (
-        batch_assign(df.select(key, array, label), key, batch_size, seed, ordered=True)
-        .withColumn("block", block.cast("int"))
-        .sortWithinPartitions("block", "batch_id")
-        .write.partitionBy("block")
-        .parquet(path)
-    )
-    added = [StructField("batch_id", LongType()), StructField("block", IntegerType())]
-    schema = StructType([*df.select(array, label).schema.fields, *added])
-    return spark.read.schema(schema).parquet(path), batches, per_block
-
-
 def softmax_fit(
     train: DataFrame,
     valid: DataFrame,
@@ -193,57 +85,14 @@ def softmax_fit(
     epochs: int = 3,
     batch_size: int = 64,
     replicas: int = 1,
-    rate: float = 0.005,
-    clip: float | None = 0.12,
-    smoothing: float = 0.2,
-    seed: int = 42,
+    **settings,
 ) -> tuple[SoftmaxModel, DataFrame]:
     """Mini-batch training of a softmax layer; returns the model and the history.
 
-    The model is that of the epoch with the best accuracy on ``valid``, the
-    first of equals; without rows to validate, that of the last epoch.
-
-    One Spark job per batch averages the gradient over the batch's rows; the
-    driver holds the model only. The history is (epoch, loss, accuracy,
-    val_loss, val_accuracy), validated after every epoch. A batch holds
-    ``batch_size * replicas`` rows: steps follow one another, so let the
-    replicas grow with the cluster.
+    A network without hidden layers, see ``network_fit``. A batch holds ``batch_size * replicas``
+    rows: steps follow one another, so let the replicas grow with the cluster.
     """
-    path = scratch_path(train.sparkSession, "batches")
-    stored, batches, per_block = store_batches(train, key, array, label, batch_size * replicas, seed, path)
-    weights, optimizer = np.zeros((classes, inputs + 1)), Adam(rate, clip)
-    history, best = [], (-1.0, weights)
-    for epoch in range(1, epochs + 1):
-        seen = {LOSS: 0.0, HITS: 0.0, ROWS: 0.0}
-        for batch in visiting_order(batches, seed + epoch):
-            rows = stored.filter((F.col("block") == batch // per_block) & (F.col("batch_id") == batch))
-            gradient, sums = _collect_sums(gradient_sums(rows, array, label, weights, smoothing), weights.shape)
-            if sums[ROWS]:
-                weights = optimizer.update(weights, gradient / sums[ROWS])
-            seen = {name: seen[name] + sums[name] for name in seen}
-        _, held = _collect_sums(gradient_sums(valid, array, label, weights, smoothing), weights.shape)
-        history.append((epoch, *_means(seen), *_means(held)))
-        share = history[-1][-1]
-        if share is None or share > best[0]:
-            best = (-1.0 if share is None else share, weights)
-    remove_scratch(train.sparkSession, path)
-    columns = "epoch int, loss double, accuracy double, val_loss double, val_accuracy double"
-    return SoftmaxModel(best[1]), train.sparkSession.createDataFrame(history, columns)
-
-
-def visiting_order(count: int, seed: int) -> Iterator[int]:
-    """All numbers below ``count`` once, in a seeded order, without a list: a full-period congruential
-    generator over the next power of two, numbers beyond ``count`` skipped."""
-    draw = random.Random(seed)
-    size = 1 << max(1, (count - 1).bit_length())
-    step, add, value = 4 * draw.randrange(size) + 1, 2 * draw.randrange(size) + 1, draw.randrange(size)
-    for _ in range(size):
-        if value < count:
-            yield value
-        value = (step * value + add) % size
-
-
-def _means(sums: dict[int, float]) -> tuple[float | None, float | None]:
-    if not sums[ROWS]:
-        return None, None
-    return float(sums[LOSS] / sums[ROWS]), float(sums[HITS] / sums[ROWS])
+    network, history = network_fit(
+        train, valid, key, array, label, inputs, classes, hidden=(), epochs=epochs, batch_size=batch_size * replicas, **settings
+    )
+    return SoftmaxModel(network.flat.reshape(classes, inputs + 1)), history

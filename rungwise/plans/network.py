@@ -1,34 +1,34 @@
-"""Dense networks trained by back-propagation, one barrier job per epoch.
+"""Dense networks trained by back-propagation.
 
-A training table is put into batches once and written. In an epoch's job every task reads its share
-of every batch, in the epoch's order, and holds the whole model. Tasks exchange the
-gradient sums of each batch among themselves, add them up in the order of tasks, and take the same
-optimizer step; the driver starts one job per epoch, however many batches there are. What
-travels and what is held grows with the model and the number of tasks, never with the rows.
+A training table is put into batches once and written in blocks of batches. Steps follow one another,
+so small batches gain nothing from many tasks: a block is one job, whose task streams its
+batches in the epoch's order and takes a step after each; the next block starts from the weights it
+returns. Batches of more than ``STREAMED`` rows are blocks of their own, and their gradient is summed
+over all tasks. Either way the driver starts a job per block, not per small batch, and holds the model
+only; a lost task repeats its block from the weights the block began with.
 
-A barrier stage starts all its tasks at once, or all of them again if one is lost: an epoch
-then begins anew from the state that the epoch before it wrote.
+A barrier stage whose tasks exchange gradients was tried: a round of ``allGather`` takes 0.7 to 1.0 s in
+PySpark 4.1, whatever is sent, as its wait sleeps for a second; a job takes a fifth of that.
 """
 
 from __future__ import annotations
 
-import base64
-import struct
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import BarrierTaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from rungwise.functions.hashing import row_hash
+from rungwise.functions.hashing import hash_constant, mixed, row_hash
 from rungwise.operators.ranking import hash_rank
 from rungwise.session import remove_scratch, scratch_path
 
-KEY = struct.Struct("<qq")
+STREAMED = 4_096  # most rows of a batch that one task takes alone
+BLOCK_ROWS, MOST_BLOCKS = 1 << 16, 256  # rows of a block of small batches; more of them where blocks would become too many
 WEIGHTS, MEAN, SQUARE, SEEN = range(4)  # kinds of rows of a state
 STATE = "kind int, position int, value double"
 HISTORY = "epoch int, loss double, accuracy double, val_loss double, val_accuracy double"
@@ -116,23 +116,32 @@ def fitting(df: DataFrame, array: str, label: str, sizes: tuple[int, ...]) -> Da
 
 
 class Batches(NamedTuple):
-    """A written training table: rows with ``batch_id`` and ``slot``, the task that reads them."""
+    """A written training table: rows with ``batch_id`` and ``block``, and the number of blocks."""
 
     rows: DataFrame
-    tasks: int
+    blocks: int
+    streamed: bool
     path: str
 
+    def order(self, seed: int) -> list[int]:
+        """Blocks in an epoch's order."""
+        return sorted(range(self.blocks), key=lambda block: (mixed(block ^ hash_constant(seed, 1)), block))
 
-def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int, tasks: int) -> Batches:
-    """Rows in a seeded order, cut into batches; the rows of a batch are dealt to the tasks in turn."""
+
+def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int) -> Batches:
+    """Rows in a seeded order, cut into batches and blocks, a folder per block."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "batches")
-    ranked = hash_rank(df.select(F.col(key).alias("_key"), F.col(array).alias("_x"), F.col(label).alias("_y")), "_key", seed, "_position")
-    place = F.col("_position") - 1
-    ranked.select(
-        "_x", "_y", F.call_function("div", place, F.lit(batch_size).cast("long")).alias("batch_id"), F.pmod(place, F.lit(tasks)).cast("int").alias("slot"),
-        place.alias("place"),
-    ).write.parquet(path)
-    return Batches(spark.read.parquet(path), tasks, path)
+    batches = -(-df.count() // batch_size)
+    streamed = batch_size <= STREAMED
+    per_block = max(1, BLOCK_ROWS // batch_size, -(-batches // MOST_BLOCKS)) if streamed else 1
+    ranked = hash_rank(df.select(F.col(key).alias("_key"), F.col(array).alias("_x"), F.col(label).alias("_y")), "_key", seed, "_position", ordered=True)
+    batch = F.call_function("div", F.col("_position") - 1, F.lit(batch_size).cast("long"))
+    block = F.call_function("div", batch, F.lit(per_block)).cast("int")
+    rows = ranked.select("_x", "_y", (F.col("_position") - 1).alias("place"), batch.alias("batch_id"), block.alias("block"))
+    rows.sortWithinPartitions("block").write.partitionBy("block").parquet(path)
+    added = [StructField("place", LongType()), StructField("batch_id", LongType()), StructField("block", IntegerType())]
+    schema = StructType([*rows.select("_x", "_y").schema.fields, *added])
+    return Batches(spark.read.schema(schema).parquet(path), -(-batches // per_block), streamed, path)
 
 
 def own_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
@@ -144,7 +153,7 @@ def own_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int,
         turn, number = (batch.column(i).to_numpy() for i in (0, 1))
         x, y = examples(batch, 2, 3)
         cuts = np.flatnonzero((np.diff(turn) != 0) | (np.diff(number) != 0)) + 1
-        for start, end in zip([0, *cuts], [*cuts, len(turn)]):
+        for start, end in pairwise([0, *cuts.tolist(), len(turn)]):
             own = (int(turn[start]), int(number[start]))
             if held and own != key:
                 yield key, np.vstack([h[0] for h in held]), np.concatenate([h[1] for h in held])
@@ -155,62 +164,88 @@ def own_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int,
         yield key, np.vstack([h[0] for h in held]), np.concatenate([h[1] for h in held])
 
 
-def agreed(replies: list[str], size: int) -> tuple[tuple[int, int] | None, np.ndarray]:
-    """The first batch that any task has at hand, and the sums of all tasks that have it."""
-    parts = [base64.b64decode(reply) for reply in replies if reply]
-    keys = [KEY.unpack_from(part) for part in parts]
-    total = np.zeros(size)
-    if not keys:
-        return None, total
-    least = min(keys)
-    for key, part in zip(keys, parts):
-        if key == least:
-            total += np.frombuffer(part, dtype=np.float64, offset=KEY.size)
-    return least, total
+def gradient_sums(rows: DataFrame, flat: np.ndarray, sizes: tuple[int, ...], smoothing: float) -> np.ndarray:
+    """``batch_sums`` of a table: each task adds up its batches, Spark the tasks' sums by position."""
 
+    def partial(batches):
+        total = np.zeros(len(flat) + 3)
+        for batch in batches:
+            if batch.num_rows:
+                total += batch_sums(flat, sizes, *examples(batch, 0, 1), smoothing)
+        if total[-1]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["position", "value"])
 
-def train_epoch(stored: Batches, epoch_seed: int, flat: np.ndarray, optimizer: Adam, sizes: tuple[int, ...], smoothing: float) -> DataFrame:
-    """STATE after one pass over all batches, in an order of their own: one barrier job when it is written."""
-    turn = row_hash("batch_id", epoch_seed)
-    shares = fitting(stored.rows, "_x", "_y", sizes).withColumn("_turn", turn).repartitionById(stored.tasks, F.col("slot"))
-    shares = shares.sortWithinPartitions("_turn", "batch_id", "place").select("_turn", "batch_id", "_x", "_y")
+    total = np.zeros(len(flat) + 3)
+    sums = rows.select("_x", "_y").mapInArrow(partial, "position int, value double")
+    for position, value in sums.groupBy("position").agg(F.sum("value")).collect():
+        total[position] = value
+    return total
+
+
+def streamed_steps(rows: DataFrame, flat: np.ndarray, optimizer: Adam, sizes: tuple[int, ...], smoothing: float) -> DataFrame:
+    """STATE after a step for each batch of sorted rows in one partition."""
 
     def run(batches):
-        context, weights, adam, seen = BarrierTaskContext.get(), flat, optimizer, np.zeros(3)
-        own = own_batches(batches)
-        head = next(own, None)
-        while True:
-            message = ""
-            if head:
-                sums = batch_sums(weights, sizes, head[1], head[2], smoothing)
-                message = base64.b64encode(KEY.pack(*head[0]) + sums.tobytes()).decode()
-            key, total = agreed(context.allGather(message), len(weights) + 3)
-            if key is None:
-                break
-            weights, seen = adam.update(weights, total[:-3] / total[-1]), seen + total[-3:]
-            if head and head[0] == key:
-                head = next(own, None)
-        if context.partitionId() == 0:
-            parts = [weights, adam.mean + 0.0 * weights, adam.square + 0.0 * weights, np.append(seen, adam.step)]
-            kind = np.concatenate([np.full(len(p), k, dtype=np.int32) for k, p in enumerate(parts)])
-            position = np.concatenate([np.arange(len(p), dtype=np.int32) for p in parts])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (kind, position, np.concatenate(parts))], names=["kind", "position", "value"])
-
-    return shares.mapInArrow(run, STATE, barrier=True)
+        weights, adam, seen = flat, optimizer, np.zeros(3)
+        for _, x, y in own_batches(batches):
+            sums = batch_sums(weights, sizes, x, y, smoothing)
+            weights, seen = adam.update(weights, sums[:-3] / sums[-1]), seen + sums[-3:]
+        yield from state_rows(weights, adam, seen)
+
+    return rows.select("_turn", "batch_id", "_x", "_y").mapInArrow(run, STATE)
+
+
+def state_rows(weights: np.ndarray, adam: Adam, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    parts = [weights, adam.mean + 0.0 * weights, adam.square + 0.0 * weights, np.append(seen, adam.step)]
+    kind = np.concatenate([np.full(len(p), k, dtype=np.int32) for k, p in enumerate(parts)])
+    position = np.concatenate([np.arange(len(p), dtype=np.int32) for p in parts])
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (kind, position, np.concatenate(parts))], names=["kind", "position", "value"])
+
+
+def state_of(rows: list, rate: float, clip: float | None) -> tuple[np.ndarray, Adam, np.ndarray]:
+    """(weights, optimizer, sums seen) from collected rows of STATE."""
+    parts: dict[int, dict[int, float]] = {kind: {} for kind in range(4)}
+    for kind, position, value in rows:
+        parts[kind][position] = value
+    arrays = {kind: np.array([own[i] for i in range(len(own))]) for kind, own in parts.items()}
+    optimizer = Adam(rate, clip)
+    optimizer.mean, optimizer.square, optimizer.step = arrays[MEAN], arrays[SQUARE], int(arrays[SEEN][3])
+    return arrays[WEIGHTS], optimizer, arrays[SEEN][:3]
+
+
+def train_epoch(
+    stored: Batches, seed: int, flat: np.ndarray, optimizer: Adam, sizes: tuple[int, ...], smoothing: float
+) -> tuple[np.ndarray, Adam, np.ndarray]:
+    """(weights, optimizer, sums seen) after one pass over all batches, in an order of the epoch's own."""
+    seen = np.zeros(3)
+    for block in stored.order(seed):
+        rows = fitting(stored.rows.filter(F.col("block") == block), "_x", "_y", sizes)
+        if stored.streamed:
+            turned = rows.withColumn("_turn", row_hash("batch_id", seed)).repartition(1)
+            ordered = turned.sortWithinPartitions("_turn", "batch_id", "place")
+            after = streamed_steps(ordered, flat, optimizer, sizes, smoothing).collect()
+            if after:
+                flat, optimizer, own = state_of(after, optimizer.rate, optimizer.clip)
+                seen = seen + own
+        else:
+            sums = gradient_sums(rows, flat, sizes, smoothing)
+            if sums[-1]:
+                flat, seen = optimizer.update(flat, sums[:-3] / sums[-1]), seen + sums[-3:]
+    return flat, optimizer, seen
+
+
+def write_state(spark: SparkSession, path: str, flat: np.ndarray, optimizer: Adam, seen: np.ndarray) -> None:
+    batch = next(state_rows(flat, optimizer, seen))
+    spark.createDataFrame(pa.Table.from_batches([batch]), schema=STATE).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def read_state(spark: SparkSession, path: str, rate: float, clip: float | None) -> tuple[np.ndarray, Adam, np.ndarray] | None:
-    """(weights, optimizer, sums seen) that an epoch wrote; None where it wrote nothing."""
+    """What ``write_state`` wrote; None where there is nothing."""
     try:
         rows = spark.read.schema(STATE).parquet(path).collect()
     except AnalysisException:
         return None
-    parts = {kind: np.array([r["value"] for r in sorted(rows, key=lambda r: r["position"]) if r["kind"] == kind]) for kind in range(4)}
-    if not len(parts[SEEN]):
-        return None
-    optimizer = Adam(rate, clip)
-    optimizer.mean, optimizer.square, optimizer.step = parts[MEAN], parts[SQUARE], int(parts[SEEN][3])
-    return parts[WEIGHTS], optimizer, parts[SEEN][:3]
+    return state_of(rows, rate, clip) if rows else None
 
 
 def evaluated(df: DataFrame, array: str, label: str, flat: np.ndarray, sizes: tuple[int, ...], smoothing: float) -> np.ndarray:
@@ -283,7 +318,6 @@ def network_fit(
     hidden: tuple[int, ...] = (512,),
     epochs: int = 3,
     batch_size: int = 64,
-    tasks: int | None = None,
     rate: float = 0.005,
     clip: float | None = 0.12,
     smoothing: float = 0.2,
@@ -294,29 +328,21 @@ def network_fit(
     """Mini-batch training; returns the network of the epoch with the best accuracy on ``valid`` and the history.
 
     The first of equal epochs counts; without rows to validate, the last. The history is HISTORY,
-    training figures as seen while learning. ``tasks`` train together (all cores by default, at
-    most one per row of a batch); a step waits for all of them, so the batch should grow with them.
-    With ``state``, a folder, every epoch's weights and optimizer are kept there and a
-    training begun before goes on after its last whole epoch.
+    training figures as seen while learning. With ``state``, a folder, every epoch's weights and
+    optimizer are kept there and a training begun before goes on after its last whole epoch.
     """
     spark, sizes = train.sparkSession, (inputs, *hidden, classes)
-    tasks = max(1, min(tasks or spark.sparkContext.defaultParallelism, batch_size))
-    folder = state or scratch_path(spark, "epochs")
-    stored = store_batches(train, key, array, label, batch_size, seed, tasks)
+    stored = store_batches(train, key, array, label, batch_size, seed)
     flat, optimizer = initial_weights(sizes, seed) if initial is None else initial, Adam(rate, clip)
     history, best = [], (-1.0, flat)
     for epoch in range(1, epochs + 1):
-        done = read_state(spark, f"{folder}/epoch={epoch}", rate, clip)
-        if done is None:
-            after = train_epoch(stored, seed + epoch, flat, optimizer, sizes, smoothing)
-            after.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
-            done = read_state(spark, f"{folder}/epoch={epoch}", rate, clip)
-        flat, optimizer, seen = done
+        done = read_state(spark, f"{state}/epoch={epoch}", rate, clip) if state else None
+        flat, optimizer, seen = done or train_epoch(stored, seed + epoch, flat, optimizer, sizes, smoothing)
+        if state and done is None:
+            write_state(spark, f"{state}/epoch={epoch}", flat, optimizer, seen)
         history.append((epoch, *_means(seen), *_means(evaluated(valid, array, label, flat, sizes, smoothing))))
         share = history[-1][-1]
         if share is None or share > best[0]:
             best = (-1.0 if share is None else share, flat)
     remove_scratch(spark, stored.path)
-    if state is None:
-        remove_scratch(spark, folder)
     return Network(sizes, best[1]), spark.createDataFrame(history, HISTORY)

@@ -104,9 +104,10 @@ class TreeTable:
         return step
 
     def walk(self, df: DataFrame, depths: dict[str, int], features: str = FEATURES) -> DataFrame:
-        """Adds, under each name, the node a row has reached after so many levels; null for a null vector."""
-        names = df.columns
-        walked, step, before, last = df.withColumn("_x", vector_to_array(features)), self._step("_x"), 0, F.lit(ROOT)
+        """Adds, under each name, the node a row has reached after so many levels; null for a null vector (or array)."""
+        names, kind = df.columns, dict(df.dtypes)[features]
+        vector = F.col(features) if kind.startswith("array") else vector_to_array(features)
+        walked, step, before, last = df.withColumn("_x", vector), self._step("_x"), 0, F.lit(ROOT)
         for name, depth in sorted(depths.items(), key=lambda item: item[1]):
             if depth > before:
                 last = F.aggregate(F.sequence(F.lit(1), F.lit(depth - before)), last, step)

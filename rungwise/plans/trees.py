@@ -17,11 +17,13 @@ from rungwise.operators.columns import is_correct
 from rungwise.operators.growth import bag_multiply, ladder_rungs
 from rungwise.operators.metrics import accuracy
 from rungwise.operators.splits import kfold_assign
+from rungwise.plans.nodes import TreeTable
 from rungwise.plans.prepare import FEATURES, INDEXED_LABEL
 from rungwise.session import cached, shuffle_width
-from rungwise.sources.runlogs import LOG_SCHEMA, run_name, runlog_append
+from rungwise.sources.runlogs import LOG_SCHEMA, run_name, runlog_commit
 
 SEED = 42
+WEIGHT = "_copies"
 # A task has at least FEWEST rows to be worth starting and, on any number of cores, at most MOST.
 FEWEST, MOST = 20_000, 1_000_000
 
@@ -92,34 +94,41 @@ def cross_validator(
 ) -> Search:
     """Grid search over tree depth by accuracy, best depth refitted on all rows.
 
-    Only the base is kept, with its folds. A fold is a filter on it, and rows
-    multiply inside the tasks of each fit. Copies of a row are scored alike, so
-    validation reads the base. ``parallelism`` fits run at once; a fold without
-    rows is left out of the mean.
+    A tree grows level by level, so a shallower tree is what the deeper one of the same rows
+    was before: every fold fits the deepest tree once and reads the others off its inner nodes,
+    all depths in one pass over the held-out rows. Copies of a row are its weight, so the
+    base is all that is kept and read, whatever their number. A fold is a filter on the base;
+    ``parallelism`` fits run at once; a fold without rows is left out of the mean.
     """
     started = time.perf_counter()
-    folded = kfold_assign(df, key, folds).select(FEATURES, INDEXED_LABEL, "fold")
+    folded = kfold_assign(df, key, folds).select(FEATURES, INDEXED_LABEL, "fold", F.lit(float(copies)).alias(WEIGHT))
 
     def fit(rows: DataFrame, depth: int) -> DecisionTreeClassificationModel:
-        return tree_fit(bag_multiply(rows, copies), depth=depth, seed=seed)
+        return tree_fit(rows, depth=depth, seed=seed, weightCol=WEIGHT)
 
-    def score(fold: int, depth: int) -> float | None:
-        model = fit(base.filter(F.col("fold") != fold), depth)
-        return accuracy(model.transform(base.filter(F.col("fold") == fold)), INDEXED_LABEL).first()["accuracy"]
+    def score(fold: int) -> list[float | None]:
+        tree = TreeTable.of(fit(base.filter(F.col("fold") != fold), max(depths)))
+        return nested_accuracies(tree, base.filter(F.col("fold") == fold), depths)
 
-    with cached(spread_rows(folded, copies)) as base:
-        tasks = [(fold, depth) for depth in depths for fold in range(folds)]
+    with cached(spread_rows(folded)) as base:
         with ThreadPoolExecutor(parallelism) as pool:
-            shares = list(pool.map(inheritable_thread_target(df.sparkSession)(lambda task: score(*task)), tasks))
+            shares = list(pool.map(inheritable_thread_target(df.sparkSession)(score), range(folds)))
         means = []
-        for i in range(len(depths)):
-            known = [s for s in shares[i * folds : (i + 1) * folds] if s is not None]
+        for of_depth in zip(*shares):
+            known = [s for s in of_depth if s is not None]
             means.append(sum(known) / len(known) if known else float("nan"))
         best = max(range(len(depths)), key=lambda i: means[i])
         model = fit(base, depths[best])
     return Search(tuple(depths), means, best, model, time.perf_counter() - started)
 
 
+def nested_accuracies(tree: TreeTable, df: DataFrame, depths: tuple[int, ...]) -> list[float | None]:
+    """Share predicted right at each depth of one tree, in one pass; None without rows. A row without label is a miss."""
+    scored = tree.predict_at(df, list(depths))
+    hits = [F.coalesce(is_correct(INDEXED_LABEL, f"prediction_{d}"), F.lit(False)).cast("double") for d in depths]
+    return list(scored.agg(*[F.avg(hit).alias(f"a{i}") for i, hit in enumerate(hits)]).first())
+
+
 def cross_validate(df: DataFrame, key: str, depths: tuple[int, ...] = (1, 5, 10, 20), **settings) -> DataFrame:
     """(depth, accuracy, best, seconds of the whole search) from ``cross_validator``."""
     search = cross_validator(df, key, depths, **settings)
@@ -127,12 +136,6 @@ def cross_validate(df: DataFrame, key: str, depths: tuple[int, ...] = (1, 5, 10,
     return df.sparkSession.createDataFrame(rows, "depth int, accuracy double, best boolean, seconds double")
 
 
-def root_split(model: DecisionTreeClassificationModel) -> tuple[int, float]:
-    """(feature, threshold) of a tree's first split on a number; rows up to the threshold go left."""
-    split = model._java_obj.rootNode().split()
-    return split.featureIndex(), split.threshold()
-
-
 def train_eval_rungs(
     train: DataFrame, test: DataFrame, rungs: list[int], **settings
 ) -> Iterator[tuple[int, int, float, float | None]]:
@@ -167,16 +170,16 @@ def train_eval_ladder(
 ) -> DataFrame:
     """The scaling study: (m, rows, dt, a) for every rung of the ladder.
 
-    With ``log``, a folder, every rung is appended to run ``run`` as soon as it
-    is known, so a broken study keeps the rungs it has done. A run starts anew:
-    its first rung replaces what an earlier run of the same name left. ``nodes``
-    and ``cpus`` say what the study runs on and are part of the name.
+    With ``log``, a folder, every rung is committed to run ``run`` as soon as it
+    is known, so a broken study keeps the rungs it has done; a rung that is run
+    again replaces itself, and other studies may write to the folder meanwhile.
+    ``nodes`` and ``cpus`` say what the study runs on and are part of the name.
     """
     spark, rows = train.sparkSession, []
     run = run or run_name(max_m, nodes, cpus or spark.sparkContext.defaultParallelism)
     for m, size, seconds, share in train_eval_rungs(train, test, ladder_rungs(max_m, step), **settings):
         if log:
             line = spark.createDataFrame([(run, m, seconds, share)], "run string, " + LOG_SCHEMA)
-            runlog_append(line, log, restart=not rows)
+            runlog_commit(line, log)
         rows.append((m, size, seconds, share))
     return spark.createDataFrame(rows, "m int, rows long, dt double, a double")

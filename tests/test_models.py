@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rungwise.functions.hashing import FOLD, LOW_32, hash_constant, mixed
 from rungwise.operators.columns import feature_layout
+from rungwise.operators.growth import bag_multiply
 from rungwise.operators.metrics import accuracy, mean_gradient
-from rungwise.operators.splits import hash_split
-from rungwise.plans import dense, prepare, trees
+from rungwise.operators.splits import hash_split, kfold_assign
+from rungwise.plans import dense, network, prepare, trees
+from rungwise.plans.nodes import TreeTable, tree_roundtrip
 from rungwise.plans.prepare import INDEXED_LABEL
+from rungwise.plans.scorers import TableScorer, scorer_roundtrip
 from rungwise.session import cached, scratch_path
 from rungwise.sources import models, tables
 from rungwise.sources.runlogs import run_name, runlog_scan
@@ -166,28 +172,178 @@ def test_softmax_on_an_empty_table(spark):
 def test_rows_that_do_not_fit_are_left_out(spark):
     rows = [([1.0] * 4, 0), ([1.0] * 3, 1), (None, 1), ([2.0] * 4, None), ([2.0] * 4, -1), ([2.0] * 4, 3)]
     df = spark.createDataFrame(rows, "x array<float>, y int")
-    assert {r["position"]: r["value"] for r in dense.gradient_sums(df, "x", "y", np.zeros((3, 5)), 0.0).collect()}[dense.ROWS] == 1
-
-
-@pytest.mark.parametrize("count", [0, 1, 2, 7, 64, 1000])
-def test_every_batch_is_visited_once(count):
-    order = list(dense.visiting_order(count, 5))
-    assert sorted(order) == list(range(count)) and (count < 7 or order != sorted(order))
+    assert network.evaluated(df, "x", "y", np.zeros(15), (4, 3), 0.0)[2] == 1
 
 
 def test_gradient_sums_match_the_aggregate(spark):
     df = toy_images(spark, 60).withColumn("p", F.array_repeat(F.lit(1 / 3), 3))
-    sums = dense.gradient_sums(df, "x", "y", np.zeros((3, 5)), 0.0).collect()
-    flat = {r["position"]: r["value"] for r in sums}
-    assert flat[dense.ROWS] == 60
+    rows = df.collect()
+    sums = network.batch_sums(np.zeros(15), (4, 3), np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows]), 0.0)
+    assert sums[-1] == 60
     for r in mean_gradient(df, "x", "p", "y", 3).collect():
-        assert np.isclose(flat[r["class"] * 5 + r["position"]] / 60, r["gradient"])
+        assert np.isclose(sums[r["class"] * 5 + r["position"]] / 60, r["gradient"])
+
+
+@pytest.mark.parametrize("sizes", [(4, 3), (4, 6, 3), (4, 5, 7, 3)])
+def test_gradient_equals_finite_differences(sizes):
+    rng = np.random.default_rng(3)
+    flat = rng.normal(0, 0.5, network.weight_count(sizes))
+    x, y = rng.normal(0, 1, (20, 4)), rng.integers(0, 3, 20)
+    sums = network.batch_sums(flat, sizes, x, y, 0.2)
+    for place in range(len(flat)):
+        step = np.zeros(len(flat))
+        step[place] = 1e-6
+        high, low = (network.batch_sums(flat + s, sizes, x, y, 0.2, slopes=False)[-3] for s in (step, -step))
+        assert abs((high - low) / 2e-6 - sums[place]) < 1e-4
+
+
+def trained_by_hand(rows, valid, sizes, epochs, batch_size, per_block, smoothing=0.2, rate=0.005, clip=0.12, seed=42):
+    """The same training in one process: batches in the stored order, epochs in the order of the hashes of block and batch."""
+    flat, adam, history = network.initial_weights(sizes, seed), network.Adam(rate, clip), []
+    batches = -(-len(rows) // batch_size)
+    for epoch in range(1, epochs + 1):
+        seen, number = np.zeros(3), seed + epoch
+        for batch in sorted(range(batches), key=lambda b: (mixed(b // per_block ^ hash_constant(number, 1)), hashed(b, number), b)):
+            own = rows[batch * batch_size : (batch + 1) * batch_size]
+            sums = network.batch_sums(flat, sizes, np.array([r[1] for r in own]), np.array([r[2] for r in own]), smoothing)
+            flat, seen = adam.update(flat, sums[:-3] / sums[-1]), seen + sums[-3:]
+        held = network.batch_sums(flat, sizes, np.array([r[1] for r in valid]), np.array([r[2] for r in valid]), smoothing, slopes=False)[-3:]
+        history.append((epoch, seen[0] / seen[2], seen[1] / seen[2], held[0] / held[2], held[1] / held[2]))
+    return history
+
+
+def hashed(key: int, seed: int) -> int:
+    folded = (key & LOW_32) ^ ((key >> 32) * FOLD & LOW_32) ^ hash_constant(seed, 0)
+    return mixed(folded)
+
+
+@pytest.mark.parametrize("hidden, block, streamed", [((), 1 << 16, 4096), ((6,), 48, 4096), ((6,), 1 << 16, 8)])
+def test_training_follows_the_steps(spark, monkeypatch, hidden, block, streamed):
+    monkeypatch.setattr(network, "BLOCK_ROWS", block)
+    monkeypatch.setattr(network, "STREAMED", streamed)
+    train, valid = hash_split(toy_images(spark), "k")
+    rows = sorted(map(tuple, train.collect()), key=lambda r: (hashed(r[0], 42), r[0]))
+    _, history = network.network_fit(train, valid, "k", "x", "y", 4, 3, hidden=hidden, epochs=2, batch_size=16)
+    per_block = max(1, block // 16) if streamed >= 16 else 1
+    want = trained_by_hand(rows, list(map(tuple, valid.collect())), (4, *hidden, 3), 2, 16, per_block)
+    assert np.allclose([tuple(r) for r in history.collect()], want, rtol=1e-9)
+
+
+def test_an_epoch_takes_as_many_jobs_whatever_its_small_batches(spark):
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for group, size in (("few", 120), ("many", 4)):
+        stored = network.store_batches(toy_images(spark), "k", "x", "y", size, 42)
+        spark.sparkContext.setJobGroup(group, group)
+        network.train_epoch(stored, 1, np.zeros(15), network.Adam(0.01, None), (4, 3), 0.0)
+        spark.sparkContext.setJobGroup("rest", "rest")
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+    assert jobs[0] == jobs[1] <= 2
+
+
+def test_training_goes_on_after_its_last_epoch(spark):
+    train, valid = hash_split(toy_images(spark), "k")
+    settings = {"hidden": (5,), "batch_size": 32}
+    state = scratch_path(spark, "state")
+    network.network_fit(train, valid, "k", "x", "y", 4, 3, epochs=1, state=state, **settings)
+    again, resumed = network.network_fit(train, valid, "k", "x", "y", 4, 3, epochs=3, state=state, **settings)
+    whole, history = network.network_fit(train, valid, "k", "x", "y", 4, 3, epochs=3, **settings)
+    assert resumed.collect() == history.collect() and np.array_equal(again.flat, whole.flat)
+
+
+def test_network_scores_saves_and_loads(spark):
+    train, valid = hash_split(toy_images(spark), "k")
+    model, history = network.network_fit(train, valid, "k", "x", "y", 4, 3, hidden=(16,), epochs=4, batch_size=16, rate=0.02, smoothing=0.0)
+    odd = spark.createDataFrame([(900, None, 0), (901, [1.0], 0), (902, [1.0, None, 1.0, 1.0], 0)], "k long, x array<float>, y int")
+    scored = model.score(valid.unionByName(odd), "x").collect()
+    assert all(r["prediction"] is None for r in scored if r["k"] >= 900) and len(scored) == valid.count() + 3
+    right = np.mean([r["prediction"] == r["y"] for r in scored if r["k"] < 900])
+    assert right > 0.9 and abs(right - max(r["val_accuracy"] for r in history.collect())) < 1e-12
+    path = scratch_path(spark, "network")
+    model.save(spark, path)
+    again = network.Network.load(spark, path)
+    assert again.sizes == model.sizes and np.array_equal(again.flat, model.flat)
 
 
 def test_batches_are_stored_whole(spark):
-    stored, batches, _ = dense.store_batches(toy_images(spark), "k", "x", "y", 32, 42, scratch_path(spark, "batches"))
-    sizes = dict(stored.groupBy("batch_id").count().collect())
-    assert batches == 8 and sorted(sizes) == list(range(8)) and sum(sizes.values()) == 240
+    stored = network.store_batches(toy_images(spark), "k", "x", "y", 32, 42)
+    sizes = dict(stored.rows.groupBy("batch_id").count().collect())
+    assert stored.blocks == 1 and sorted(sizes) == list(range(8)) and sum(sizes.values()) == 240
+
+
+def node_rows(tree, scale=1.0):
+    return [(n.path, n.feature, n.threshold, n.categories, [c * scale for c in n.counts]) for n in tree.nodes]
+
+
+def test_shallow_trees_are_prefixes_of_deep_ones(spark, parts):
+    raw, _, _, train, test = parts
+    deep = TreeTable.of(trees.tree_fit(train, depth=8))
+    depths = [0, 1, 2, 5, 8, 12]
+    nested = deep.predict_at(test, depths).orderBy("key").collect()
+    for depth in depths:
+        own = trees.tree_fit(train, depth=min(depth, 8)).transform(test).orderBy("key").collect()
+        assert [r[f"prediction_{depth}"] for r in nested] == [r["prediction"] for r in own]
+    shares = trees.nested_accuracies(deep, test, (1, 5))
+    assert shares == [accuracy(trees.tree_fit(train, depth=d).transform(test), INDEXED_LABEL).first()["accuracy"] for d in (1, 5)]
+
+
+def test_node_table_scores_like_the_model(spark, parts):
+    raw, layout, _, train, test = parts
+    for nominal in (False, True):
+        features = prepare.fit_features(raw, layout, nominal=nominal)
+        ready = prepare.apply_features(features, raw, layout, ["key"])
+        model = trees.tree_fit(ready, depth=6, bins=64)
+        table = TreeTable.of(model)
+        path = scratch_path(spark, "nodes")
+        table.save(spark, path)
+        assert TreeTable.load(spark, path).nodes == table.nodes and any(n.categories for n in table.nodes) == nominal
+        scored = table.score(ready).withColumnsRenamed({"prediction": "_own", "probability": "_shares"})
+        for r in model.transform(scored).collect():
+            assert r["prediction"] == r["_own"] and np.allclose(r["probability"].toArray(), r["_shares"], atol=1e-12)
+        assert tree_roundtrip(ready, table, path).first().asDict() == {"rows": raw.count(), "nodes": len(table.nodes), "differing": 0}
+
+
+def test_table_scorer_equals_the_pipeline(spark, parts):
+    raw, layout, features, train, _ = parts
+    tree = trees.tree_fit(train)
+    odd = raw.na.fill(0).withColumn("sex", F.when(F.col("key") % 3 == 0, "unheard of").otherwise(F.col("sex")))
+    odd = odd.withColumn("workclass", F.when(F.col("key") % 4 != 0, F.col("workclass")))
+    scorer, path = TableScorer.of(features, tree, layout), scratch_path(spark, "scorer")
+    result = scorer_roundtrip(odd, scorer, prepare.scorer(features, tree), path).first()
+    assert result.asDict() == {"rows": raw.count(), "differing": 0}
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 1
+
+
+def test_unseen_ranks_and_metadata_are_each_columns_own(spark, parts):
+    raw, layout, model, _, _ = parts
+    known = {c: raw.filter(F.col("key") >= 0).select(c).distinct().count() for c in layout.text}
+    odd = raw.limit(2).withColumns({c: F.lit("unheard of") for c in layout.text})
+    row = prepare.apply_features(model, odd, layout, ["key"]).first()["features"]
+    sizes = {c: len(stage.labels) for c, stage in zip(layout.text, model.stages[1:])}
+    assert [row[layout.features.index(c + "_index")] for c in layout.text] == [sizes[c] for c in layout.text]
+    assert len(set(sizes.values())) > 1 and all(sizes[c] <= known[c] for c in sizes)
+    indexed = model.transform(raw.na.fill(0)).schema
+    for c in layout.text:
+        names = indexed[c + "_index"].metadata["ml_attr"]["vals"]
+        assert len(names) == sizes[c] + 1 and None not in names
+
+
+def test_weights_grow_the_same_tree_as_copies(spark, parts):
+    _, _, _, train, _ = parts
+    copied = TreeTable.of(trees.tree_fit(bag_multiply(train, 7), depth=5))
+    weighed = TreeTable.of(trees.tree_fit(train.withColumn("w", F.lit(7.0)), depth=5, weightCol="w"))
+    assert node_rows(copied) == node_rows(weighed)
+
+
+def test_cross_validation_equals_separate_fits(spark, parts):
+    _, _, _, train, _ = parts
+    search = trees.cross_validator(train, "key", depths=(1, 2, 6), folds=3, copies=3)
+    folded = kfold_assign(train, "key", 3).cache()
+    for depth, share in zip(search.depths, search.accuracies):
+        own = []
+        for fold in range(3):
+            model = trees.tree_fit(bag_multiply(folded.filter(F.col("fold") != fold), 3), depth=depth)
+            own.append(accuracy(model.transform(folded.filter(F.col("fold") == fold)), INDEXED_LABEL).first()["accuracy"])
+        assert abs(share - sum(own) / 3) < 1e-12
 
 
 def test_mlp_learns(spark):
