@@ -10,7 +10,7 @@ from rungwise.checks.inputs import CELLS, CLASSES, GRID, amount_sql, hash_sql, i
 from rungwise.checks.registry import query
 from rungwise.functions import images, losses
 from rungwise.functions.hashing import hash_amount
-from rungwise.operators import augment
+from rungwise.operators import affine, augment
 from rungwise.operators.columns import long_form
 from rungwise.operators.growth import union_all
 from rungwise.operators.resizing import resize_rows
@@ -191,6 +191,28 @@ def image_rotate(spark, sf_dir):
     return changed(spark, sf_dir, lambda pixels: images.rotate(pixels, GRID, augment.random_angle("vec_id")))
 
 
+@query("image_rotate_rows", image_sql(ROTATED))
+def image_rotate_rows(spark, sf_dir):
+    df = image_table(spark, sf_dir)
+    return cells(affine.affine_rows(df, "pixels", GRID, affine.rotation(augment.random_angle("vec_id"))))
+
+
+# All four changes as one map: where an output cell lies after each inverse, from the last change to the first.
+BACK = {axis: f"CASE WHEN {turned} THEN 7 - {axis} ELSE {axis} END" for axis, turned in ((ROW, FLIPPED_DOWN), (COL, FLIPPED_ACROSS))}
+SCALED = {axis: f"(({BACK[axis]}) - 3.5::DOUBLE) * (1.0::DOUBLE + {SCALE})" for axis in (ROW, COL)}
+UP, RIGHT = f"({SCALED[ROW]} - {DOWN} * 8)", f"({SCALED[COL]} - {ACROSS} * 8)"
+COMPOSED = (
+    nearest_sql(f"{UP} * cos({ANGLE}) - {RIGHT} * sin({ANGLE}) + 3.5::DOUBLE")
+    + " * 8 + "
+    + nearest_sql(f"{UP} * sin({ANGLE}) + {RIGHT} * cos({ANGLE}) + 3.5::DOUBLE")
+)
+
+
+@query("augment_composed", image_sql(COMPOSED))
+def augment_composed(spark, sf_dir):
+    return cells(augment.augment_composed(image_table(spark, sf_dir), "vec_id", "pixels", GRID))
+
+
 @query(
     "augment_append",
     f"""WITH {PICTURES},

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rungwise.functions import images
 from rungwise.functions.hashing import hash_amount, hash_share
+from rungwise.operators import affine
 
 # Fixed values, the defaults: the largest changes, as shares of a full turn, of the side and of the scale.
 TURN, SHIFT, SCALE = 0.1, 0.1, 0.1
@@ -60,6 +61,21 @@ def augment(
     return scaled.withColumn(pixels, images.flip(F.col(pixels), shape, flip_across, flip_down))
 
 
+def augment_composed(
+    df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int = 42, amounts: Amounts = Amounts()
+) -> DataFrame:
+    """The same changes with the same amounts, composed to one map per row and sampled once: for images of any size."""
+    down, across = (hash_amount(key, amounts.shift, seed, draw) for draw in (DOWN_DRAW, ACROSS_DRAW))
+    flips = zip(random_flips(key, seed), (amounts.flip_across, amounts.flip_down))
+    change = affine.composed(
+        affine.rotation(random_angle(key, amounts.turn, seed)),
+        affine.shift(shape, down, across),
+        affine.scaling(hash_amount(key, amounts.scale, seed, SCALE_DRAW)),
+        affine.mirror(*(flip if wanted else F.lit(False) for flip, wanted in flips)),
+    )
+    return affine.affine_rows(df, pixels, shape, change, edge=amounts.edge, method=amounts.method)
+
+
 def augment_append(
     df: DataFrame, key: str, pixels: str, shape: images.Shape, seed: int = 42, amounts: Amounts = Amounts()
 ) -> DataFrame:

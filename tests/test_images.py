@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rungwise.functions import images
 from rungwise.functions.images import Shape
-from rungwise.operators import augment, resizing
+from rungwise.operators import affine, augment, resizing
 
 SHAPES = [Shape(4, 4, 1), Shape(3, 5, 3)]
 
@@ -188,3 +188,64 @@ def test_resized_rows_equal_the_expression(spark, monkeypatch, method, shape, ou
     got = {r["k"]: r["pixels"] for r in resizing.resize_rows(df, "pixels", shape, *out, method).collect()}
     assert len(got) == 9 and got[3] is None
     assert all(r["o"] is None or np.allclose(r["o"], got[r["k"]], atol=1e-5) for r in want.collect())
+
+
+ODD_SHAPE = Shape(5, 7, 3)
+SINGLE = {
+    "rotate": (lambda p, how: images.rotate(p, ODD_SHAPE, F.lit(0.7), **how), lambda: affine.rotation(F.lit(0.7))),
+    "translate": (
+        lambda p, how: images.translate(p, ODD_SHAPE, F.lit(0.31), F.lit(-0.42), **how),
+        lambda: affine.shift(ODD_SHAPE, F.lit(0.31), F.lit(-0.42)),
+    ),
+    "zoom": (lambda p, how: images.zoom(p, ODD_SHAPE, F.lit(-0.37), **how), lambda: affine.scaling(F.lit(-0.37))),
+    "flip": (
+        lambda p, how: images.flip(p, ODD_SHAPE, F.lit(True), F.lit(True)),
+        lambda: affine.mirror(F.lit(True), F.lit(True)),
+    ),
+}
+
+
+@pytest.mark.parametrize("method", ["nearest", "bilinear"])
+@pytest.mark.parametrize("edge", images.EDGES)
+def test_one_map_equals_the_single_expressions(spark, edge, method):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.integers(0, 255, 105).astype(float).tolist()) for k in range(5)] + [(9, None)]
+    df = spark.createDataFrame(rows, "k long, pixels array<float>")
+    how = {"edge": edge, "method": method, "fill": 9.0}
+    for single, change in SINGLE.values():
+        want = {r["k"]: r["o"] for r in df.select("k", single(F.col("pixels"), how).alias("o")).collect()}
+        got = {r["k"]: r["pixels"] for r in affine.affine_rows(df, "pixels", ODD_SHAPE, change(), **how).collect()}
+        assert got.keys() == want.keys() and got[9] is None and want[9] is None
+        assert all(np.allclose(got[k], want[k], atol=1e-4) for k in range(5))
+
+
+def test_maps_compose(spark, monkeypatch):
+    monkeypatch.setattr(affine, "PIXELS_AT_ONCE", 200)  # pieces of a few images
+    shape = Shape(9, 9, 1)
+    df = spark.createDataFrame([(k, picture(shape).ravel().tolist()) for k in range(20)], "k long, pixels array<float>")
+    whole = affine.composed(affine.rotation(F.lit(0.4)), affine.shift(shape, F.lit(0.2), F.lit(-0.1)), affine.scaling(F.lit(0.3)))
+    undone = affine.composed(
+        whole, affine.scaling(F.lit(1 / 1.3 - 1)), affine.shift(shape, F.lit(-0.2), F.lit(0.1)), affine.rotation(F.lit(-0.4)),
+    )
+    for row in affine.affine_rows(df, "pixels", shape, undone, method="bilinear").collect():
+        assert np.allclose(row["pixels"], picture(shape).ravel(), atol=1e-3)
+    quarter = affine.composed(affine.rotation(F.lit(math.pi / 4)), affine.rotation(F.lit(math.pi / 4)))
+    for row in affine.affine_rows(df, "pixels", shape, quarter).collect():
+        assert np.array_equal(np.array(row["pixels"]).reshape(9, 9), np.rot90(picture(shape)[..., 0], -1)) or np.array_equal(
+            np.array(row["pixels"]).reshape(9, 9), np.rot90(picture(shape)[..., 0])
+        )
+    nothing = affine.rotation(F.when(F.col("k") < 3, F.lit(0.0)))
+    kept = affine.affine_rows(df, "pixels", shape, nothing).collect()
+    assert sum(r["pixels"] is None for r in kept) == 17
+    with pytest.raises(ValueError):
+        affine.affine_rows(df, "pixels", shape, whole, edge="none")
+
+
+def test_composed_changes_are_near_the_chain(spark):
+    shape = Shape(16, 16, 1)
+    smooth = np.add.outer(np.arange(16.0), np.arange(16.0)).ravel().tolist()
+    df = spark.createDataFrame([(k, smooth) for k in range(30)], "k long, pixels array<float>")
+    amounts = augment.Amounts(turn=0.02, shift=0.03, scale=0.05, method="bilinear")
+    chain = {r["k"]: np.array(r["pixels"]).reshape(16, 16) for r in augment.augment(df, "k", "pixels", shape, amounts=amounts).collect()}
+    once = {r["k"]: np.array(r["pixels"]).reshape(16, 16) for r in augment.augment_composed(df, "k", "pixels", shape, amounts=amounts).collect()}
+    assert all(np.allclose(chain[k][4:12, 4:12], once[k][4:12, 4:12], atol=1e-3) for k in chain)
