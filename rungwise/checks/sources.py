@@ -9,8 +9,9 @@ from rungwise.checks.registry import query
 from rungwise.operators.columns import feature_layout
 from rungwise.operators.splits import hash_split
 from rungwise.plans import dense, prepare, trees
+from rungwise.plans.scorers import TableScorer, scorer_roundtrip
 from rungwise.session import cached, scratch_path
-from rungwise.sources import models, runlogs, tables
+from rungwise.sources import runlogs, tables
 
 
 @query(
@@ -49,6 +50,30 @@ def csv_scan_schema(spark, sf_dir):
     return tables.csv_scan_schema(spark, path, schema)
 
 
+PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
+# Every line in one of two tables: prices and sizes that are no numbers and lines that end early, beside good ones.
+@query(
+    "csv_scan_checked",
+    """SELECT p_partkey, CASE WHEN p_partkey % 77 = 0 THEN '(fields)' WHEN p_partkey % 35 = 0 THEN 'p_size'
+                              WHEN p_partkey % 50 = 0 THEN 'p_retailprice' END AS failing,
+           CASE WHEN p_partkey % 77 <> 0 AND p_partkey % 35 <> 0 AND p_partkey % 50 <> 0 AND p_partkey % 9 <> 0 THEN p_retailprice END AS price
+    FROM part""",
+)
+def csv_scan_checked(spark, sf_dir):
+    path, key = scratch_path(spark, "csv"), F.col("p_partkey")
+    price = F.when(key % 50 == 0, "n/a").when(key % 9 == 0, "").otherwise(F.col("p_retailprice").cast("string"))
+    line = F.concat_ws(", ", key, "p_name", "p_brand", "p_type", F.when(key % 35 == 0, "large").otherwise(F.col("p_size").cast("string")), price)
+    short = F.when(key % 77 == 0, F.concat_ws(", ", key, "p_name")).otherwise(line)
+    table(spark, sf_dir, "part").select(short.alias("line")).write.text(path)
+    good, bad = tables.csv_scan_checked(spark, path, PART_SCHEMA)
+    of_line = F.split("line", ",")[0].cast("bigint").alias("p_partkey")
+    return good.select("p_partkey", F.lit(None).cast("string").alias("failing"), F.col("p_retailprice").alias("price")).unionByName(
+        bad.select(of_line, "failing", F.lit(None).cast("double").alias("price"))
+    )
+
+
 @query("preview_rows", "SELECT * FROM part ORDER BY p_partkey LIMIT 5")
 def preview_rows(spark, sf_dir):
     return tables.preview_rows(table(spark, sf_dir, "part"), "p_partkey", 5)
@@ -90,6 +115,23 @@ def runlog_scan(spark, sf_dir):
     return runlogs.runlog_scan(spark, f"{path}/*")
 
 
+# Every key is written, then the even ones again: they replace themselves and nothing else.
+@query(
+    "runlog_commit",
+    """SELECT event_type AS run, CAST(user_id % 4 AS INTEGER) AS m,
+              CASE WHEN user_id % 2 = 0 THEN count(*)::DOUBLE ELSE -1 END AS dt, 0.5::DOUBLE AS a
+    FROM events GROUP BY event_type, user_id % 4, user_id % 2""",
+)
+def runlog_commit(spark, sf_dir):
+    path, m = scratch_path(spark, "commits"), F.col("user_id") % 4
+    log = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("run"), m.cast("int").alias("m")).agg(
+        F.count("*").cast("double").alias("dt"), F.lit(0.5).alias("a")
+    )
+    runlogs.runlog_commit(log.withColumn("dt", F.lit(-1.0)), path)
+    runlogs.runlog_commit(log.filter("m % 2 = 0"), path)
+    return runlogs.runlog_read(spark, path).select("run", "m", "dt", "a")
+
+
 @query("model_roundtrip", "SELECT count(*) AS rows, 0::BIGINT AS differing FROM orders")
 def model_roundtrip(spark, sf_dir):
     raw = wide_census(spark, sf_dir)
@@ -98,8 +140,9 @@ def model_roundtrip(spark, sf_dir):
     features = prepare.fit_features(train, layout)
     ready = prepare.apply_features(features, train, layout, ["o_orderkey"])
     with cached(trees.spread_rows(ready)) as rows:
-        model = prepare.scorer(features, trees.tree_fit(rows))
-    return models.model_roundtrip(raw, model, scratch_path(spark, "model"))
+        tree = trees.tree_fit(rows)
+    scorer = TableScorer.of(features, tree, layout)
+    return scorer_roundtrip(raw, scorer, prepare.scorer(features, tree), scratch_path(spark, "model"))
 
 
 @query("softmax_roundtrip", "SELECT count(*) AS rows, 0::BIGINT AS differing FROM embeddings")

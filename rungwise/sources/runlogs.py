@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 LOG_SCHEMA = "m int, dt double, a double"
 
@@ -31,8 +32,25 @@ def runlog_append(log: DataFrame, path: str, run: str = "run", restart: bool = F
     )
 
 
+def runlog_commit(log: DataFrame, path: str, run: str = "run", key: str = "m") -> None:
+    """Write rows under ``path/run=<run>/m=<m>/``, replacing what these keys had and nothing else.
+
+    A rung that is run again replaces itself, and studies may write at once: each write is staged in a
+    folder of its own and moves whole partitions. One partition per key, so this is for logs of
+    few rows per run; ``runlog_append`` takes any number.
+    """
+    (
+        log.hint("rebalance", F.col(run), F.col(key))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(run, key)
+        .option("header", True)
+        .csv(path)
+    )
+
+
 def runlog_read(spark: SparkSession, path: str, schema: str = LOG_SCHEMA) -> DataFrame:
-    """What ``runlog_append`` wrote: the log's columns and the run's."""
+    """What ``runlog_append`` or ``runlog_commit`` wrote: the log's columns and the run's."""
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
@@ -54,4 +72,6 @@ def runlog_scan(spark: SparkSession, paths: str | list[str], schema: str = LOG_S
         column: F.try_to_number(F.regexp_extract(name, NAME_PATTERN, group), F.lit("9999999999")).cast("int")
         for group, column in enumerate(("max_m", "nodes", "cpus"), start=1)
     }
-    return logs.select("*", *[value.alias(column) for column, value in settings.items()])
+    named = StructType.fromDDL(schema).names  # a committed log has its key in the path, which comes last
+    others = [c for c in logs.columns if c not in named]
+    return logs.select(*named, *others, *[value.alias(column) for column, value in settings.items()])

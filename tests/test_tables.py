@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+import struct
+import zlib
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
@@ -293,3 +297,64 @@ def test_cached_frames_are_released(spark):
     with cached(df) as kept:
         assert kept.is_cached and kept.count() == 10
     assert not df.is_cached
+
+
+def test_bad_lines_have_a_channel(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("1, 2.5, a\n\n x, 3.5, b\n2, , \n3, n/a, c\n4, 1.0\n5, 1.0, d, e\n  \n|1x3 Cross validator\ny, z, q\n")
+    good, bad = tables.csv_scan_checked(spark, str(path), "a int, b double, c string")
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, 2.5, "a"), (2, None, None)]
+    found = {r["line"].strip(): r["failing"] for r in bad.collect()}
+    assert found == {
+        "x, 3.5, b": "a", "3, n/a, c": "b", "4, 1.0": tables.FIELDS, "5, 1.0, d, e": tables.FIELDS,
+        "|1x3 Cross validator": tables.FIELDS, "y, z, q": "a",
+    }
+    assert all(r["path"].endswith("lines.csv") for r in bad.collect())
+
+
+def test_good_census_lines_are_all_there(spark, census_csv):
+    good, bad = tables.csv_scan_checked(spark, census_csv)
+    assert bad.count() == 0
+    assert sorted(map(tuple, good.collect()), key=str) == sorted(map(tuple, tables.csv_scan_schema(spark, census_csv).collect()), key=str)
+
+
+def png(cells) -> bytes:
+    """A picture of (h, w, c) bytes, c being 1 or 3."""
+    h, w, c = cells.shape
+
+    def chunk(name, data):
+        return struct.pack(">I", len(data)) + name + data + struct.pack(">I", zlib.crc32(name + data))
+
+    lines = b"".join(b"\0" + row.tobytes() for row in cells)
+    head = struct.pack(">IIBBBBB", w, h, 8, {1: 0, 3: 2}[c], 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def test_images_are_decoded_and_others_told(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    pictures = {f"p{i}.png": rng.integers(0, 256, shape).astype(np.uint8) for i, shape in enumerate([(4, 6, 3), (5, 3, 1), (1, 1, 3)])}
+    for name, cells in pictures.items():
+        (tmp_path / name).write_bytes(png(cells))
+    (tmp_path / "broken.png").write_bytes(b"\x89PNG\r\n\x1a\nnothing")
+    (tmp_path / "text.txt").write_text("no image")
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in tables.decoded_images(spark, str(tmp_path)).collect()}
+    assert set(rows) == {*pictures, "broken.png", "text.txt"}
+    for name, cells in pictures.items():
+        row = rows[name]
+        assert (row["height"], row["width"], row["channels"]) == cells.shape and row["pixels"] == cells.ravel().tolist()
+    assert all(rows[name]["pixels"] is None and rows[name]["height"] is None for name in ("broken.png", "text.txt"))
+    assert tables.decoded_images(spark, str(tmp_path), "*.txt").count() == 1
+
+
+def test_committed_rungs_replace_themselves(spark, tmp_path):
+    path = str(tmp_path / "log")
+
+    def commit(run, m, dt):
+        runlogs.runlog_commit(spark.createDataFrame([(run, m, dt, 0.5)], "run string, m int, dt double, a double"), path)
+
+    for run, m, dt in (("a", 1, 1.0), ("a", 2, 2.0), ("b", 1, 3.0), ("a", 1, 4.0)):
+        commit(run, m, dt)
+    with ThreadPoolExecutor(4) as pool:  # studies that write at once
+        list(pool.map(lambda k: commit(f"c{k}", 7, float(k)), range(4)))
+    rows = sorted((r["run"], r["m"], r["dt"], r["a"]) for r in runlogs.runlog_read(spark, path).collect())
+    assert rows == [("a", 1, 4.0, 0.5), ("a", 2, 2.0, 0.5), ("b", 1, 3.0, 0.5), *((f"c{k}", 7, float(k), 0.5) for k in range(4))]
