@@ -46,7 +46,7 @@ MARK = "\x00"  # stands for a space at a cut; texts that hold it are cut by Pyth
 # The white space of Unicode; what the class leaves is followed by a cut if a space comes next.
 CUT = r"([^\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]) "
 SPACE = "▁"
-HEAD, TOGETHER = struct.Struct("<ii"), 1_000  # what stands before a piece's ids; pieces encoded at once
+HEAD, TOGETHER = struct.Struct("<ii"), 4_000  # what stands before a piece's ids; pieces encoded at once
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 ALIGNED = (
     "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -84,7 +84,7 @@ class Tokens:
         ends = [(size_a, ","), (size_a, "|"), (size_b, ","), (size_b, ";")]
         self.names = pa.array([f"{i}{end}" for size, end in ends for i in range(size)], pa.large_string())
         self.starts = np.cumsum([0] + [size for size, _ in ends])
-        self.memo = Memo(self.encode, 1 << 18)
+        self.memo = Memo(self.encode, 1 << 19)
 
     def encode(self, pieces: list[str]) -> list[bytes]:
         """Of each piece behind a space: whether both sides give its bytes back, the number of A ids, A ids, B ids.

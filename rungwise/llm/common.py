@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from weakref import WeakSet
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +39,20 @@ class Memo:
     half moves to the younger, and the older half goes when the younger is full.
     """
 
+    alive: WeakSet[Memo] = WeakSet()
+
     def __init__(self, compute: Callable[[list[str]], list[bytes]], size: int = 1 << 19, longest: int = 64):
         self.compute, self.half, self.longest = compute, size // 2, longest
         self.fixed: dict[str, bytes] = {}  # values that ``compute`` does not know
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        Memo.alive.add(self)
+
+    @classmethod
+    def forget(cls) -> None:
+        """Empty all memos of this Python worker: the next stage may have no use for what an earlier one learnt."""
+        for memo in cls.alive:
+            memo.known, memo.older = {}, {}
 
     def values(self, pieces: list[str]) -> list[bytes]:
         found = list(map(self.known.get, pieces))

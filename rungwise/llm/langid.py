@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from rungwise.llm.common import read_table, slices
+from rungwise.llm.common import Memo, read_table, slices
 
 FEATURE_BITS, LONGEST = 15, 3
 PER_LANGUAGE = 1_500
@@ -97,6 +97,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     size = (1 << FEATURE_BITS) + 1
 
     def run(batches):
+        Memo.forget()
         total = np.zeros(size, dtype=np.int64)
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():

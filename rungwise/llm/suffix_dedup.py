@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rungwise.llm.common import read_table, slices, text_bytes
+from rungwise.llm.common import Memo, read_table, slices, text_bytes
 from rungwise.session import remove_scratch, scratch_path
 
 WINDOW, ANCHOR = 200, 40
@@ -190,6 +190,7 @@ def anchor_rows(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataF
     names = [*KEY, "h", "place", "until"]
 
     def run(batches):
+        Memo.forget()
         for batch in slices(batches):
             d, x = (batch.column(i).to_numpy() for i in (0, 1))
             for rows, shifts, pieces in segments(text_bytes(batch.column(2)), window):
