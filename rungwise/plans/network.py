@@ -3,9 +3,8 @@
 A training table is put into batches once and written in blocks of batches. Steps follow one another,
 so small batches gain nothing from many tasks: a block is one job, whose task streams its
 batches in the epoch's order and takes a step after each; the next block starts from the weights it
-returns. Batches of more than ``STREAMED`` rows are blocks of their own, and their gradient is summed
-over all tasks. Either way the driver starts a job per block, not per small batch, and holds the model
-only; a lost task repeats its block from the weights the block began with.
+returns. Of batches of more than ``STREAMED`` rows each is a job, its gradient summed over all tasks.
+The driver starts a job per block or per large batch, and holds the model only; a lost task repeats its block from the weights the block began with.
 
 A barrier stage whose tasks exchange gradients was tried: a round of ``allGather`` takes 0.7 to 1.0 s in
 PySpark 4.1, whatever is sent, as its wait sleeps for a second; a job takes a fifth of that.
@@ -116,16 +115,23 @@ def fitting(df: DataFrame, array: str, label: str, sizes: tuple[int, ...]) -> Da
 
 
 class Batches(NamedTuple):
-    """A written training table: rows with ``batch_id`` and ``block``, and the number of blocks."""
+    """A written training table: rows with ``batch_id`` and ``block``; the number of batches, and of those in a block."""
 
     rows: DataFrame
-    blocks: int
+    batches: int
+    per_block: int
     streamed: bool
     path: str
 
     def order(self, seed: int) -> list[int]:
         """Blocks in an epoch's order."""
-        return sorted(range(self.blocks), key=lambda block: (mixed(block ^ hash_constant(seed, 1)), block))
+        blocks = -(-self.batches // self.per_block)
+        return sorted(range(blocks), key=lambda block: (mixed(block ^ hash_constant(seed, 1)), block))
+
+    def inside(self, block: int, seed: int) -> list[int]:
+        """A block's batches in an epoch's order, as ``row_hash`` has it."""
+        own = range(block * self.per_block, min(self.batches, (block + 1) * self.per_block))
+        return sorted(own, key=lambda batch: (mixed(batch ^ hash_constant(seed, 0)), batch))
 
 
 def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: int, seed: int) -> Batches:
@@ -133,7 +139,7 @@ def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: i
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "batches")
     batches = -(-df.count() // batch_size)
     streamed = batch_size <= STREAMED
-    per_block = max(1, BLOCK_ROWS // batch_size, -(-batches // MOST_BLOCKS)) if streamed else 1
+    per_block = max(1, BLOCK_ROWS // batch_size if streamed else 1, -(-batches // MOST_BLOCKS))
     ranked = hash_rank(df.select(F.col(key).alias("_key"), F.col(array).alias("_x"), F.col(label).alias("_y")), "_key", seed, "_position", ordered=True)
     batch = F.call_function("div", F.col("_position") - 1, F.lit(batch_size).cast("long"))
     block = F.call_function("div", batch, F.lit(per_block)).cast("int")
@@ -141,7 +147,7 @@ def store_batches(df: DataFrame, key: str, array: str, label: str, batch_size: i
     rows.sortWithinPartitions("block").write.partitionBy("block").parquet(path)
     added = [StructField("place", LongType()), StructField("batch_id", LongType()), StructField("block", IntegerType())]
     schema = StructType([*rows.select("_x", "_y").schema.fields, *added])
-    return Batches(spark.read.schema(schema).parquet(path), -(-batches // per_block), streamed, path)
+    return Batches(spark.read.schema(schema).parquet(path), batches, per_block, streamed, path)
 
 
 def own_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
@@ -227,8 +233,9 @@ def train_epoch(
             if after:
                 flat, optimizer, own = state_of(after, optimizer.rate, optimizer.clip)
                 seen = seen + own
-        else:
-            sums = gradient_sums(rows, flat, sizes, smoothing)
+            continue
+        for batch in stored.inside(block, seed):
+            sums = gradient_sums(rows.filter(F.col("batch_id") == batch), flat, sizes, smoothing)
             if sums[-1]:
                 flat, seen = optimizer.update(flat, sums[:-3] / sums[-1]), seen + sums[-3:]
     return flat, optimizer, seen

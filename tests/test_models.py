@@ -217,14 +217,17 @@ def hashed(key: int, seed: int) -> int:
     return mixed(folded)
 
 
-@pytest.mark.parametrize("hidden, block, streamed", [((), 1 << 16, 4096), ((6,), 48, 4096), ((6,), 1 << 16, 8)])
-def test_training_follows_the_steps(spark, monkeypatch, hidden, block, streamed):
+@pytest.mark.parametrize(
+    "hidden, block, streamed, most", [((), 1 << 16, 4096, 1), ((6,), 48, 4096, 1), ((6,), 1 << 16, 8, 1), ((), 1 << 16, 8, 4)]
+)
+def test_training_follows_the_steps(spark, monkeypatch, hidden, block, streamed, most):
+    monkeypatch.setattr(network, "MOST_BLOCKS", 256 if most == 1 else 3)
     monkeypatch.setattr(network, "BLOCK_ROWS", block)
     monkeypatch.setattr(network, "STREAMED", streamed)
     train, valid = hash_split(toy_images(spark), "k")
     rows = sorted(map(tuple, train.collect()), key=lambda r: (hashed(r[0], 42), r[0]))
     _, history = network.network_fit(train, valid, "k", "x", "y", 4, 3, hidden=hidden, epochs=2, batch_size=16)
-    per_block = max(1, block // 16) if streamed >= 16 else 1
+    per_block = max(1, block // 16) if streamed >= 16 else most
     want = trained_by_hand(rows, list(map(tuple, valid.collect())), (4, *hidden, 3), 2, 16, per_block)
     assert np.allclose([tuple(r) for r in history.collect()], want, rtol=1e-9)
 
@@ -267,7 +270,7 @@ def test_network_scores_saves_and_loads(spark):
 def test_batches_are_stored_whole(spark):
     stored = network.store_batches(toy_images(spark), "k", "x", "y", 32, 42)
     sizes = dict(stored.rows.groupBy("batch_id").count().collect())
-    assert stored.blocks == 1 and sorted(sizes) == list(range(8)) and sum(sizes.values()) == 240
+    assert stored.order(1) == [0] and stored.batches == 8 and sorted(sizes) == list(range(8)) and sum(sizes.values()) == 240
 
 
 def node_rows(tree, scale=1.0):
