@@ -3,7 +3,7 @@
 The page is read into a light tree: tags by one pattern, unclosed paragraphs, list
 items and cells closed by what follows them, a head by the first tag or text of a body, stray end tags and a tag that the page's end cuts off ignored. Elements whose tag, role or
 class says menu, header, footer, sidebar, notice, advert, form or reader comment are
-taken out with all they hold. Every paragraph then passes points to its ancestors: one, one
+taken out with all they hold; a class or id says so if all its words do, words of layout aside. Every paragraph then passes points to its ancestors: one, one
 for each comma and one for each hundred characters up to three, in full to the
 parent, half to the next and a third of the level beyond; an ancestor's sum is
 discounted by its share of link text. The container with most points, and those
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from rungwise.llm.common import read_table, slices
 
 SHORTEST = 25  # characters of a paragraph that scores
-RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title"
+RAW = "script|style|iframe|textarea|title"
+EMBEDDED = set("noscript template svg math object canvas select".split())  # out with what they hold, if they end at all
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])(?:"[^"]*"|'[^']*'|[^>"'])*/>"""
     rf"|<(?P<raw>{RAW})\b[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)|<[!?][^>]*>"
@@ -43,6 +44,11 @@ BLOCK = set(
 VOID = set("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 PARAGRAPH = set("p pre td blockquote li dd figcaption h1 h2 h3 h4 h5 h6".split())
 OUT_TAGS = set("nav header footer aside form button menu dialog input label fieldset".split())
+# Words of layout: beside a word of the list below they leave a name's meaning as it is.
+PLAIN_WORDS = set(
+    "area bar block body bottom box btn button buttons col column container content head holder icon icons inner item items "
+    "left links list main module outer page panel post posts right row section site slot text thread top unit wrap wrapper".split()
+)
 OUT_ROLES = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
 OUT_WORDS = set(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar menu nav "
@@ -59,15 +65,16 @@ HEAD = set("base basefont bgsound link meta".split())  # besides elements read a
 SCOPES = set("article main section div body table ul ol td form nav aside header footer blockquote".split())
 
 
-def words_of(value: str) -> list[str]:
-    """The words of class names and ids, and neighbouring words as one."""
-    words = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value).lower().replace("-", " ").replace("_", " ").split()
-    return [*words, *(a + b for a, b in zip(words, words[1:]))]
+def says_out(name: str) -> bool:
+    """Whether a class name or id says boilerplate: ``related-posts`` does, ``related-work`` and ``share-price`` do not."""
+    words = re.sub(r"[-_0-9]+", " ", re.sub(r"([a-z])([A-Z])", r"\1 \2", name)).lower().split()
+    told = [word for word in words if word not in PLAIN_WORDS]
+    return bool(told) and OUT_WORDS.issuperset(told) or "".join(words) in OUT_WORDS
 
 
 def is_out(name: str, attrs: str) -> bool:
     """Whether an element is boilerplate by its tag, role, class or id."""
-    if name in OUT_TAGS or name == "head":
+    if name in OUT_TAGS or name in EMBEDDED or name == "head":
         return True
     if not attrs or name in ("html", "body", "article", "main"):
         return False
@@ -79,7 +86,7 @@ def is_out(name: str, attrs: str) -> bool:
             return True
         if key == "style" and "display:none" in value.replace(" ", "").lower():
             return True
-        if key in ("class", "id") and not OUT_WORDS.isdisjoint(words_of(value)):
+        if key in ("class", "id") and any(map(says_out, value.split())):
             return True
     return False
 
@@ -89,7 +96,8 @@ class Tree:
 
     def __init__(self, page: str):
         self.names, self.parents, self.out, self.texts = ["root"], [-1], [False], []
-        stack, at = [0], 0
+        stack, at, lower = [0], 0, page.lower()
+        last_end = {name: lower.rfind("</" + name) for name in EMBEDDED}
         for tag in TAG.finditer(page):
             if tag.start() > at:
                 self._text(stack, page[at : tag.start()])
@@ -99,7 +107,7 @@ class Tree:
             name = name.lower()
             if tag["end"]:
                 self._close(stack, name)
-            else:
+            elif name not in EMBEDDED or last_end[name] >= at:  # one that never ends holds nothing
                 self._open(stack, name, tag["attrs"])
         if at < len(page):
             self._text(stack, page[at:])

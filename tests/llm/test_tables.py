@@ -271,6 +271,18 @@ def test_main_text_of_pages_without_end_tags():
         assert html_extract.main_text(page) == "Text", page
 
 
+def test_names_and_embedded_elements_of_articles():
+    for inside in (
+        '<p class="share-price">Text</p>', '<blockquote class="reply-quote">Text</blockquote>', '<div id="social-history"><p>Text</p></div>',
+        '<section class="related-work"><p>Text</p></section>', "<p>Text</p><canvas>", "<select><p>Text</p>", "<p>Te<noscript>xt</p>",
+        "<p>Text</p><object><object>no</object>no</object>", "<p>Text</p><select><option>no<option>no</select>",
+        "<noscript><p>no</p></noscript><p>Text</p>", '<p>Text</p><div class="related-posts"><p>no</p></div>',
+        '<p>Text</p><div id="commentList2"><p>no</p></div>', '<div class="side-bar">no</div><p>Text</p>', '<p>Text</p><ul class="nav nav-left"><li>no</li></ul>',
+        "<svg><title>no</title><text>no</text></svg><p>Text</p>", "<p>Text</p><template><p>no</p></template>",
+    ):
+        assert html_extract.main_text(f"<body><article>{inside}</article><footer>no</footer></body>") == "Text", inside
+
+
 def test_pipeline_stages_equal_brute_force(spark, tmp_path, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "repeated_passages", "packing"]
