@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rungwise.llm.bpe import byte_letters
-from rungwise.llm.common import Memo, read_table
+from rungwise.llm.common import Memo, bound_batches, read_table
 from rungwise.session import scratch_path
 
 CHUNK_BYTES = 1 << 20  # text of one chunk, unless a single text is longer
@@ -303,6 +303,10 @@ def document_sums(rows: DataFrame) -> DataFrame:
     names = [field.split(" ")[0] for field in RESULT.split(", ")]
 
     def run(batches):
+        # Workers come from the encoding stage: this one needs neither its memo nor its vocabularies.
+        Memo.forget()
+        tokens_of.cache_clear()
+        pa.default_memory_pool().release_unused()
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i].values for name in batch.schema.names}
@@ -327,6 +331,7 @@ def document_sums(rows: DataFrame) -> DataFrame:
 def aligned_documents(docs: DataFrame, path_a: str, path_b: str, limit: int = CHUNK_BYTES) -> DataFrame:
     """RESULT: one row per document, with its links weighed by the pairs' counts over all documents."""
     spark = docs.sparkSession
+    bound_batches(spark)  # a chunk's row is as long as its text, so a partition of chunks must not be one batch
     folder = scratch_path(spark, "alignment")
     aligned_chunks(docs, path_a, path_b, limit).write.parquet(f"{folder}/chunks")
     aligned = spark.read.parquet(f"{folder}/chunks")

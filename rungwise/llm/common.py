@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows of one Arrow batch: with long texts the default of 10,000 rows is too much for a Python worker.
 BATCH_ROWS = 1_000
+# Bytes of one Arrow batch where rows hold long lists: a thousand of those are as much as a partition.
+BATCH_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session end at ``BATCH_BYTES`` from here on, or hold one row."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    value = spark.conf.get(key)
+    if not value.isdigit() or not 0 < int(value) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of at most ``rows``."""
     for batch in batches:

@@ -10,12 +10,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rungwise.llm import conversation_repair as repair, mixing
 from rungwise.llm.alignment import Tokens, aligned_documents, op11_alignment
-from rungwise.llm.common import read_table
+from rungwise.llm.common import BATCH_BYTES, read_table
 from rungwise.llm.queries import ORACLE_SQL
 from tests.llm import odd
 from tests.oracle import compare, connect
@@ -93,6 +94,20 @@ def test_alignment_of_nothing(spark, tmp_path):
     assert op11_alignment(spark, _empty(spark, tmp_path)).collect() == []
 
 
+def test_alignment_bounds_the_bytes_of_a_batch(spark, tmp_path):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    folder = odd.documents(spark, tmp_path, [(1, "x y", "en")])
+    assert op11_alignment(spark, folder).count() == 1
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    chunks = spark.range(0, 40, 1, 1).select(F.expr("repeat('x', 1 << 20)").alias("row"))
+    found = chunks.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 40 and max(r["bytes"] for r in found) < BATCH_BYTES + (2 << 20)
+
+
 def _empty(spark, folder) -> str:
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     df.write.parquet(f"{folder}/documents.parquet")
