@@ -11,8 +11,9 @@ saw, makes the scores probabilities. Every row is predicted, in one pass.
 
 The chances compare learnt languages with one another; they are near one for garbled text and languages never seen, too.
 So whether a text is in any learnt language is told by how rare its n-grams are: their mean inverse document
-frequency, against a limit by length that the calibration rows set (``MARGIN`` times the most among
-texts of up to four times its length). ``strict`` predictions beyond the limit are ``und``.
+frequency, against a limit by length that all rows set which may be learnt from, each held against the others
+(``MARGIN`` times the most among texts of up to four times its length, a ``TAIL`` of each language's apart).
+``strict`` predictions beyond the limit are ``und``; neither weights nor temperature have a part in that.
 
 Null text, and text without a letter, is ``und`` with score zero. Rows without
 language or id are predicted, not learnt from. If nothing can be learnt, every row
@@ -35,7 +36,9 @@ FEATURE_BITS, LONGEST = 15, 3
 PER_LANGUAGE = 1_500
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 1.0, 1.0, 0.02, 1e-4
 UNKNOWN = "und"
-MARGIN = 1.25  # rarity beyond that of held-out texts at which a text counts as unrecognised
+MARGIN = 1.25  # rarity beyond that of learnt texts at which a text counts as unrecognised
+TAIL, STEPS = 1e-3, 256  # share of a language's texts of one band that sets no limit; steps of rarity that are counted, per unit
+ENOUGH = 4  # rows of a language that sets limits
 BANDS, SHORT = 48, 10  # lengths by powers of two of n-grams; up to 2^SHORT of them one limit, as few texts are that short
 
 
@@ -82,12 +85,44 @@ def band(counts: np.ndarray) -> int:
     return max(SHORT, int(counts.sum()).bit_length())
 
 
-def rarity_limits(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> np.ndarray:
-    """The limit of each band: the most among (places, counts) of bands up to two higher, with the margin; none without rows."""
+def rarity_counts(docs: DataFrame, frequencies: np.ndarray) -> DataFrame:
+    """(lang, band, step, n): all rows by the rarity of their n-grams in the other rows, rounded up to a step.
+
+    ``frequencies`` are of the same rows, so a text is left out of them before it is measured.
+    """
+
+    def run(batches):
+        idf = np.log(max(frequencies[-1], 1) / np.maximum(frequencies[:-1], 1)) + 1
+        for batch in slices(batches):
+            found = []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                places, counts = grams(text)
+                if len(places):
+                    found.append((lang, band(counts), math.ceil(rarity(places, counts, idf) * STEPS)))
+            columns = list(zip(*found)) or [[], [], []]
+            kinds = (pa.string(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "band", "step"])
+
+    told = docs.select("lang", "text").mapInArrow(run, "lang string, band int, step int")
+    return told.groupBy("lang", "band", "step").agg(F.count("*").alias("n"))
+
+
+def rarity_limits(counts: list[tuple[str, int, int, int]]) -> np.ndarray:
+    """The limit of each band from ``rarity_counts``: the most among bands up to two higher, with the margin; none without rows.
+
+    The most of a band is the highest of its languages', each without its ``TAIL``: a few garbled rows set no limit.
+    """
+    rows: dict[str, int] = {}
+    steps: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for lang, own, step, n in counts:
+        rows[lang] = rows.get(lang, 0) + n
+        steps.setdefault((lang, own), []).append((step, n))
     most = np.zeros(BANDS)
-    for places, counts in rows:
-        own = band(counts)
-        most[own] = max(most[own], rarity(places, counts, idf))
+    for (lang, own), found in steps.items():
+        if rows[lang] >= ENOUGH:
+            step, n = np.array(sorted(found)).T
+            above = n.sum() - np.cumsum(n)  # rows beyond each step
+            most[own] = max(most[own], step[above <= TAIL * n.sum()][0] / STEPS)
     reach = np.maximum.accumulate(most)[np.minimum(np.arange(BANDS) + 2, BANDS - 1)]
     return np.where(reach > 0, MARGIN * reach, np.inf)
 
@@ -202,8 +237,8 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from rows that have text, language and id and are not held out."""
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, limited: bool = False) -> Model:
+    """Learn from rows that have text, language and id and are not held out; ``limited`` also what ``strict`` predictions need."""
     known = docs.select("doc_id", "text", "lang").dropna().filter(~held_out())
     frequencies = document_frequencies(known)
     idf = np.log((1 + frequencies[-1]) / (1 + frequencies[:-1])) + 1
@@ -211,9 +246,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     languages = sorted({row[0] for row in sample})
     number = {lang: i for i, lang in enumerate(languages)}
     rows = [(places, vector(places, counts, idf), number[lang], apart) for lang, apart, places, counts in sample]
-    limits = rarity_limits([(places, counts) for _, apart, places, counts in sample if apart], idf)
+    limits = rarity_limits([tuple(row) for row in rarity_counts(known, frequencies).collect()] if limited else [])
     if not rows:
-        return Model([], idf, np.zeros((1 << FEATURE_BITS, 0)), 1.0, rarity_limits([], idf))
+        return Model([], idf, np.zeros((1 << FEATURE_BITS, 0)), 1.0, limits)
     weights = fit_weights([row[:3] for row in rows if not row[3]], len(languages))
     apart = [row for row in rows if row[3]]
     logits = np.array([values @ weights[places] for places, values, _, _ in apart]).reshape(-1, len(languages))
@@ -240,7 +275,7 @@ def predict(
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in a language that can be learnt from them; those with a letter if none can."""
-    model = fit(docs)
+    model = fit(docs, limited=True)
     if not model.languages:  # nothing to tell texts apart by: every text with a letter stays
         model = Model(["any"], model.idf, np.zeros((1 << FEATURE_BITS, 1)), 1.0, model.limits)
     told = predict(docs, model, ("_language", "_chance"), strict=True)

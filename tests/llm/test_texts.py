@@ -274,6 +274,30 @@ def test_language_on_held_out_rows(spark, tmp_path):
     assert kept.count() == 901 and kept.columns == spark.read.parquet(f"{folder}/documents.parquet").columns
 
 
+def test_every_row_that_may_be_learnt_from_sets_the_limits(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [chr(c) * 2 + chr(c + 1) for c in range(0x4E00, 0x4E00 + 600)]
+    # Rare but good: too few to be in a sample of some rows, and a language with no other row of their length.
+    rare = [(20_000 + i, " ".join(rng.choices(words, k=500)), "zh") for i in range(8)]
+    docs = spark.createDataFrame(made_up(600) + rare, "doc_id long, text string, lang string").cache()
+    known = docs.dropna().filter(~langid.held_out())
+    frequencies = langid.document_frequencies(known)
+    counts = langid.rarity_counts(known, frequencies).collect()
+    assert sum(r["n"] for r in counts) == known.count()
+    limits = [langid.fit(docs, per_language, limited=True).limits.tolist() for per_language in (1, 4, 1_500)]
+    assert limits[0] == limits[1] == limits[2] and np.isfinite(limits[0][-1])
+    monkeypatch.setattr(langid.fit, "__defaults__", (1, False))
+    assert langid.keep_known(docs).count() == docs.count()
+
+
+def test_limits_pass_over_a_tail_of_each_language():
+    clean = [("en", 12, 500, 1_990), ("en", 12, 510, 9), ("de", 12, 700, 3), ("de", 13, 600, 1), ("fr", 12, 3_000, 3)]
+    limits = langid.rarity_limits(clean + [("en", 12, 2_000, 1)])
+    assert limits.tolist() == langid.rarity_limits(clean).tolist()
+    assert limits[11] == limits[12] == limits[40] == langid.MARGIN * 700 / langid.STEPS and np.isinf(limits[9])
+    assert np.isinf(langid.rarity_limits([])).all() and np.isinf(langid.rarity_limits([("fr", 12, 900, 3)])).all()
+
+
 def test_language_without_anything_to_learn(spark, folder, nothing):
     assert langid.op10_langid(spark, nothing).count() == 0
     assert langid.op10_langid(spark, folder).count() == len(odd.texts())
