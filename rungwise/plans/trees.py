@@ -51,6 +51,18 @@ def spread_rows(df: DataFrame, copies: int = 1) -> DataFrame:
     return df.repartition(max(1, busy, -(-rows // MOST)))
 
 
+def spread_few(df: DataFrame, parallelism: int = 1) -> tuple[DataFrame, int]:
+    """Even partitions for deep trees, one a core at most, and how many of ``parallelism`` fits to run at once.
+
+    On every level each partition sends the statistics of all open nodes, however few of its
+    rows reach them, so what a fit shuffles grows with partitions times nodes. A fit also keeps
+    its rows: ``MOST`` of them a partition for all fits at once, beyond that fewer fits.
+    """
+    rows = df.count()
+    parts = max(1, min(df.sparkSession.sparkContext.defaultParallelism, rows // FEWEST))
+    return df.repartition(parts), max(1, min(parallelism, parallelism * MOST * parts // max(rows, 1)))
+
+
 def tree_importances(model: DecisionTreeClassificationModel, features: list[str]) -> DataFrame:
     """(feature, importance, depth, nodes), one row per feature."""
     spark = SparkSession.active()
@@ -98,7 +110,7 @@ def cross_validator(
     was before: every fold fits the deepest tree once and reads the others off its inner nodes,
     all depths in one pass over the held-out rows. Copies of a row are its weight, so the
     base is all that is kept and read, whatever their number. A fold is a filter on the base;
-    ``parallelism`` fits run at once; a fold without rows is left out of the mean.
+    at most ``parallelism`` fits run at once; a fold without rows is left out of the mean.
     """
     started = time.perf_counter()
     folded = kfold_assign(df, key, folds).select(FEATURES, INDEXED_LABEL, "fold", F.lit(float(copies)).alias(WEIGHT))
@@ -110,8 +122,9 @@ def cross_validator(
         tree = TreeTable.of(fit(base.filter(F.col("fold") != fold), max(depths)))
         return nested_accuracies(tree, base.filter(F.col("fold") == fold), depths)
 
-    with cached(spread_rows(folded)) as base:
-        with ThreadPoolExecutor(parallelism) as pool:
+    spread, at_once = spread_few(folded, parallelism)
+    with cached(spread) as base:
+        with ThreadPoolExecutor(at_once) as pool:
             shares = list(pool.map(inheritable_thread_target(df.sparkSession)(score), range(folds)))
         means = []
         for of_depth in zip(*shares):

@@ -112,6 +112,20 @@ def test_cross_validation_marks_one_best_depth(spark, parts):
     assert best["best"] and best["accuracy"] > 0.9 and best["seconds"] > 0
 
 
+def test_deep_trees_get_no_more_partitions_than_cores(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(trees, "FEWEST", 10)
+    rows = spark.range(40 * cores).toDF("id")
+    assert trees.spread_rows(rows).rdd.getNumPartitions() > cores
+    spread, at_once = trees.spread_few(rows, 4)
+    assert spread.rdd.getNumPartitions() == cores and at_once == 4 and spread.count() == 40 * cores
+    assert trees.spread_few(spark.range(0), 4)[0].rdd.getNumPartitions() == 1
+    monkeypatch.setattr(trees, "MOST", 20)
+    assert trees.spread_few(rows, 4)[1] == 2  # the fits at once keep as many rows as fit, whatever the table
+    monkeypatch.setattr(trees, "MOST", 1)
+    assert trees.spread_few(rows, 4)[1] == 1
+
+
 def test_cross_validation_of_many_copies_keeps_one_base(spark, parts, monkeypatch):
     _, _, _, train, test = parts
     kept = []
