@@ -2,14 +2,15 @@
 
 Texts come in chunks of bounded bytes. A chunk's texts are cut before every space
 that follows a character other than white space: no token of either vocabulary
-crosses such a place. The pieces are dictionary encoded, each different one is
-encoded once by the libraries, and the ids come back as lists:
+crosses such a place, so both sides end there. The pieces are dictionary encoded, each
+different one is encoded once by the libraries, and the ids come back as lists:
 
-* lists of ids by piece are flattened, their parent indices name piece and document;
-* cumulative sums of the tokens' byte lengths, begun anew at each document, are the tokens' ends;
-* an Acero hash join on (document, end) finds the ends that both sides share: they cut groups;
-* tokens are counted by (group, id) and joined on the group: the links, with how often each occurs;
-* ``Table.group_by`` counts links by document and pair, then documents by pair for the chunk.
+* lists of ids by piece are flattened, their parent indices name the piece;
+* cumulative sums of the tokens' byte lengths are the tokens' ends, pieces lying end to end;
+* an Acero hash join on the end finds the ends that both sides share: they cut groups;
+* tokens are counted by (group, id) and joined on the group: the piece's links, with how often each occurs;
+* counts, names and links of pieces are taken for every place of the documents, as often as a piece occurs there;
+* ``Table.group_by`` adds up links by document and pair, then documents by pair for the chunk.
 
 Spark adds up the chunks' partial counts by pair, takes the highest count of every A id and
 brings the counts back to the chunks, where each document sums over its own pairs. What is
@@ -26,10 +27,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import pairwise, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rungwise.llm.bpe import byte_letters
-from rungwise.llm.common import Memo, bound_batches, read_table
+from rungwise.llm.common import bound_batches, read_table
 from rungwise.session import scratch_path
 
 CHUNK_BYTES = 1 << 20  # text of one chunk, unless a single text is longer
@@ -46,7 +47,8 @@ MARK = "\x00"  # stands for a space at a cut; texts that hold it are cut by Pyth
 # The white space of Unicode; what the class leaves is followed by a cut if a space comes next.
 CUT = r"([^\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]) "
 SPACE = "▁"
-HEAD, TOGETHER = struct.Struct("<ii"), 4_000  # what stands before a piece's ids; pieces encoded at once
+TOGETHER = 4_000  # pieces encoded at once
+REMEMBERED, LONGEST = 1 << 19, 64  # pieces a worker remembers, and the most characters of one
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 ALIGNED = (
     "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -58,6 +60,60 @@ RESULT = (
 )
 
 
+class Records(NamedTuple):
+    """What the libraries give for pieces, end to end: whether both sides give a piece's bytes back, the number of A ids, A ids, B ids."""
+
+    flat: np.ndarray
+    ends: np.ndarray
+
+    @classmethod
+    def none(cls) -> Records:
+        return cls(np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64))
+
+    @classmethod
+    def joined(cls, parts: list[Records]) -> Records:
+        before = np.cumsum([0, *(len(part.flat) for part in parts)])
+        return cls(np.concatenate([p.flat for p in parts]), np.concatenate([p.ends + b for p, b in zip(parts, before)]))
+
+    def take(self, numbers: np.ndarray) -> Records:
+        starts = np.r_[0, self.ends][numbers]
+        sizes = self.ends[numbers] - starts
+        ends = np.cumsum(sizes)
+        return Records(self.flat[np.arange(sizes.sum()) + np.repeat(starts - ends + sizes, sizes)], ends)
+
+
+class PieceMemo:
+    """Records by piece, as ``Memo`` keeps bytes: about ``size`` pieces used last, in two halves; long ones are not kept."""
+
+    def __init__(self, encode: Callable[[list[str]], Records], size: int = REMEMBERED):
+        self.encode, self.half = encode, size // 2
+        self.known, self.records = {}, Records.none()
+        self.older, self.older_records = {}, Records.none()
+
+    def take(self, pieces: list[str]) -> Records:
+        """Records of pieces that are all different, in their order."""
+        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(found < 0)
+        if not len(missing):
+            return self.records.take(found)
+        new = [pieces[i] for i in missing.tolist()]
+        of_older = np.fromiter(map(self.older.get, new, repeat(-1)), np.int64, len(new))
+        short = np.fromiter(map(len, new), np.int64, len(new)) <= LONGEST
+        moved, fresh, long = (np.flatnonzero(m) for m in (of_older >= 0, (of_older < 0) & short, (of_older < 0) & ~short))
+        order = np.concatenate([moved, fresh, long])
+        base, kept = len(self.records.ends), len(moved) + len(fresh)
+        found[missing[order]] = base + np.arange(len(order))
+        names = [new[i] for i in order.tolist()]
+        self.known.update(zip(names[:kept], range(base, base + kept)))
+        parts = [self.records, self.older_records.take(of_older[moved]), self.encode(names[len(moved) : kept])]
+        self.records = Records.joined(parts)
+        out = Records.joined([self.records, self.encode(names[kept:])]).take(found)
+        if len(self.known) > self.half:
+            self.older, self.older_records = self.known, self.records
+            self.known, self.records = {}, Records.none()
+        return out
+
+
 class Tokens:
     """Two vocabularies: ids of pieces of text, bytes and decimal names of ids."""
 
@@ -79,48 +135,68 @@ class Tokens:
             piece = self.b.id_to_piece(i)
             byte = BYTE_PIECE.fullmatch(piece) if self.b.is_byte(i) else None
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE, " ").encode())
-        self.sizes_a, self.sizes_b = (pa.array([len(t) for t in side], pa.int64()) for side in (self.bytes_a, self.bytes_b))
+        self.entries_a, self.entries_b = (pa.array(side, pa.large_binary()) for side in (self.bytes_a, self.bytes_b))
+        self.sizes_a, self.sizes_b = (pc.binary_length(side) for side in (self.entries_a, self.entries_b))
         # Names by id, side and whether the token ends its group's part: "7," or "7|" of A, "7," or "7;" of B.
         ends = [(size_a, ","), (size_a, "|"), (size_b, ","), (size_b, ";")]
         self.names = pa.array([f"{i}{end}" for size, end in ends for i in range(size)], pa.large_string())
         self.starts = np.cumsum([0] + [size for size, _ in ends])
-        self.memo = Memo(self.encode, 1 << 19)
+        self.memo = PieceMemo(self.encode)
 
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        """Of each piece behind a space: whether both sides give its bytes back, the number of A ids, A ids, B ids.
+    def encode(self, pieces: list[str]) -> Records:
+        """Records of pieces, each behind a space.
 
         The libraries are slow on many short texts. Pieces that a space may follow are
         encoded together and cut by bytes: their ends are ends of tokens on both sides.
+        A lot that holds a piece whose bytes do not come back is halved, down to that piece.
         """
-        out, plain = {}, [p for p in pieces if p and not p[-1].isspace() and SPACE not in p]
-        for start in range(0, len(plain), TOGETHER):
-            some = plain[start : start + TOGETHER]
-            text = " ".join(["", *some])
-            data = text.encode()
-            ends = np.cumsum([len(p.encode()) + 1 for p in some])
-            sides = []
-            for ids, names in ((self.ids_a(text), self.bytes_a), (self.b.encode(text[1:]), self.bytes_b)):
-                entries = list(map(names.__getitem__, ids))
-                if b"".join(entries) != data:
-                    break
-                cuts = np.searchsorted(np.cumsum(list(map(len, entries))), ends) + 1
-                sides.append((np.array(ids, dtype=np.int32).tobytes(), (4 * np.r_[0, cuts]).tolist()))
-            if len(sides) < 2:
-                continue
-            (ids_a, cut_a), (ids_b, cut_b) = sides
-            for i, piece in enumerate(some):
-                of_a = ids_a[cut_a[i] : cut_a[i + 1]]
-                out[piece] = HEAD.pack(1, len(of_a) // 4) + of_a + ids_b[cut_b[i] : cut_b[i + 1]]
-        return [out[p] if p in out else self.encode_one(p) for p in pieces]
+        if not pieces:
+            return Records.none()
+        plain = [i for i, p in enumerate(pieces) if p and not p[-1].isspace() and SPACE not in p]
+        lots = [plain[start : start + TOGETHER] for start in range(0, len(plain), TOGETHER)]
+        order, parts = [], []
+        while lots:
+            lot = lots.pop()
+            records = self.encode_together([pieces[i] for i in lot])
+            if records:
+                order += lot
+                parts.append(records)
+            elif len(lot) > 1:
+                lots += [lot[: len(lot) // 2], lot[len(lot) // 2 :]]
+        for i in sorted(set(range(len(pieces))).difference(order)):
+            order.append(i)
+            parts.append(self.encode_one(pieces[i]))
+        return Records.joined(parts).take(np.argsort(order))
+
+    def encode_together(self, pieces: list[str]) -> Records | None:
+        text = " ".join(["", *pieces])
+        data = pa.py_buffer(text.encode())
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, pieces)), np.int64, len(pieces)) + 1)
+        sides = []
+        for ids, entries, sizes in ((self.ids_a(text), self.entries_a, self.sizes_a), (self.b.encode(text[1:]), self.entries_b, self.sizes_b)):
+            ids = pa.array(ids, pa.int32())
+            sums = np.cumsum(sizes.take(ids).to_numpy())
+            if not len(ids) or sums[-1] != data.size or not entries.take(ids).buffers()[2].slice(0, data.size).equals(data):
+                return None
+            sides.append((ids.to_numpy(), np.r_[0, np.searchsorted(sums, ends) + 1]))
+        counts = [np.diff(cuts) for _, cuts in sides]
+        last = np.cumsum(2 + counts[0] + counts[1])
+        flat = np.empty(last[-1], dtype=np.int32)
+        start = np.r_[0, last[:-1]]
+        flat[start], flat[start + 1] = 1, counts[0]
+        for (ids, cuts), count, first in zip(sides, counts, (start + 2, start + 2 + counts[0])):
+            flat[np.arange(len(ids)) + np.repeat(first - cuts[:-1], count)] = ids
+        return Records(flat, last)
 
     def ids_a(self, text: str) -> list[int]:
         return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def encode_one(self, piece: str) -> bytes:
-        """As ``encode``; library B makes nothing of an empty text, also where it stands for a last space."""
+    def encode_one(self, piece: str) -> Records:
+        """As ``encode``, without ids if the bytes do not come back; library B makes nothing of an empty text, also where it stands for a last space."""
         whole, ids = (" " + piece).encode(), (self.ids_a(" " + piece), self.b.encode(piece) or [self.b.piece_to_id(SPACE)])
         same = all(b"".join(map(names.__getitem__, own)) == whole for names, own in zip((self.bytes_a, self.bytes_b), ids))
-        return HEAD.pack(same, len(ids[0])) + np.array([*ids[0], *ids[1]], dtype=np.int32).tobytes()
+        flat = np.array([1, len(ids[0]), *ids[0], *ids[1]] if same else [0, 0], dtype=np.int32)
+        return Records(flat, np.array([len(flat)]))
 
 
 @lru_cache(maxsize=2)
@@ -140,12 +216,11 @@ def pieces_of(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
     return pc.list_flatten(lists), pc.list_parent_indices(lists)
 
 
-def id_lists(values: list[bytes]) -> tuple[np.ndarray, pa.Array, pa.Array]:
-    """What ``Tokens.encode`` gave for the different pieces: which are whole, and their A and B ids as list arrays."""
-    flat = np.frombuffer(b"".join(values), dtype=np.int32)
-    ends = np.cumsum(np.fromiter(map(len, values), np.int64, len(values)) // 4)
+def id_lists(records: Records) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Of the different pieces: which are whole, and their A and B ids as list arrays."""
+    flat, ends = records
     starts = ends - np.diff(ends, prepend=0)
-    n_a = flat[starts + 1].astype(np.int64) if len(values) else starts
+    n_a = flat[starts + 1].astype(np.int64)
     inner = starts + 2 + n_a
     side = np.zeros(len(flat) + 1, dtype=np.int8)  # 0: heads, then +1 up to the A ids' end, B ids after it
     np.add.at(side, starts + 2, 1)
@@ -159,29 +234,21 @@ def id_lists(values: list[bytes]) -> tuple[np.ndarray, pa.Array, pa.Array]:
     return flat[starts].astype(bool), *lists
 
 
-def token_table(lists: pa.Array, codes: pa.Array, parents: pa.Array, sizes: pa.Array, docs: int, shift: int) -> pa.Table:
-    """(doc, id, end, key) of all tokens in order: ``end`` in bytes from the document's start, the key is both as one number."""
-    of_piece = lists.take(codes)
-    ids = pc.list_flatten(of_piece)
-    doc = parents.take(pc.list_parent_indices(of_piece))
-    sums = pc.cumulative_sum(sizes.take(ids)).to_numpy()
-    number = doc.to_numpy()
-    first = np.flatnonzero(np.diff(number, prepend=-1))
-    before = np.zeros(docs, dtype=np.int64)
-    before[number[first]] = np.r_[0, sums][first]
-    end = sums - before[number]
-    return pa.table({"doc": doc, "id": ids, "end": end, "key": number << shift | end})
+def token_table(lists: pa.Array, sizes: pa.Array) -> pa.Table:
+    """(piece, id, end) of all tokens in order; ends in bytes from the first piece's start: a piece has as many on both sides."""
+    ids = pc.list_flatten(lists)
+    return pa.table({"piece": pc.list_parent_indices(lists), "id": ids, "end": pc.cumulative_sum(sizes.take(ids))})
 
 
 def shared_ends(a: pa.Table, b: pa.Table) -> np.ndarray:
-    """The keys of the places (document and end) where tokens of both sides end, in order."""
-    both = a.select(["doc", "end", "key"]).join(b.select(["doc", "end"]), ["doc", "end"], join_type="inner", use_threads=False)
-    return np.sort(both["key"].to_numpy())
+    """The ends of tokens of both sides, in order."""
+    both = a.select(["end"]).join(b.select(["end"]), "end", join_type="inner", use_threads=False)
+    return np.sort(both["end"].to_numpy())
 
 
 def with_groups(tokens: pa.Table, shared: np.ndarray) -> pa.Table:
     """Adds ``group``: the number of the first shared end at or after the token's own."""
-    return tokens.append_column("group", pa.array(np.searchsorted(shared, tokens["key"].to_numpy())))
+    return tokens.append_column("group", pa.array(np.searchsorted(shared, tokens["end"].to_numpy())))
 
 
 def counted(codes: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -201,31 +268,45 @@ def group_ids(tokens: pa.Table, name: str, bits: int) -> pa.Table:
     return pa.table({"group": own >> bits, name: own & (1 << bits) - 1, "times_" + name: np.diff(first, append=len(codes))})
 
 
-def link_counts(a: pa.Table, b: pa.Table, group_doc: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links by code (document, A id, B id; an id has ``bits`` bits). A group gives its different pairs, never all occurrences."""
+def link_counts(a: pa.Table, b: pa.Table, group_piece: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links by code (piece, A id, B id; an id has ``bits`` bits). A group gives its different pairs, never all occurrences."""
     sides = [group_ids(a, "a", bits), group_ids(b, "b", bits)]
     pairs = sides[0].join(sides[1], "group", join_type="inner", use_threads=False)
     group, of_a, of_b, times_a, times_b = (pairs[n].to_numpy() for n in ("group", "a", "b", "times_a", "times_b"))
-    return counted(group_doc[group] << 2 * bits | of_a << bits | of_b, times_a * times_b)
+    return counted(group_piece[group] << 2 * bits | of_a << bits | of_b, times_a * times_b)
 
 
-def group_digests(tokens: Tokens, a: pa.Table, b: pa.Table, docs: int) -> list[str]:
-    """Hash of each document's groups, ``a1,a2|b1;a3|b2``; empty for documents without tokens."""
+def group_names(tokens: Tokens, a: pa.Table, b: pa.Table, pieces: int) -> pa.Array:
+    """Each piece's groups, ``a1,a2|b1;a3|b2;``."""
     group_a, group_b = a["group"].to_numpy(), b["group"].to_numpy()
     place = np.empty(len(group_a) + len(group_b), dtype=np.int32)
     for group, other, side, ids, kind in ((group_a, group_b, "left", a, 0), (group_b, group_a, "right", b, 2)):
         last = np.diff(group, append=-1) != 0
         at = np.arange(len(group)) + np.searchsorted(other, group, side=side)
         place[at] = ids["id"].to_numpy() + np.where(last, tokens.starts[kind + 1], tokens.starts[kind])
-    count = sum(np.bincount(t["doc"].to_numpy(), minlength=docs) for t in (a, b))
-    # The names taken lie end to end in one buffer: a document's are a slice of it, but for the last separator.
-    _, offsets, data = tokens.names.take(pa.array(place)).buffers()
     if not len(place):
-        return [""] * docs
-    ends = np.frombuffer(offsets, dtype=np.int64)[np.r_[0, np.cumsum(count)]].tolist()
+        return pa.array([""] * pieces, pa.large_string())
+    # The names taken lie end to end in one buffer: a piece's are a slice of it.
+    _, offsets, data = tokens.names.take(pa.array(place)).buffers()
+    count = sum(np.bincount(t["piece"].to_numpy(), minlength=pieces) for t in (a, b))
+    ends = np.frombuffer(offsets, dtype=np.int64)[np.r_[0, np.cumsum(count)]]
+    return pa.Array.from_buffers(pa.large_string(), pieces, [None, pa.py_buffer(ends), data])
+
+
+def group_digests(names: pa.Array, codes: np.ndarray, per_doc: np.ndarray) -> list[str]:
+    """Hash of each document's groups, but for the last separator; empty for documents without tokens."""
+    if not len(codes):
+        return [""] * len(per_doc)
+    _, offsets, data = names.take(pa.array(codes)).buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[np.r_[0, np.cumsum(per_doc)]].tolist()
     return [hashlib.sha256(data[start : end - 1]).hexdigest() if end > start else "" for start, end in pairwise(ends)]
 
 
+def sums_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the first ``counts[0]`` values, the next ``counts[1]``, and so on."""
+    return np.diff(np.r_[0, np.cumsum(values)][np.r_[0, np.cumsum(counts)]])
+
+
 def align(tokens: Tokens, doc_ids: pa.Array, texts: pa.Array, chunk: int) -> dict:
     """One row of ALIGNED for the documents of a chunk."""
     docs = len(texts)
@@ -233,30 +314,39 @@ def align(tokens: Tokens, doc_ids: pa.Array, texts: pa.Array, chunk: int) -> dic
     parents = parents.cast(pa.int64())
     filled = np.flatnonzero(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) > 0)
     encoded = pieces.dictionary_encode()
-    whole, *lists = id_lists(tokens.memo.values(encoded.dictionary.to_pylist()))
+    different = len(encoded.dictionary)
+    whole, *lists = id_lists(tokens.memo.take(encoded.dictionary.to_numpy(zero_copy_only=False).tolist()))
     number, codes = parents.to_numpy(), encoded.indices.to_numpy()
     has = np.zeros(docs, dtype=bool)
     has[filled] = True
     has[number[~whole[codes]]] = False
-    kept = pa.array(has[number])
-    parents, codes = parents.filter(kept), encoded.indices.filter(kept)
-    shift, bits = 63 - int(docs).bit_length(), max(len(tokens.bytes_a), len(tokens.bytes_b)).bit_length()
-    a, b = (token_table(l, codes, parents, s, docs, shift) for l, s in zip(lists, (tokens.sizes_a, tokens.sizes_b)))
+    number, codes = number[has[number]], codes[has[number]]
+    bits = max(len(tokens.bytes_a), len(tokens.bytes_b)).bit_length()
+    a, b = (token_table(l, s) for l, s in zip(lists, (tokens.sizes_a, tokens.sizes_b)))
     shared = shared_ends(a, b)
+    group_piece = a["piece"].to_numpy()[np.searchsorted(a["end"].to_numpy(), shared)]
     a, b = with_groups(a, shared), with_groups(b, shared)
-    links, times = link_counts(a, b, shared >> shift, bits)
-    doc, code = links >> 2 * bits, links & (1 << 2 * bits) - 1
-    pairs, holding = counted(code)
-    sums = np.r_[0, np.cumsum(times)]
-    per_doc = np.bincount(doc, minlength=docs)
-    ends = np.cumsum(per_doc)
+    links, times = link_counts(a, b, group_piece, bits)
+    # Pairs by number, so that a link is one small integer.
+    pairs, numbers = np.unique(links & (1 << 2 * bits) - 1, return_inverse=True)
+    ends = np.r_[0, np.cumsum(np.bincount(links >> 2 * bits, minlength=different))]
+    of_piece = pa.LargeListArray.from_arrays(ends, pa.array(np.arange(len(links)))).take(pa.array(codes))
+    at, place = pc.list_flatten(of_piece).to_numpy(), pc.list_parent_indices(of_piece).to_numpy()
+    width = len(pairs).bit_length()
+    links, times = counted(number[place] << width | numbers[at], times[at])
+    doc, pair = links >> width, links & (1 << width) - 1
+    holding = np.bincount(pair, minlength=len(pairs))
+    held = holding > 0  # not those that only documents without tokens have
+    pairs, holding, pair = pairs[held], holding[held], (np.cumsum(held) - 1)[pair]
+    per_doc, n_pairs = np.bincount(number, minlength=docs), np.bincount(doc, minlength=docs)
+    n_a, n_b = (np.diff(side.offsets.to_numpy())[codes] for side in lists)
+    n_groups = np.bincount(group_piece, minlength=different)[codes]
     return {
         "chunk": chunk, "doc_id": doc_ids.cast(pa.int64()),
-        "n_a": np.bincount(a["doc"].to_numpy(), minlength=docs), "n_b": np.bincount(b["doc"].to_numpy(), minlength=docs),
-        "n_groups": np.bincount(shared >> shift, minlength=docs), "n_links": sums[ends] - sums[ends - per_doc],
-        "groups_sha256": group_digests(tokens, a, b, docs), "n_pairs": per_doc.astype(np.int32),
-        # Pairs of the chunk by number, so that a link is one small integer.
-        "pair": np.searchsorted(pairs, code).astype(np.int32), "times": times,
+        "n_a": sums_of(n_a, per_doc), "n_b": sums_of(n_b, per_doc),
+        "n_groups": sums_of(n_groups, per_doc), "n_links": sums_of(times, n_pairs),
+        "groups_sha256": group_digests(group_names(tokens, a, b, different), codes, per_doc),
+        "n_pairs": n_pairs.astype(np.int32), "pair": pair.astype(np.int32), "times": times,
         "a": (pairs >> bits).astype(np.int32), "b": (pairs & (1 << bits) - 1).astype(np.int32), "docs": holding,
     }
 
@@ -304,7 +394,6 @@ def document_sums(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         # Workers come from the encoding stage: this one needs neither its memo nor its vocabularies.
-        Memo.forget()
         tokens_of.cache_clear()
         pa.default_memory_pool().release_unused()
         for batch in batches:

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rungwise.llm import conversation_repair as repair, mixing
-from rungwise.llm.alignment import Tokens, aligned_documents, op11_alignment
+from rungwise.llm.alignment import PieceMemo, Tokens, align, aligned_documents, op11_alignment
 from rungwise.llm.common import BATCH_BYTES, read_table
 from rungwise.llm.queries import ORACLE_SQL
 from tests.llm import odd
@@ -108,6 +108,31 @@ def test_alignment_bounds_the_bytes_of_a_batch(spark, tmp_path):
     assert sum(r["rows"] for r in found) == 40 and max(r["bytes"] for r in found) < BATCH_BYTES + (2 << 20)
 
 
+def test_alignment_works_on_different_pieces_only(monkeypatch):
+    """A text a hundred times over: tokens are grouped and joined once, its links counted a hundred times."""
+    from rungwise.llm import alignment
+
+    rows = []
+    for name in ("shared_ends", "link_counts"):
+        inner = getattr(alignment, name)
+        monkeypatch.setattr(alignment, name, lambda a, b, *more, inner=inner: rows.append(len(a) + len(b)) or inner(a, b, *more))
+    tokens, text = Tokens(*PATHS), "thonre was athawh, naïve 数据 and and"
+    once, often = (align(tokens, pa.array([1]), pa.array([" ".join([text] * n)]), 0) for n in (1, 100))
+    assert rows[0] == rows[2] and rows[1] == rows[3]
+    assert often["n_links"].tolist() == (100 * once["n_links"]).tolist() and often["times"].tolist() == (100 * once["times"]).tolist()
+
+
+def test_alignment_memo_gives_what_the_libraries_give():
+    tokens = Tokens(*PATHS)
+    memo = PieceMemo(tokens.encode, 8)
+    lots = [["a", "b\n", "", "naïve"], ["b\n", "x" * 99, "c", "ﬁ", "d"], ["e", "f", "a", "▁"], ["x" * 99, "d", "naïve", "g h"]]
+    for pieces in lots:
+        flat, ends = memo.take(pieces)
+        own = [flat[start:end].tolist() for start, end in zip([0, *ends], ends)]
+        assert own == [tokens.encode_one(piece).flat.tolist() for piece in pieces]
+        assert len(memo.known) <= 8 and "x" * 99 not in memo.known
+
+
 def _empty(spark, folder) -> str:
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     df.write.parquet(f"{folder}/documents.parquet")
