@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rungwise.llm.bpe import byte_letters
-from rungwise.llm.common import bound_batches, read_table
+from rungwise.llm.common import Memo, bound_batches, read_table
 from rungwise.session import scratch_path
 
 CHUNK_BYTES = 1 << 20  # text of one chunk, unless a single text is longer
@@ -82,11 +82,14 @@ class Records(NamedTuple):
         return Records(self.flat[np.arange(sizes.sum()) + np.repeat(starts - ends + sizes, sizes)], ends)
 
 
-class PieceMemo:
+class PieceMemo(Memo):
     """Records by piece, as ``Memo`` keeps bytes: about ``size`` pieces used last, in two halves; long ones are not kept."""
 
     def __init__(self, encode: Callable[[list[str]], Records], size: int = REMEMBERED):
-        self.encode, self.half = encode, size // 2
+        super().__init__(encode, size, LONGEST)
+        self.clear()
+
+    def clear(self) -> None:
         self.known, self.records = {}, Records.none()
         self.older, self.older_records = {}, Records.none()
 
@@ -98,16 +101,16 @@ class PieceMemo:
             return self.records.take(found)
         new = [pieces[i] for i in missing.tolist()]
         of_older = np.fromiter(map(self.older.get, new, repeat(-1)), np.int64, len(new))
-        short = np.fromiter(map(len, new), np.int64, len(new)) <= LONGEST
+        short = np.fromiter(map(len, new), np.int64, len(new)) <= self.longest
         moved, fresh, long = (np.flatnonzero(m) for m in (of_older >= 0, (of_older < 0) & short, (of_older < 0) & ~short))
         order = np.concatenate([moved, fresh, long])
         base, kept = len(self.records.ends), len(moved) + len(fresh)
         found[missing[order]] = base + np.arange(len(order))
         names = [new[i] for i in order.tolist()]
         self.known.update(zip(names[:kept], range(base, base + kept)))
-        parts = [self.records, self.older_records.take(of_older[moved]), self.encode(names[len(moved) : kept])]
+        parts = [self.records, self.older_records.take(of_older[moved]), self.compute(names[len(moved) : kept])]
         self.records = Records.joined(parts)
-        out = Records.joined([self.records, self.encode(names[kept:])]).take(found)
+        out = Records.joined([self.records, self.compute(names[kept:])]).take(found)
         if len(self.known) > self.half:
             self.older, self.older_records = self.known, self.records
             self.known, self.records = {}, Records.none()
@@ -394,6 +397,7 @@ def document_sums(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         # Workers come from the encoding stage: this one needs neither its memo nor its vocabularies.
+        Memo.forget()
         tokens_of.cache_clear()
         pa.default_memory_pool().release_unused()
         for batch in batches:

@@ -62,7 +62,10 @@ class Memo:
     def forget(cls) -> None:
         """Empty all memos of this Python worker: the next stage may have no use for what an earlier one learnt."""
         for memo in cls.alive:
-            memo.known, memo.older = {}, {}
+            memo.clear()
+
+    def clear(self) -> None:
+        self.known, self.older = {}, {}
 
     def values(self, pieces: list[str]) -> list[bytes]:
         found = list(map(self.known.get, pieces))

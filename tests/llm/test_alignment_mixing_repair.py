@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rungwise.llm import conversation_repair as repair, mixing
 from rungwise.llm.alignment import PieceMemo, Tokens, align, aligned_documents, op11_alignment
-from rungwise.llm.common import BATCH_BYTES, read_table
+from rungwise.llm.common import BATCH_BYTES, Memo, read_table
 from rungwise.llm.queries import ORACLE_SQL
 from tests.llm import odd
 from tests.oracle import compare, connect
@@ -131,6 +131,9 @@ def test_alignment_memo_gives_what_the_libraries_give():
         own = [flat[start:end].tolist() for start, end in zip([0, *ends], ends)]
         assert own == [tokens.encode_one(piece).flat.tolist() for piece in pieces]
         assert len(memo.known) <= 8 and "x" * 99 not in memo.known
+    Memo.forget()
+    assert not memo.known and not memo.older and not len(memo.records.flat) and not len(memo.older_records.flat)
+    assert memo.take(["a"]).flat.tolist() == tokens.encode_one("a").flat.tolist()
 
 
 def _empty(spark, folder) -> str:
