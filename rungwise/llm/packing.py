@@ -18,22 +18,26 @@ empty table gives no pieces.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from rungwise.llm.common import Memo, read_table, slices
+from rungwise.llm.common import BATCH_ROWS, Memo, read_table, slices, text_bytes
 from rungwise.session import checkpointed
 
 WINDOW, END_ID = 4096, 2
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 BETWEEN, TOGETHER = "\x01", 200  # pieces that the library encodes at once
+WORD_END = "</w>"  # how the vocabulary's entries end that can only be the last of a word
+WORD = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # letters that the library neither cuts nor composes: one word
 SPECIAL = "<|"  # how the vocabulary's special strings begin; none holds a blank
 RANK_BITS = 48  # a rank below 2^48 and a length below 2^15 share one sorted key
 
@@ -48,52 +52,97 @@ def library_memo(path: str) -> Memo:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    between = tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+    def ids_of(text: str) -> np.ndarray:
+        """As encode(), but without the offsets of tokens in the text."""
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    between = ids_of(BETWEEN)
     assert len(between) == 1, "the separator must be one id of the vocabulary"
+    vocabulary = tokenizer.get_vocab()
+    last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # whether an id ends a word
+    last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def compute(pieces: list[str]) -> list[bytes]:
-        """Pieces as one text with a control character between them: the library is slow on many short texts."""
-        plain, out = [p for p in pieces if BETWEEN not in p], {}
-        for start in range(0, len(plain), TOGETHER):
-            some = plain[start : start + TOGETHER]
-            ids = np.array(tokenizer.encode(f" {BETWEEN} ".join(some), add_special_tokens=False).ids, dtype="<u4")
+        """Pieces as one text: the library is slow on many short texts. Where a word ends its last id tells; others get a control character between them."""
+        out, marked = {}, [p for p in pieces if not WORD(p) and BETWEEN not in p]
+        words = [p for p in pieces if WORD(p)]
+        for start in range(0, len(words), TOGETHER):
+            some = words[start : start + TOGETHER]
+            ids = ids_of(" ".join(some))
+            ends, data = (4 * (np.flatnonzero(last[ids]) + 1)).tolist(), ids.tobytes()
+            if len(ends) != len(some) or ends[-1] != len(data):
+                marked += some
+                continue
+            out.update((piece, data[at:end]) for piece, (at, end) in zip(some, pairwise([0, *ends])))
+        for start in range(0, len(marked), TOGETHER):
+            some = marked[start : start + TOGETHER]
+            ids = ids_of(f" {BETWEEN} ".join(some))
             ends, data, at = [*(4 * np.flatnonzero(ids == between[0])).tolist(), 4 * len(ids)], ids.tobytes(), 0
             for piece, end in zip(some, ends):
                 out[piece], at = data[at:end], end + 4
         for piece in set(pieces) - out.keys():
-            out[piece] = np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            out[piece] = ids_of(piece).tobytes()
         return [out[piece] for piece in pieces]
 
     return Memo(compute, 3 << 18)
 
 
-def pieces_of(text: str) -> list[str]:
-    """Pieces between blanks and line ends, plain ones in lower case, as the vocabulary has them.
+def different_pieces(texts: list[bytes]) -> tuple[list[str], pa.Array, np.ndarray]:
+    """The different pieces between blanks and line ends, which of them stands at each place, and where texts end, from 0.
 
-    The library looks for special strings before it lower-cases, and composes characters
-    before that too. So only ASCII pieces that cannot hold a special string are lower-cased here.
+    Each text ends with a separator here, and each piece holds the one after it, so all pieces lie end to end and
+    Arrow can find the different ones. A full stop or comma between a letter or digit and the separator is a piece of
+    its own, as the library has it. Plain pieces come in lower case, as the vocabulary has them: the library looks
+    for special strings before it lower-cases, and composes characters before that too. So only ASCII pieces
+    that cannot hold a special string are lower-cased here.
     """
-    plain = text.isascii() and SPECIAL not in text
-    pieces = (text.lower() if plain else text).replace("\n", " ").split(" ")
-    return pieces if plain else [p.lower() if p.isascii() and SPECIAL not in p else p for p in pieces]
+    data = b"".join(text + b" " for text in texts)
+    symbols = np.frombuffer(data, dtype=np.uint8)
+    ends = np.flatnonzero((symbols == 32) | (symbols == 10)) + 1
+    stop = ends[ends > 3] - 2  # where a stop would be; nothing is cut in the first bytes
+    stop = stop[(symbols[stop] == 46) | (symbols[stop] == 44)]
+    before, lead = symbols[stop - 1], symbols[stop - 2]
+    # A to Z, a to z, 0 to 9, and U+00C0 to U+00FF in UTF-8 but for the signs of multiplication and division.
+    latin = (lead == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+    letter = (before - 48 < 10) | ((before & 0xDF) - 65 < 26) | latin
+    cuts = np.sort(np.r_[0, ends, stop[letter]], kind="stable")
+    piece_array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+    places = piece_array.dictionary_encode()
+    pieces = [piece.rstrip(b" \n").decode() for piece in places.dictionary.to_pylist()]
+    text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    bounds = np.r_[0, np.searchsorted(cuts, text_ends)]
+    return [p.lower() if p.isascii() and SPECIAL not in p else p for p in pieces], places.indices, bounds
+
+
+def pieces_of(text: str) -> list[str]:
+    """One text's pieces in order."""
+    pieces, places, _ = different_pieces([text.encode()])
+    return [pieces[i] for i in places.to_pylist()]
+
+
+def text_ids(texts: list[bytes], memo: Memo) -> list[bytes]:
+    """Each text's ids, four bytes each: a piece's are looked up once, Arrow puts them at all its places."""
+    pieces, places, bounds = different_pieces(texts)
+    _, offsets, data = pa.array(memo.values(pieces), pa.large_binary()).take(places).buffers()
+    at, ids = np.frombuffer(offsets, dtype=np.int64)[bounds].tolist(), memoryview(data)
+    return [ids[start:end].tobytes() for start, end in pairwise(at)]
 
 
 def piece_rows(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece: whole windows and the remainder, numbered by length within the task.
 
     The vocabulary drops white space and joins nothing across it, so a text's ids are
-    those of its pieces between blanks and line ends, in order (see ``pieces_of``).
+    those of its pieces between blanks and line ends, in order (see ``different_pieces``).
     """
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
         memo, part, seen = library_memo(path), TaskContext.get().partitionId(), Counter()
-        for batch in slices(batches):
-            split = [pieces_of(text or "") for text in batch.column(1).to_pylist()]
-            known, at, out = memo.values([piece for own in split for piece in own]), 0, []
-            for doc_id, own in zip(batch.column(0).to_pylist(), split):
-                ids = b"".join(known[at : at + len(own)]) + end
-                at, total = at + len(own), len(ids) // 4
+        for batch in slices(batches, BATCH_ROWS):
+            out = []
+            for doc_id, ids in zip(batch.column(0).to_pylist(), text_ids(text_bytes(batch.column(1)), memo)):
+                ids += end
+                total = len(ids) // 4
                 for start in range(0, total, window):
                     length = min(window, total - start)
                     crc = zlib.crc32(ids[4 * start : 4 * (start + length)])

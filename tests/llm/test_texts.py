@@ -125,6 +125,32 @@ def test_special_strings_and_marks_are_the_library_s():
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_different_pieces_equal_whole_texts():
+    memo, tokenizer, rng = packing.library_memo(WORDS), library(WORDS), random.Random(5)
+    letters = [*"abcZz09ÀéÿßÞ×÷Σςİŉ\u0307.,.,.,   \n\t\x01'!<|>²漢ﬁ😀", "<|endoftext|>", "'s", "</w>", "é.", "İ.", "word,", "<|ENDOFTEXT|>."]
+    for _ in range(60):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 2, 3, 10, 60]))) for _ in range(40)]
+        got = packing.text_ids([text.encode() for text in texts], memo)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert packing.text_ids([], memo) == []
+
+
+def test_a_piece_is_looked_up_once_for_many_texts():
+    asked = []
+
+    def compute(pieces):
+        asked.extend(pieces)
+        return [piece.encode() for piece in pieces]
+
+    memo = packing.Memo(compute)
+    looked_up, values = [], memo.values
+    memo.values = lambda pieces: looked_up.extend(pieces) or values(pieces)
+    texts = [b"Some words, some words.\nWords again", b"", b"again words."] * 300
+    assert packing.text_ids(texts, memo)[:3] == [b"somewords,somewords.wordsagain", b"", b"againwords."]
+    assert sorted(asked) == ["", ",", ".", "again", "some", "words"]
+    assert len(looked_up) < 20
+
+
 def test_fill_is_the_best_subset_sum():
     rng = random.Random(4)
     for _ in range(200):
