@@ -13,7 +13,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rungwise.llm.common import read_table
+from rungwise.llm.common import bound_batches, bound_rows, read_table
 from rungwise.llm.langid import keep_known
 from rungwise.llm.packing import pack
 from rungwise.llm.simhash import one_of_each_group
@@ -23,24 +23,31 @@ from rungwise.session import scratch_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def columns_of(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of ``documents``; a stage may be the session's first, so it bounds Arrow batches itself."""
+    bound_rows(spark)
+    bound_batches(spark)
+    return docs.select(COLUMNS)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the table teaches; garbled texts and those without a letter are in none."""
-    return keep_known(docs.select(COLUMNS))
+    return keep_known(columns_of(spark, docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
-    return one_of_each_group(docs.select(COLUMNS))
+    return one_of_each_group(columns_of(spark, docs))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the byte strings that also stand elsewhere; its text may become empty."""
-    return without_repeats(docs.select(COLUMNS))
+    return without_repeats(columns_of(spark, docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack(columns_of(spark, docs), public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

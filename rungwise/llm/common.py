@@ -14,11 +14,16 @@ BATCH_ROWS = 1_000
 BATCH_BYTES = 8 << 20
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the query's folder; Arrow batches of the session are kept small from here on."""
+def bound_rows(spark: SparkSession) -> None:
+    """Arrow batches of the session have at most ``BATCH_ROWS`` rows from here on."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the query's folder; Arrow batches of the session are kept small from here on."""
+    bound_rows(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

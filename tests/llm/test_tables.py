@@ -323,3 +323,18 @@ def test_pipeline_of_nothing(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_each_stage_bounds_arrow_batches_itself(spark, tmp_path):
+    folder = odd.documents(spark, tmp_path, odd.texts())
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+    before = {key: spark.conf.get(key) for key in limits}
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+            spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+            stage(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+            assert {key: int(spark.conf.get(key)) for key in limits} == limits
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
