@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rungwise.llm.common import Memo, read_table, slices, text_bytes
+from rungwise.llm.common import Memo, bound_batches, read_table, slices, text_bytes
 from rungwise.session import remove_scratch, scratch_path
 
 WINDOW, ANCHOR = 200, 40
@@ -49,7 +49,7 @@ LIMIT = 1 << 15  # most strings of one anchor that are sorted together
 LOT = 1 << 13  # strings after which a lot ends with its anchor
 BLOCK = 1 << 11  # strings laid out at once
 OUT_BYTES = 1 << 22  # strings sent on at once
-SEGMENT = 1 << 22  # bytes hashed together; positions within take 24 bits
+SEGMENT = 1 << 18  # bytes hashed together, at some 100 bytes of memory each; positions within take 24 bits
 END = 0xFF  # no byte of UTF-8
 ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # bases of the polynomial hashes: any odd numbers
 KEY = ["_d", "_x"]
@@ -466,5 +466,6 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out), kinds))], names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    bound_batches(spark)
     found = with_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.mapInArrow(run, schema)

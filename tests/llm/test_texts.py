@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rungwise.llm import bpe, components, langid, packing, simhash, suffix_dedup
-from rungwise.llm.common import read_table
+from rungwise.llm.common import BATCH_BYTES, read_table
 from tests.llm import odd
 
 BYTES, WORDS = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -473,3 +474,24 @@ def test_strings_grow_with_the_rows(spark):
     assert strings_sent(spark, [(None, text)] * 500) <= 500 * sent[2]
     assert strings_sent(spark, [(1, "a" * 100_000), (2, "a" * 100_000)]) == 2
     assert strings_sent(spark, [(1, "abcdefg" * 10_000), (2, "abcdefg" * 10_000)]) < 40
+
+
+def test_anchors_of_long_texts_take_little_memory():
+    texts = [random.Random(8).randbytes(9_000_000)]
+    tracemalloc.start()
+    for _, _, pieces in suffix_dedup.segments(texts, 200):
+        suffix_dedup.anchors_of(np.frombuffer(b"".join(pieces), np.uint8), np.cumsum([0, *map(len, pieces)]), 200, 40)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 150 << 20
+
+
+def test_repeats_bound_arrow_batches(spark, folder):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        suffix_dedup.op5_suffix_dedup(spark, folder)
+        assert 0 < int(spark.conf.get(key)) <= BATCH_BYTES
+    finally:
+        spark.conf.set(key, before)
