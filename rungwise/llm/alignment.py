@@ -10,11 +10,13 @@ different one is encoded once by the libraries, and the ids come back as lists:
 * an Acero hash join on the end finds the ends that both sides share: they cut groups;
 * tokens are counted by (group, id) and joined on the group: the piece's links, with how often each occurs;
 * counts, names and links of pieces are taken for every place of the documents, as often as a piece occurs there;
-* ``Table.group_by`` adds up links by document and pair, then documents by pair for the chunk.
+* ``Table.group_by`` adds up links by document and pair, some places at once, then documents by pair for the chunk.
 
 Spark adds up the chunks' partial counts by pair, takes the highest count of every A id and
 brings the counts back to the chunks, where each document sums over its own pairs. What is
-shuffled are the different pairs of each chunk, never a row per link.
+shuffled are the different pairs of each chunk, never a row per link. The rest of a chunk, its
+documents' counts and links, is compressed by Python and goes through Spark as small rows of
+bytes that only the last step opens: the JVM never holds a chunk's lists.
 
 Null and empty texts have no tokens; neither have texts that B cannot give back (with U+2581):
 counts are 0 and the digest is empty. Repeated rows are documents of their own, in
@@ -29,17 +31,19 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import pairwise, repeat
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rungwise.llm.bpe import byte_letters
-from rungwise.llm.common import Memo, bound_batches, read_table
+from rungwise.llm.blocks import groups
+from rungwise.llm.common import BATCH_ROWS, Memo, bound_batches, read_table, slices
 from rungwise.session import scratch_path
 
 CHUNK_BYTES = 1 << 20  # text of one chunk, unless a single text is longer
@@ -50,11 +54,12 @@ SPACE = "▁"
 TOGETHER = 4_000  # pieces encoded at once
 REMEMBERED, LONGEST = 1 << 19, 64  # pieces a worker remembers, and the most characters of one
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-ALIGNED = (
-    "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "groups_sha256 array<string>, n_pairs array<int>, pair array<int>, times array<long>, "
-    "a array<int>, b array<int>, docs array<long>"
-)
+PIECES = 1 << 13  # different pieces whose tokens are joined at once
+LINKS = 1 << 17  # links of places counted at once
+PART_BYTES = 1 << 13  # of a chunk's body in one row: Spark's readers hold thousands of rows at once
+# A chunk's different pairs by number (place), and the parts of its body.
+STORED = "chunk long, place int, a int, b int, docs long, body binary"
+BODY = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_pairs", "pair", "times")
 RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
@@ -83,40 +88,53 @@ class Records(NamedTuple):
 
 
 class PieceMemo(Memo):
-    """Records by piece, as ``Memo`` keeps bytes: about ``size`` pieces used last, in two halves; long ones are not kept."""
+    """Records by piece, as ``Memo`` keeps bytes: about ``size`` pieces used last, in two halves; long ones are not kept.
+
+    Pieces are Arrow arrays: dicts of as many strings take several times the memory, in every Python worker.
+    """
 
     def __init__(self, encode: Callable[[list[str]], Records], size: int = REMEMBERED):
         super().__init__(encode, size, LONGEST)
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.records = {}, Records.none()
-        self.older, self.older_records = {}, Records.none()
+        self.known = self.older = pa.array([], pa.large_string())
+        self.records = self.older_records = Records.none()
 
-    def take(self, pieces: list[str]) -> Records:
+    def take(self, pieces: pa.Array | list[str]) -> Records:
         """Records of pieces that are all different, in their order."""
-        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        pieces = pa.array(pieces, pa.large_string()) if isinstance(pieces, list) else pieces
+        found = places(pieces, self.known)
         missing = np.flatnonzero(found < 0)
         if not len(missing):
             return self.records.take(found)
-        new = [pieces[i] for i in missing.tolist()]
-        of_older = np.fromiter(map(self.older.get, new, repeat(-1)), np.int64, len(new))
-        short = np.fromiter(map(len, new), np.int64, len(new)) <= self.longest
+        new = pieces.take(pa.array(missing))
+        of_older = places(new, self.older)
+        short = pc.utf8_length(new).to_numpy() <= self.longest
         moved, fresh, long = (np.flatnonzero(m) for m in (of_older >= 0, (of_older < 0) & short, (of_older < 0) & ~short))
         order = np.concatenate([moved, fresh, long])
         base, kept = len(self.records.ends), len(moved) + len(fresh)
         found[missing[order]] = base + np.arange(len(order))
-        names = [new[i] for i in order.tolist()]
-        self.known.update(zip(names[:kept], range(base, base + kept)))
-        parts = [self.records, self.older_records.take(of_older[moved]), self.compute(names[len(moved) : kept])]
+        names = new.take(pa.array(order))
+        self.known = pa.concat_arrays([self.known, names[:kept]])
+        parts = [self.records, self.older_records.take(of_older[moved]), self.compute(names[len(moved) : kept].to_pylist())]
         self.records = Records.joined(parts)
-        out = Records.joined([self.records, self.compute(names[kept:])]).take(found)
+        out = Records.joined([self.records, self.compute(names[kept:].to_pylist())]).take(found)
         if len(self.known) > self.half:
             self.older, self.older_records = self.known, self.records
-            self.known, self.records = {}, Records.none()
+            self.known, self.records = pa.array([], pa.large_string()), Records.none()
         return out
 
 
+def places(pieces: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each piece is among the known ones, -1 if nowhere; pieces and known ones are all different."""
+    # The known ones are looked up among the pieces: theirs is the smaller hash table.
+    of_known = pc.fill_null(pc.index_in(known, value_set=pieces), -1).to_numpy()
+    found, at = np.full(len(pieces), -1, dtype=np.int64), np.flatnonzero(of_known >= 0)
+    found[of_known[at]] = at
+    return found
+
+
 class Tokens:
     """Two vocabularies: ids of pieces of text, bytes and decimal names of ids."""
 
@@ -296,6 +314,16 @@ def group_names(tokens: Tokens, a: pa.Table, b: pa.Table, pieces: int) -> pa.Arr
     return pa.Array.from_buffers(pa.large_string(), pieces, [None, pa.py_buffer(ends), data])
 
 
+def linked_pieces(tokens: Tokens, lists: list[pa.Array], first: int, bits: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Of some pieces, the first one's number being ``first``: names and number of their groups, links by code and times of these."""
+    a, b = (token_table(own, sizes) for own, sizes in zip(lists, (tokens.sizes_a, tokens.sizes_b)))
+    shared, pieces = shared_ends(a, b), len(lists[0])
+    group_piece = a["piece"].to_numpy()[np.searchsorted(a["end"].to_numpy(), shared)]
+    a, b = with_groups(a, shared), with_groups(b, shared)
+    links, times = link_counts(a, b, group_piece, bits)
+    return group_names(tokens, a, b, pieces), np.bincount(group_piece, minlength=pieces), links + (first << 2 * bits), times
+
+
 def group_digests(names: pa.Array, codes: np.ndarray, per_doc: np.ndarray) -> list[str]:
     """Hash of each document's groups, but for the last separator; empty for documents without tokens."""
     if not len(codes):
@@ -310,45 +338,58 @@ def sums_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.diff(np.r_[0, np.cumsum(values)][np.r_[0, np.cumsum(counts)]])
 
 
+def document_links(number: np.ndarray, codes: np.ndarray, ends: np.ndarray, links: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links by ``number`` of their place's document plus link, with the sum of their times.
+
+    ``codes`` are the pieces at the places, ``ends`` where their links end. Links of some places at once are written out
+    and counted, then what they have in common: memory doesn't grow with what a piece's links are repeated to.
+    """
+    sizes = np.diff(ends)[codes]
+    before = np.r_[0, np.cumsum(sizes)]
+    parts, start = [(np.empty(0, dtype=np.int64),) * 2], 0
+    while start < len(codes):
+        end = max(start + 1, int(np.searchsorted(before, before[start] + LINKS, side="right")) - 1)
+        size = sizes[start:end]
+        at = np.arange(size.sum()) + np.repeat(ends[codes[start:end]] - before[start:end] + before[start], size)
+        parts.append(counted(np.repeat(number[start:end], size) + links[at], times[at]))
+        start = end
+    return counted(*map(np.concatenate, zip(*parts))) if len(parts) > 2 else parts[-1]
+
+
 def align(tokens: Tokens, doc_ids: pa.Array, texts: pa.Array, chunk: int) -> dict:
-    """One row of ALIGNED for the documents of a chunk."""
+    """The columns of BODY and the pairs (a, b, docs) for the documents of a chunk."""
     docs = len(texts)
     pieces, parents = pieces_of(pc.fill_null(texts, "").cast(pa.large_string()))
     parents = parents.cast(pa.int64())
     filled = np.flatnonzero(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) > 0)
     encoded = pieces.dictionary_encode()
     different = len(encoded.dictionary)
-    whole, *lists = id_lists(tokens.memo.take(encoded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+    whole, *lists = id_lists(tokens.memo.take(encoded.dictionary))
     number, codes = parents.to_numpy(), encoded.indices.to_numpy()
     has = np.zeros(docs, dtype=bool)
     has[filled] = True
     has[number[~whole[codes]]] = False
     number, codes = number[has[number]], codes[has[number]]
     bits = max(len(tokens.bytes_a), len(tokens.bytes_b)).bit_length()
-    a, b = (token_table(l, s) for l, s in zip(lists, (tokens.sizes_a, tokens.sizes_b)))
-    shared = shared_ends(a, b)
-    group_piece = a["piece"].to_numpy()[np.searchsorted(a["end"].to_numpy(), shared)]
-    a, b = with_groups(a, shared), with_groups(b, shared)
-    links, times = link_counts(a, b, group_piece, bits)
+    parts = [linked_pieces(tokens, [side[start : start + PIECES] for side in lists], start, bits) for start in range(0, max(1, different), PIECES)]
+    names, n_groups, links, times = zip(*parts)
+    names, n_groups, links, times = pa.concat_arrays(names), *map(np.concatenate, (n_groups, links, times))
     # Pairs by number, so that a link is one small integer.
     pairs, numbers = np.unique(links & (1 << 2 * bits) - 1, return_inverse=True)
     ends = np.r_[0, np.cumsum(np.bincount(links >> 2 * bits, minlength=different))]
-    of_piece = pa.LargeListArray.from_arrays(ends, pa.array(np.arange(len(links)))).take(pa.array(codes))
-    at, place = pc.list_flatten(of_piece).to_numpy(), pc.list_parent_indices(of_piece).to_numpy()
     width = len(pairs).bit_length()
-    links, times = counted(number[place] << width | numbers[at], times[at])
+    links, times = document_links(number << width, codes, ends, numbers, times)
     doc, pair = links >> width, links & (1 << width) - 1
     holding = np.bincount(pair, minlength=len(pairs))
     held = holding > 0  # not those that only documents without tokens have
     pairs, holding, pair = pairs[held], holding[held], (np.cumsum(held) - 1)[pair]
     per_doc, n_pairs = np.bincount(number, minlength=docs), np.bincount(doc, minlength=docs)
     n_a, n_b = (np.diff(side.offsets.to_numpy())[codes] for side in lists)
-    n_groups = np.bincount(group_piece, minlength=different)[codes]
     return {
         "chunk": chunk, "doc_id": doc_ids.cast(pa.int64()),
         "n_a": sums_of(n_a, per_doc), "n_b": sums_of(n_b, per_doc),
-        "n_groups": sums_of(n_groups, per_doc), "n_links": sums_of(times, n_pairs),
-        "groups_sha256": group_digests(group_names(tokens, a, b, different), codes, per_doc),
+        "n_groups": sums_of(n_groups[codes], per_doc), "n_links": sums_of(times, n_pairs),
+        "groups_sha256": group_digests(names, codes, per_doc),
         "n_pairs": n_pairs.astype(np.int32), "pair": pair.astype(np.int32), "times": times,
         "a": (pairs >> bits).astype(np.int32), "b": (pairs & (1 << bits) - 1).astype(np.int32), "docs": holding,
     }
@@ -365,23 +406,34 @@ def chunks(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
         start = end
 
 
+def stored(row: dict) -> Iterator[pa.RecordBatch]:
+    """Rows of STORED for a chunk: one for each of its pairs, then its body in parts."""
+    columns = [row[name] if isinstance(row[name], pa.Array) else pa.array(row[name]) for name in BODY]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values) for values in columns]
+    body, sink = pa.RecordBatch.from_arrays(lists, names=BODY), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, body.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(body)
+    data = memoryview(sink.getvalue())
+    parts = [bytes(data[start : start + PART_BYTES]) for start in range(0, len(data), PART_BYTES)]
+    schema = pa.schema([("chunk", pa.int64()), ("place", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("docs", pa.int64()), ("body", pa.binary())])
+    for n, own in ((len(row["a"]), row), (len(parts), {"body": parts})):
+        given = own | {"chunk": np.full(n, row["chunk"]), "place": np.arange(n)}
+        rows = [pa.array(given[f.name], f.type) if f.name in given else pa.nulls(n, f.type) for f in schema]
+        yield from slices([pa.RecordBatch.from_arrays(rows, schema=schema)], BATCH_ROWS)
+
+
 def aligned_chunks(docs: DataFrame, path_a: str, path_b: str, limit: int = CHUNK_BYTES) -> DataFrame:
-    """One row per chunk: its documents' counts and digests, their links as pair numbers, and the pairs' partial counts."""
-    names = [field.split(" ")[0] for field in ALIGNED.split(", ")]
+    """STORED of all chunks: the pairs' partial counts, and documents' counts, digests and links as pair numbers."""
 
     def run(batches):
         tokens, chunk = tokens_of(path_a, path_b), TaskContext.get().partitionId() << 32
         for batch in batches:
             for lot in chunks(batch, limit):
-                row = align(tokens, lot.column(0), lot.column(1), chunk)
-                columns = [pa.array([row["chunk"]], pa.int64())]
-                for name in names[1:]:
-                    values = row[name] if isinstance(row[name], pa.Array) else pa.array(row[name])
-                    columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield from stored(align(tokens, lot.column(0), lot.column(1), chunk))
                 chunk += 1
+        pa.default_memory_pool().release_unused()
 
-    return docs.select("doc_id", "text").mapInArrow(run, ALIGNED)
+    return docs.select("doc_id", "text").mapInArrow(run, STORED)
 
 
 def pair_counts(partial: DataFrame) -> DataFrame:
@@ -392,7 +444,7 @@ def pair_counts(partial: DataFrame) -> DataFrame:
 
 
 def document_sums(rows: DataFrame) -> DataFrame:
-    """RESULT from chunks of ALIGNED joined with ``counts``: (pair number, count, best) of the chunk's pairs, in any order."""
+    """RESULT from each chunk's rows, next to one another: (chunk, place, count, best, body) of its pairs and of its body's parts, by place."""
     names = [field.split(" ")[0] for field in RESULT.split(", ")]
 
     def run(batches):
@@ -400,23 +452,21 @@ def document_sums(rows: DataFrame) -> DataFrame:
         Memo.forget()
         tokens_of.cache_clear()
         pa.default_memory_pool().release_unused()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].values for name in batch.schema.names}
-                docs = len(row["doc_id"])
-                found, n_pairs = row["counts"], row["n_pairs"].to_numpy()
-                doc = np.repeat(np.arange(docs), n_pairs)
-                sums = np.zeros((2, docs), dtype=np.int64)
-                if found is not None and len(found):
-                    by_pair = np.zeros((2, len(found)), dtype=np.int64)
-                    place = found.field("number").to_numpy()
-                    by_pair[0, place] = found.field("best").to_numpy(zero_copy_only=False)
-                    by_pair[1, place] = found.field("count").to_numpy()
-                    pair, times = row["pair"].to_numpy(), row["times"].to_numpy()
-                    for total, value in zip(sums, by_pair):
-                        np.add.at(total, doc, times * value[pair])
-                own = {"n_best": pa.array(sums[0]), "count_sum": pa.array(sums[1])}
-                yield pa.RecordBatch.from_arrays([own[n] if n in own else row[n] for n in names], names=names)
+        for rows in groups(batches, 1):
+            is_body = pc.is_valid(rows["body"])
+            body = pa.ipc.open_stream(b"".join(rows["body"].filter(is_body).to_pylist())).read_next_batch()
+            row = {name: body.column(name)[0].values for name in BODY}
+            pairs = rows.select(["place", "best", "count"]).filter(pc.invert(is_body))
+            by_pair = np.zeros((2, len(pairs)), dtype=np.int64)
+            for total, name in zip(by_pair, ("best", "count")):
+                total[pairs["place"].to_numpy()] = pairs[name].to_numpy()
+            docs, pair, times = len(row["doc_id"]), row["pair"].to_numpy(), row["times"].to_numpy()
+            doc = np.repeat(np.arange(docs), row["n_pairs"].to_numpy())
+            sums = np.zeros((2, docs), dtype=np.int64)
+            for total, value in zip(sums, by_pair):
+                np.add.at(total, doc, times * value[pair])
+            own = {"n_best": pa.array(sums[0]), "count_sum": pa.array(sums[1])}
+            yield pa.RecordBatch.from_arrays([own[n] if n in own else row[n] for n in names], names=names)
 
     return rows.mapInArrow(run, RESULT)
 
@@ -424,20 +474,18 @@ def document_sums(rows: DataFrame) -> DataFrame:
 def aligned_documents(docs: DataFrame, path_a: str, path_b: str, limit: int = CHUNK_BYTES) -> DataFrame:
     """RESULT: one row per document, with its links weighed by the pairs' counts over all documents."""
     spark = docs.sparkSession
-    bound_batches(spark)  # a chunk's row is as long as its text, so a partition of chunks must not be one batch
+    bound_batches(spark)  # rows of parts are as long as their text, so a partition of them must not be one batch
     folder = scratch_path(spark, "alignment")
     aligned_chunks(docs, path_a, path_b, limit).write.parquet(f"{folder}/chunks")
     aligned = spark.read.parquet(f"{folder}/chunks")
-    cells = aligned.select("chunk", F.posexplode(F.arrays_zip("a", "b", "docs")).alias("number", "cell"))
-    cells = cells.select("chunk", "number", "cell.a", "cell.b", "cell.docs")
+    cells = aligned.select("chunk", "place", "a", "b", "docs").filter("a is not null")  # without reading bodies
     # Written, so that the join below has plain exchanges and a pair that all chunks hold can be split.
     pair_counts(cells).write.parquet(f"{folder}/pairs")
     counted = cells.join(spark.read.parquet(f"{folder}/pairs"), ["a", "b"])
-    # A chunk's list is as long as the chunk has pairs.
-    by_chunk = counted.groupBy("chunk").agg(F.collect_list(F.struct("number", "count", "best")).alias("counts"))
-    kept = [field.split(" ")[0] for field in ALIGNED.split(", ")][:-3]
-    rows = aligned.select(kept).join(by_chunk, "chunk", "left")
-    return document_sums(rows.select(F.array("chunk").alias("chunk"), *kept[1:], "counts"))
+    counted = counted.select("chunk", "place", "count", "best", F.lit(None).cast("binary").alias("body"))
+    bodies = aligned.filter("body is not null")
+    bodies = bodies.select("chunk", "place", F.lit(None).cast("long"), F.lit(None).cast("boolean"), "body")
+    return document_sums(counted.union(bodies).repartition("chunk").sortWithinPartitions("chunk", "place"))
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,15 +6,17 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rungwise.llm import conversation_repair as repair, mixing
+from rungwise.llm import alignment, conversation_repair as repair, mixing
 from rungwise.llm.alignment import PieceMemo, Tokens, align, aligned_documents, op11_alignment
 from rungwise.llm.common import BATCH_BYTES, Memo, read_table
 from rungwise.llm.queries import ORACLE_SQL
@@ -136,6 +138,46 @@ def test_alignment_memo_gives_what_the_libraries_give():
     assert memo.take(["a"]).flat.tolist() == tokens.encode_one("a").flat.tolist()
 
 
+def test_alignment_gives_spark_small_rows(spark):
+    """The JVM never holds a chunk's lists: its pairs and the parts of its body are rows of bounded bytes."""
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(40_000))
+    rows = alignment.aligned_chunks(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"), *PATHS)
+    assert {f.dataType.typeName() for f in rows.schema} == {"long", "integer", "binary"}
+    cells, parts = rows.filter("a is not null"), rows.filter("body is not null")
+    size = parts.agg(F.max(F.length("body")), F.count("*")).first()
+    assert size[0] <= alignment.PART_BYTES and size[1] > 1 and rows.count() == cells.count() + size[1]
+
+
+def test_alignment_memo_takes_few_bytes_a_piece():
+    """In dicts of strings a piece takes 160 bytes and more besides its records: too much for all workers of an executor."""
+
+    def encode(pieces):
+        return alignment.Records(np.ones(4 * len(pieces), dtype=np.int32), 4 * np.arange(1, len(pieces) + 1))
+
+    memo = PieceMemo(encode, 1 << 17)
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    for start in range(0, 120_000, 20_000):
+        memo.take([f"piece{i}" for i in range(start, start + 20_000)])
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(memo.known) + len(memo.older) == 120_000 and held < 80 * 120_000
+
+
+def test_alignment_of_few_pieces_and_links_at_once(monkeypatch):
+    tokens, words = Tokens(*PATHS), "thonre was athawh, naïve 数据 and and \n x 12 345 was".split(" ")
+    rng = random.Random(6)
+    texts = pa.array([" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(12)] + [None, "", "▁"])
+    ids = pa.array(range(len(texts)))
+    want = align(tokens, ids, texts, 0)
+    monkeypatch.setattr(alignment, "PIECES", 2)
+    monkeypatch.setattr(alignment, "LINKS", 5)
+    assert {k: list(v) if k != "chunk" else v for k, v in align(tokens, ids, texts, 0).items()} == {
+        k: list(v) if k != "chunk" else v for k, v in want.items()
+    }
+
+
 def _empty(spark, folder) -> str:
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     df.write.parquet(f"{folder}/documents.parquet")
