@@ -341,8 +341,8 @@ def sums_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def document_links(number: np.ndarray, codes: np.ndarray, ends: np.ndarray, links: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links by ``number`` of their place's document plus link, with the sum of their times.
 
-    ``codes`` are the pieces at the places, ``ends`` where their links end. Links of some places at once are written out
-    and counted, then what they have in common: memory doesn't grow with what a piece's links are repeated to.
+    ``codes`` are the pieces at the places, piece p has links ``ends[p]`` to ``ends[p + 1]``. Those of some places are
+    written out and counted at once, so that what is held are counts, never the links of all places.
     """
     sizes = np.diff(ends)[codes]
     before = np.r_[0, np.cumsum(sizes)]
